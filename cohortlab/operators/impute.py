@@ -7,8 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cohortlab.operators.median import check_numeric, exact_medians
-from cohortlab.operators.missing import null_nan_counts
+from cohortlab.operators.median import check_numeric, column_stats, exact_medians
 
 
 def fill_columns(df: DataFrame, cols: Sequence[str] | None = None,
@@ -21,8 +20,8 @@ def fill_columns(df: DataFrame, cols: Sequence[str] | None = None,
     skip = set(exclude)
     cols = [c for c in (cols if cols is not None else df.columns) if c not in skip]
     check_numeric(df, cols)
-    counts = null_nan_counts(df, cols)
-    return [c for c in cols if counts[c][1] + counts[c][2] > 0]
+    stats = column_stats(df, cols)
+    return [c for c in cols if stats[c].nulls + stats[c].nans > 0]
 
 
 def fit_medians(df: DataFrame, cols: Sequence[str] | None = None, exclude: Iterable[str] = (),
@@ -35,9 +34,10 @@ def fit_medians(df: DataFrame, cols: Sequence[str] | None = None, exclude: Itera
     skip = set(exclude)
     cols = [c for c in (cols if cols is not None else df.columns) if c not in skip]
     check_numeric(df, cols)
+    stats = column_stats(df, cols)
     if only_needed:
-        cols = fill_columns(df, cols)
-    medians = exact_medians(df, cols)
+        cols = [c for c in cols if stats[c].nulls + stats[c].nans > 0]
+    medians = exact_medians(df, cols, stats)
     empty = [c for c, m in medians.items() if m is None]
     if empty:
         raise ValueError(f"cannot impute: no non-missing value in column(s) {empty}")

@@ -9,6 +9,9 @@ distinct value, and its final merge runs in one task, so on a near-unique
 column it pulls the whole column into one task. Here no task ever holds more
 than a bounded band:
 
+0. One cheap aggregate gives per column: rows, nulls, NaNs, valid values and an
+   HLL distinct estimate (``prepare`` reuses it as its missing-value report).
+   A column with few distinct values skips straight to step 3.
 1. One aggregate per round builds, for each unresolved column, a mergeable KLL
    sketch, an HLL distinct sketch and exact counts of a value band. Sketches
    are merged in a two-level tree (by a salt of the partition id, then
@@ -63,7 +66,7 @@ class _Band:
 @dataclass
 class _State:
     band: _Band
-    rank: int | None = None          # 1-based rank of the median inside ``band``
+    rank: int                        # 1-based rank of the median inside ``band``
     proposal: _Band | None = None    # candidate sub-band to verify next round
 
 
@@ -83,23 +86,67 @@ def _kll_error(k: int) -> float:
     return 2.296 / k ** 0.9723
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], sketch_k: int = 2048,
-                  finish_distinct: int = 50_000, max_rounds: int = 200) -> dict[str, float | None]:
-    """``{column: lower median as float}``; ``None`` for a column with no value."""
+@dataclass
+class ColumnStats:
+    rows: int
+    nulls: int
+    nans: int
+    valid: int        # non-null, non-NaN values
+    distinct: int     # HLL estimate of distinct valid values
+
+
+def column_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, ColumnStats]:
+    """One aggregate (a single bounded row) with counts and a distinct estimate per column."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    exprs = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(cols):
+        col, v = F.col(c), valid_number(c, types[c]) if isinstance(types[c], NUMERIC) else None
+        exprs.append(F.count_if(col.isNull()).alias(f"n{i}"))
+        if isinstance(types[c], (T.DoubleType, T.FloatType)):
+            exprs.append(F.count_if(F.isnan(col)).alias(f"nan{i}"))
+        if v is not None:
+            exprs += [F.count(v).alias(f"v{i}"),
+                      F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(v))), F.lit(0))
+                      .alias(f"d{i}")]
+    row = df.agg(*exprs).first().asDict()
+    return {c: ColumnStats(row["__rows"], row[f"n{i}"], row.get(f"nan{i}") or 0,
+                           row.get(f"v{i}", 0), row.get(f"d{i}", 0))
+            for i, c in enumerate(cols)}
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnStats] | None = None,
+                  sketch_k: int = 2048, finish_distinct: int = 50_000,
+                  max_rounds: int = 200) -> dict[str, float | None]:
+    """``{column: lower median as float}``; ``None`` for a column with no value.
+
+    ``stats`` from :func:`column_stats` saves the first scan when the caller has it.
+    """
     cols = list(cols)
     if not cols:
         return {}
     check_numeric(df, cols)
+    if stats is None:
+        stats = column_stats(df, cols)
     types = {f.name: f.dataType for f in df.schema.fields}
     names = [f"__v{i}" for i in range(len(cols))]
     base = df.select(*[valid_number(c, types[c]).alias(n) for c, n in zip(cols, names)])
     margin = 3.0 * _kll_error(sketch_k)
-    # Two-level merge fan-out: ~sqrt(#input partitions) first-level groups.
-    fan = max(1, math.isqrt(max(1, base.rdd.getNumPartitions())))
 
-    states = {n: _State(_Band()) for n in names}
+    states: dict[str, _State] = {}
     result: dict[str, float | None] = {}
     finish: dict[str, _State] = {}
+    for c, n in zip(cols, names):
+        st = stats[c]
+        if st.valid == 0:
+            result[n] = None
+        elif st.distinct <= finish_distinct:
+            finish[n] = _State(_Band(), (st.valid + 1) // 2)
+        else:
+            states[n] = _State(_Band(), (st.valid + 1) // 2)
+    fan = 1
+    if states:
+        # Two-level merge fan-out: ~sqrt(#input partitions) first-level groups.
+        fan = max(1, math.isqrt(max(1, base.rdd.getNumPartitions())))
 
     for _ in range(max_rounds):
         active = {n: s for n, s in states.items() if n not in result and n not in finish}
@@ -110,10 +157,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], sketch_k: int = 2048,
         for n, s in active.items():
             below, inside = row[f"{n}_below"], row[f"{n}_in"]
             target = s.proposal if s.proposal is not None else s.band
-            rank = s.rank if s.rank is not None else (inside + 1) // 2
-            if inside == 0 and s.rank is None:
-                result[n] = None                      # no value at all
-                continue
+            rank = s.rank
             if below < rank <= below + inside:        # proven: the median is in `target`
                 s.band, s.rank, s.proposal = target, rank - below, None
                 if s.band.single_value():
@@ -141,23 +185,33 @@ def exact_medians(df: DataFrame, cols: Sequence[str], sketch_k: int = 2048,
 
 
 def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int):
-    """One scan: per column, exact counts of a band and sketches of it (tree-merged)."""
-    salted = base.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fan)))
-    level1, level2 = [], []
+    """One scan: per column, exact counts of a band and sketches of it.
+
+    With many input partitions the sketches merge in two levels (first by a
+    salt of the partition id, then globally) so the final merge sees about
+    sqrt(#partitions) sketches; with few partitions one global aggregate does.
+    """
+    single, level1, level2 = [], [], []
     for n, s in active.items():
         v = F.col(n)
         target = s.proposal if s.proposal is not None else s.band
         below = (s.band.contains(v) & (v < F.lit(target.lo))) if s.proposal is not None else F.lit(False)
         in_target = target.contains(v)
-        level1 += [F.count_if(below).alias(f"{n}_below"),
-                   F.count_if(in_target).alias(f"{n}_in"),
-                   F.kll_sketch_agg_double(F.when(in_target, v), k).alias(f"{n}_kll"),
-                   F.hll_sketch_agg(F.when(in_target, F.xxhash64(v))).alias(f"{n}_hll")]
+        kll_in = F.kll_sketch_agg_double(F.when(in_target, v), k)
+        hll_in = F.hll_sketch_agg(F.when(in_target, F.xxhash64(v)))
+        single += [F.count_if(below).alias(f"{n}_below"), F.count_if(in_target).alias(f"{n}_in"),
+                   kll_in.alias(f"{n}_kll"),
+                   F.coalesce(F.hll_sketch_estimate(hll_in), F.lit(0)).alias(f"{n}_distinct")]
+        level1 += [F.count_if(below).alias(f"{n}_below"), F.count_if(in_target).alias(f"{n}_in"),
+                   kll_in.alias(f"{n}_kll"), hll_in.alias(f"{n}_hll")]
         level2 += [F.coalesce(F.sum(f"{n}_below"), F.lit(0)).alias(f"{n}_below"),
                    F.coalesce(F.sum(f"{n}_in"), F.lit(0)).alias(f"{n}_in"),
                    F.kll_merge_agg_double(f"{n}_kll", k).alias(f"{n}_kll"),
                    F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"{n}_hll")), F.lit(0))
                    .alias(f"{n}_distinct")]
+    if fan <= 1:
+        return base.agg(*single).first()
+    salted = base.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fan)))
     return salted.groupBy("__salt").agg(*level1).agg(*level2).first()
 
 

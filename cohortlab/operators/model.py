@@ -82,7 +82,7 @@ def with_folds(df: DataFrame, id_col: str = ID, num_folds: int = NUM_FOLDS) -> D
 
 
 def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL,
-           num_folds: int = NUM_FOLDS, parallelism: int = 4, max_iter: int = MAX_ITER,
+           num_folds: int = NUM_FOLDS, parallelism: int = 6, max_iter: int = MAX_ITER,
            reg_params: Sequence[float] = REG_PARAMS,
            elastic_net_params: Sequence[float] = ELASTIC_NET_PARAMS,
            id_col: str = ID) -> CrossValidatorModel:
@@ -91,6 +91,10 @@ def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
     The training rows are pruned to id + features + label + fold and persisted
     (memory, spilling to disk) for the 31 fits; the lineage above them is a
     scan and a projection, so a lost block is recomputed cheaply.
+    ``parallelism`` fits run at once (default: the 6 grid points of a fold);
+    each optimiser iteration is a short job, so concurrent fits keep the
+    executors busy. Every running fit persists its fold's rows (spilling to
+    disk), so lower it when executor memory is short.
     """
     pipe, lr = pipeline(features, label, max_iter)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=param_grid(lr, reg_params, elastic_net_params),
@@ -199,12 +203,15 @@ def random_holdout(df: DataFrame, weights: Sequence[float] = HOLDOUT_WEIGHTS,
 
 
 def hash_holdout(df: DataFrame, id_col: str = ID) -> tuple[DataFrame, DataFrame]:
-    """A layout-independent ~70/30 split by key: ``(id * 7919) % 1009 < 706``."""
-    flag = hash_mod(id_col, 7919, 1009) < F.lit(706)
+    """A layout-independent ~70/30 split by key: ``(id * 49979687) % 1009 < 706``.
+
+    Its multiplier differs from the one that separates the training file from
+    the file to score, so applied to a training file it still splits it."""
+    flag = hash_mod(id_col, 49979687, 1009) < F.lit(706)
     return df.filter(flag), df.filter(~flag)
 
 
-def holdout_metrics(df: DataFrame, split: str = "random", parallelism: int = 4,
+def holdout_metrics(df: DataFrame, split: str = "random", parallelism: int = 6,
                     **fit_args) -> tuple[DataFrame, CrossValidatorModel]:
     """Split, cross-validate on the larger part, score the hold-out, measure it."""
     train, test = random_holdout(df) if split == "random" else hash_holdout(df)

@@ -54,7 +54,7 @@ class JobResult:
 
 def run_job(spark: SparkSession, train_path: str, test_path: str, out_path: str,
             fmt: str = "csv", explicit_schema: bool = False, test_medians: str = "self",
-            holdout: str = "random", parallelism: int = 4, single_file: bool = False) -> JobResult:
+            holdout: str = "random", parallelism: int = 6, single_file: bool = False) -> JobResult:
     """Prepare both files, measure on a hold-out, fit on all training rows, score, export.
 
     ``test_medians="self"`` fills the scored file with its own medians (the
@@ -86,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--explicit-schema", action="store_true")
     ap.add_argument("--test-medians", default="self", choices=["self", "train"])
     ap.add_argument("--holdout", default="random", choices=["random", "hash"])
-    ap.add_argument("--parallelism", type=int, default=4)
+    ap.add_argument("--parallelism", type=int, default=6)
     ap.add_argument("--single-file", action="store_true")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cohortlab").getOrCreate()

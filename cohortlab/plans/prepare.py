@@ -1,9 +1,9 @@
 """The prepare step: encode, count missing, impute with exact medians.
 
-Three scans in all, whatever the column count: one aggregate for null/NaN
-counts of every column, the median search (one sketch scan per round, usually
-one round, plus one pass over the bounded final bands), and whatever consumes
-the lazily filled frame. The reports (profiles, missing-after) are lazy frames
+Two scans before the filled frame exists, whatever the column count: one
+aggregate with null/NaN/valid counts and a distinct estimate of every column,
+then the median search -- for columns with few distinct values one grouped
+pass over them; near-unique columns add a sketch scan per narrowing round. The reports (profiles, missing-after) are lazy frames
 the caller can run or skip.
 """
 
@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 
 from cohortlab.operators.encode import encode_categoricals
 from cohortlab.operators.impute import apply_medians
-from cohortlab.operators.median import check_numeric, exact_medians
-from cohortlab.operators.missing import missing_counts, null_nan_counts
+from cohortlab.operators.median import check_numeric, column_stats, exact_medians
+from cohortlab.operators.missing import missing_counts
 from cohortlab.operators.profile import profile
 
 
@@ -57,12 +57,12 @@ def prepare(df: DataFrame, medians: dict[str, float] | None = None,
     encoded = encode_categoricals(df)
     cols = [c for c in encoded.columns if c not in skip]
     check_numeric(encoded, cols)
-    counts = null_nan_counts(encoded, cols)                       # scan 1 (one bounded row)
+    stats = column_stats(encoded, cols)                           # scan 1 (one bounded row)
     missing_before = spark.createDataFrame(
-        [(c, int(counts[c][1])) for c in cols], "column string, n_missing long")
+        [(c, int(stats[c].nulls)) for c in cols], "column string, n_missing long")
     if medians is None:
-        need = [c for c in cols if counts[c][1] + counts[c][2] > 0]
-        medians = exact_medians(encoded, need)                    # scan 2 (+ bounded finish)
+        need = [c for c in cols if stats[c].nulls + stats[c].nans > 0]
+        medians = exact_medians(encoded, need, stats)             # scan 2 (bounded bands)
         empty = [c for c, m in medians.items() if m is None]
         if empty:
             raise ValueError(f"cannot impute: no non-missing value in column(s) {empty}")
