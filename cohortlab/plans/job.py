@@ -1,6 +1,6 @@
 """The batch job: train file + file to score -> hold-out metrics, model, exported predictions.
 
-    spark-submit -m cohortlab.plans.job TRAIN TEST OUT [--format csv|parquet] ...
+    spark-submit --py-files cohortlab.zip cohortlab/plans/job.py TRAIN TEST OUT [--format csv|parquet] ...
 
 The session comes from the submitter (no master is set here).
 """
