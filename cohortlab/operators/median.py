@@ -7,25 +7,23 @@ quantile query at 0.5 returns. Nulls and NaN are ignored.
 Why not one ``percentile_disc`` aggregate: it keeps a value->count map of every
 distinct value, and its final merge runs in one task, so on a near-unique
 column it pulls the whole column into one task. Here no task ever holds more
-than a bounded band:
+than a bounded band of distinct values:
 
 0. One cheap aggregate gives per column: rows, nulls, NaNs, valid values and an
    HLL distinct estimate (``prepare`` reuses it as its missing-value report).
-   A column with few distinct values skips straight to step 3.
-1. One aggregate per round builds, for each unresolved column, a mergeable KLL
-   sketch, an HLL distinct sketch and exact counts of a value band. Sketches
-   are merged in a two-level tree (by a salt of the partition id, then
-   globally), so the single final merge sees ~sqrt(#partitions) sketches.
-2. The sketch proposes a narrow value band around the wanted rank; exact counts
-   (rows below the band, rows inside it) *prove* whether the wanted element is
-   inside. If the sketch was wrong, the band shrinks to the side that holds it
-   -- correctness never depends on the sketch.
-3. Once a band holds few distinct values (HLL estimate below a threshold) or a
-   single value, the values in the band are grouped with their counts and a
-   running count over that bounded band picks the exact element.
-
-A value holding a third of all rows collapses into one (value, count) group
-and ends the search at once.
+1. A column with few distinct values is finished at once: its values are
+   grouped with their counts (map-side combined, so a value holding a third of
+   all rows is one row per task) and a running count over that bounded set
+   picks the element at the wanted rank.
+2. A column with many distinct values gets a mergeable KLL sketch of its
+   current value band (merged in two levels -- by a salt of the partition id,
+   then globally -- so the final merge sees ~sqrt(#partitions) sketches). The
+   sketch proposes a narrow sub-band around the wanted rank.
+3. The proposal is checked with exact counts (rows below it, rows inside it).
+   If the wanted element is inside, the band narrows to it; if the sketch
+   missed, the band narrows to the side that holds it. Correctness never
+   depends on the sketch. When a proposal is small enough, checking and
+   finishing happen in the same grouped pass.
 """
 
 from __future__ import annotations
@@ -60,14 +58,42 @@ class _Band:
         return cond
 
     def single_value(self) -> bool:
-        return (self.lo is not None and self.lo == self.hi and self.lo_inc and self.hi_inc)
+        return self.lo is not None and self.lo == self.hi and self.lo_inc and self.hi_inc
 
 
 @dataclass
 class _State:
     band: _Band
     rank: int                        # 1-based rank of the median inside ``band``
-    proposal: _Band | None = None    # candidate sub-band to verify next round
+    n: int                           # valid values inside ``band``
+    distinct: int | None = None      # estimate of distinct values inside ``band``
+    proposal: _Band | None = None    # sub-band to check next
+
+    def below(self, v: Column) -> Column:
+        """Band rows under the proposal (the rank offset of the proposal)."""
+        if self.proposal is None or self.proposal.lo is None:
+            return F.lit(False)
+        return self.band.contains(v) & (v < F.lit(self.proposal.lo))
+
+    def target(self) -> _Band:
+        return self.proposal if self.proposal is not None else self.band
+
+    def settle(self, below: int, inside: int) -> bool:
+        """Apply exact counts of a checked proposal; True when the median is inside it."""
+        t = self.target()
+        if below < self.rank <= below + inside:
+            self.band, self.rank, self.n = t, self.rank - below, inside
+            ok = True
+        elif self.rank <= below:
+            self.band, self.n = _Band(self.band.lo, self.band.lo_inc, t.lo, False), below
+            ok = False
+        else:
+            self.band = _Band(t.hi, False, self.band.hi, self.band.hi_inc)
+            self.rank, self.n = self.rank - below - inside, self.n - below - inside
+            ok = False
+        self.proposal, self.distinct = None, None
+        return ok
+
 
 
 def check_numeric(df: DataFrame, cols: Sequence[str]) -> None:
@@ -131,78 +157,65 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
     names = [f"__v{i}" for i in range(len(cols))]
     base = df.select(*[valid_number(c, types[c]).alias(n) for c, n in zip(cols, names)])
     margin = 3.0 * _kll_error(sketch_k)
+    # Share of a band's rows a proposal spans: the margin on both sides plus the
+    # sketch's own rank error; a proposal also takes all ties at its two ends,
+    # which adds at most two distinct values.
+    span = 2.0 * margin + 2.0 * _kll_error(sketch_k)
 
-    states: dict[str, _State] = {}
     result: dict[str, float | None] = {}
-    finish: dict[str, _State] = {}
+    states: dict[str, _State] = {}
     for c, n in zip(cols, names):
         st = stats[c]
         if st.valid == 0:
             result[n] = None
-        elif st.distinct <= finish_distinct:
-            finish[n] = _State(_Band(), (st.valid + 1) // 2)
         else:
-            states[n] = _State(_Band(), (st.valid + 1) // 2)
-    fan = 1
-    if states:
-        # Two-level merge fan-out: ~sqrt(#input partitions) first-level groups.
-        fan = max(1, math.isqrt(max(1, base.rdd.getNumPartitions())))
+            states[n] = _State(_Band(), (st.valid + 1) // 2, st.valid, st.distinct)
+    fan = None
 
     for _ in range(max_rounds):
-        active = {n: s for n, s in states.items() if n not in result and n not in finish}
-        if not active:
+        pending = {n: s for n, s in states.items() if n not in result}
+        for n, s in pending.items():
+            if s.proposal is None and s.band.single_value():
+                result[n] = s.band.lo
+        pending = {n: s for n, s in pending.items() if n not in result}
+        if not pending:
             break
-        row = _sketch_round(base, active, sketch_k, fan)
-        propose = {}
-        for n, s in active.items():
-            below, inside = row[f"{n}_below"], row[f"{n}_in"]
-            target = s.proposal if s.proposal is not None else s.band
-            rank = s.rank
-            if below < rank <= below + inside:        # proven: the median is in `target`
-                s.band, s.rank, s.proposal = target, rank - below, None
-                if s.band.single_value():
-                    result[n] = s.band.lo
-                elif row[f"{n}_distinct"] <= finish_distinct or inside <= finish_distinct:
-                    finish[n] = s
-                else:
-                    q = s.rank / inside
-                    propose[n] = (max(0.0, q - margin), min(1.0, q + margin))
-            elif rank <= below:                       # sketch missed low: keep the part below
-                s.band = _Band(s.band.lo, s.band.lo_inc, target.lo, False)
-                s.proposal = None
-            else:                                     # sketch missed high: keep the part above
-                s.band = _Band(target.hi, False, s.band.hi, s.band.hi_inc)
-                s.rank, s.proposal = rank - below - inside, None
-        if propose:
-            for n, (lo, hi) in _quantiles(base.sparkSession, row, propose).items():
-                states[n].proposal = _Band(lo, True, hi, True)
+        finish = {n: s for n, s in pending.items()
+                  if (s.proposal is None and (s.n <= finish_distinct or
+                                              (s.distinct is not None and s.distinct <= finish_distinct)))
+                  or (s.proposal is not None and s.n * span + 2 <= finish_distinct)}
+        sketch = {n: s for n, s in pending.items() if n not in finish}
+        if sketch:
+            # Columns ready to finish wait, so all of them share one grouped pass.
+            if fan is None:
+                fan = max(1, math.isqrt(max(1, base.rdd.getNumPartitions())))
+            _sketch_round(base, sketch, sketch_k, fan, margin, finish_distinct)
+        else:
+            result.update(_finish(base, finish))
     else:
         raise RuntimeError("median search did not converge")
-
-    if finish:
-        result.update(_finish(base, finish))
     return {c: result[n] for c, n in zip(cols, names)}
 
 
-def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int):
-    """One scan: per column, exact counts of a band and sketches of it.
+def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int, margin: float,
+                  finish_distinct: int) -> None:
+    """One scan: per column, exact counts of the band or proposal and a sketch of it.
 
-    With many input partitions the sketches merge in two levels (first by a
-    salt of the partition id, then globally) so the final merge sees about
-    sqrt(#partitions) sketches; with few partitions one global aggregate does.
+    A column without a proposal gets its next proposal from the sketch inside
+    the same job (its rank and size are known); a column whose proposal is
+    being checked learns its new rank only from this job's counts, so its
+    proposal comes from the collected (size-bounded) sketch afterwards.
     """
     single, level1, level2 = [], [], []
     for n, s in active.items():
         v = F.col(n)
-        target = s.proposal if s.proposal is not None else s.band
-        below = (s.band.contains(v) & (v < F.lit(target.lo))) if s.proposal is not None else F.lit(False)
-        in_target = target.contains(v)
+        in_target = s.target().contains(v)
         kll_in = F.kll_sketch_agg_double(F.when(in_target, v), k)
         hll_in = F.hll_sketch_agg(F.when(in_target, F.xxhash64(v)))
-        single += [F.count_if(below).alias(f"{n}_below"), F.count_if(in_target).alias(f"{n}_in"),
+        single += [F.count_if(s.below(v)).alias(f"{n}_below"), F.count_if(in_target).alias(f"{n}_in"),
                    kll_in.alias(f"{n}_kll"),
                    F.coalesce(F.hll_sketch_estimate(hll_in), F.lit(0)).alias(f"{n}_distinct")]
-        level1 += [F.count_if(below).alias(f"{n}_below"), F.count_if(in_target).alias(f"{n}_in"),
+        level1 += [F.count_if(s.below(v)).alias(f"{n}_below"), F.count_if(in_target).alias(f"{n}_in"),
                    kll_in.alias(f"{n}_kll"), hll_in.alias(f"{n}_hll")]
         level2 += [F.coalesce(F.sum(f"{n}_below"), F.lit(0)).alias(f"{n}_below"),
                    F.coalesce(F.sum(f"{n}_in"), F.lit(0)).alias(f"{n}_in"),
@@ -210,13 +223,42 @@ def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int):
                    F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"{n}_hll")), F.lit(0))
                    .alias(f"{n}_distinct")]
     if fan <= 1:
-        return base.agg(*single).first()
-    salted = base.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fan)))
-    return salted.groupBy("__salt").agg(*level1).agg(*level2).first()
+        merged = base.agg(*single)
+    else:
+        salted = base.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fan)))
+        merged = salted.groupBy("__salt").agg(*level1).agg(*level2)
+    out = []
+    for n, s in active.items():
+        out += [F.col(f"{n}_below"), F.col(f"{n}_in"), F.col(f"{n}_distinct")]
+        if s.proposal is None:
+            q = s.rank / s.n
+            lo, hi = max(0.0, q - margin), min(1.0, q + margin)
+            kll = F.col(f"{n}_kll")
+            out += [F.when(F.col(f"{n}_in") > 0, F.kll_sketch_get_quantile_double(kll, F.lit(lo))).alias(f"{n}_qlo"),
+                    F.when(F.col(f"{n}_in") > 0, F.kll_sketch_get_quantile_double(kll, F.lit(hi))).alias(f"{n}_qhi")]
+        else:
+            out.append(F.col(f"{n}_kll"))
+    row = merged.select(*out).first()
+
+    later = {}
+    for n, s in active.items():
+        distinct = row[f"{n}_distinct"]
+        if s.proposal is None:
+            s.distinct = distinct
+            if distinct > finish_distinct:
+                s.proposal = _Band(row[f"{n}_qlo"], True, row[f"{n}_qhi"], True)
+        elif s.settle(row[f"{n}_below"], row[f"{n}_in"]):
+            s.distinct = distinct
+            if distinct > finish_distinct and not s.band.single_value():
+                q = s.rank / s.n
+                later[n] = (max(0.0, q - margin), min(1.0, q + margin))
+    if later:
+        for n, (lo, hi) in _quantiles(base.sparkSession, row, later).items():
+            active[n].proposal = _Band(lo, True, hi, True)
 
 
 def _quantiles(spark, row, propose: dict[str, tuple[float, float]]) -> dict[str, tuple[float, float]]:
-    """Values at given normalised ranks of the merged sketches (one row, no scan)."""
+    """Values at given normalised ranks of collected sketches (one row, no scan)."""
     names = list(propose)
     schema = T.StructType([T.StructField(n, T.BinaryType()) for n in names])
     one = spark.createDataFrame([tuple(bytes(row[f"{n}_kll"]) for n in names)], schema)
@@ -230,16 +272,36 @@ def _quantiles(spark, row, propose: dict[str, tuple[float, float]]) -> dict[str,
 
 
 def _finish(base: DataFrame, finish: dict[str, _State]) -> dict[str, float]:
-    """Exact pick inside bounded bands: group band values with counts, run a count."""
-    structs = [F.when(s.band.contains(F.col(n)), F.struct(F.lit(n).alias("c"), F.col(n).alias("v")))
-               for n, s in finish.items()]
-    cands = (base.select(F.inline(F.array(*structs)))
-             .filter(F.col("c").isNotNull())
-             .groupBy("c", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    rank_of = F.create_map(*[x for n, s in finish.items() for x in (F.lit(n), F.lit(s.rank))])
-    w = Window.partitionBy("c").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    picked = (cands.withColumn("cum", F.sum("cnt").over(w))
-              .withColumn("r", rank_of[F.col("c")])
-              .filter((F.col("cum") >= F.col("r")) & (F.col("cum") - F.col("cnt") < F.col("r")))
-              .select("c", "v"))
-    return {r["c"]: r["v"] for r in picked.collect()}
+    """Exact pick in bounded bands, checking any pending proposal in the same pass.
+
+    Rows under the proposal collapse into one counted group per column; rows in
+    the proposal (or in the whole band) are grouped by value. A running count
+    in value order over that bounded set finds the wanted rank. If the rank
+    falls outside the proposal, the state narrows and the search goes on.
+    """
+    names = list(finish)
+    args = []
+    for i, n in enumerate(names):
+        s, v = finish[n], F.col(n)
+        part = F.when(s.below(v), F.lit(0)).when(s.target().contains(v), F.lit(1))
+        args += [F.lit(i), part, F.when(part == 1, v)]
+    cands = (base.select(F.stack(F.lit(len(names)), *args).alias("c", "part", "v"))
+             .filter(F.col("part").isNotNull())
+             .groupBy("c", "part", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    rank_of = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(i), F.lit(finish[n].rank))])
+    w = Window.partitionBy("c").orderBy("part", "v").rowsBetween(Window.unboundedPreceding,
+                                                                Window.currentRow)
+    r = rank_of[F.col("c")]
+    hit = (F.col("cum") >= r) & (F.col("cum") - F.col("cnt") < r)
+    per_col = (cands.withColumn("cum", F.sum("cnt").over(w))
+               .groupBy("c")
+               .agg(F.max(F.when(hit & (F.col("part") == 1), F.col("v"))).alias("median"),
+                    F.coalesce(F.sum(F.when(F.col("part") == 0, F.col("cnt"))), F.lit(0)).alias("below"),
+                    F.coalesce(F.sum(F.when(F.col("part") == 1, F.col("cnt"))), F.lit(0)).alias("inside")))
+    rows = {names[row["c"]]: row for row in per_col.collect()}
+    out = {}
+    for n, s in finish.items():
+        row = rows.get(n)
+        if s.settle(row["below"] if row else 0, row["inside"] if row else 0):
+            out[n] = row["median"]
+    return out
