@@ -54,29 +54,47 @@ def _category(key: str) -> Column:
     return category_text(F.col(key))
 
 
+def _per_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
+    """``chart, category, total`` + named ``aggs`` for every key, from one scan.
+
+    A grouping-sets aggregate (one set per key) expands each row once per key
+    inside the scan stage, pre-aggregates per task, and shuffles once, instead
+    of one scan and one shuffle per key. ``grouping_id`` tells the sets apart;
+    ``total`` is ``count(key)`` of the set's own key (0 for a null key group).
+    """
+    n, full = len(keys), (1 << len(keys)) - 1
+    counts = [F.count(F.col(k)).alias(f"__n{i}") for i, k in enumerate(keys)]
+    named = [c.alias(name) for name, c in aggs.items()]
+    g = df.groupingSets([[k] for k in keys], *keys).agg(*named, *counts, F.grouping_id().alias("__gid"))
+
+    def pick(values: list[Column]) -> Column:
+        out = None
+        for i, v in enumerate(values):
+            cond = F.col("__gid") == F.lit(full - (1 << (n - 1 - i)))
+            out = F.when(cond, v) if out is None else out.when(cond, v)
+        return out
+
+    return g.select(pick([F.lit(k) for k in keys]).alias("chart"),
+                    pick([_category(k) for k in keys]).alias("category"),
+                    pick([F.col(f"__n{i}") for i in range(n)]).alias("total"),
+                    *aggs.keys())
+
+
 def chart_series_target(df: DataFrame, keys: Sequence[str] = EXPLORE_KEYS,
                         label: str = LABEL) -> DataFrame:
     """Label counts per key value in long form, series ``TenYearCHD`` / ``Non TenYearCHD``."""
     pos, neg = TARGET_SERIES
-    parts = []
-    for k in keys:
-        t = (df.groupBy(k).agg(F.sum(_is(label, 1)).alias("pos"), F.count(F.col(k)).alias("total"))
-             .select(F.lit(k).alias("chart"), _category(k).alias("category"),
-                     F.col("pos").alias(pos), (F.col("total") - F.col("pos")).alias(neg)))
-        parts.append(t.unpivot(["chart", "category"], [pos, neg], "series", "n"))
-    return _union(parts)
+    t = _per_key(df, keys, {"pos": F.sum(_is(label, 1))})
+    t = t.select("chart", "category", F.col("pos").alias(pos), (F.col("total") - F.col("pos")).alias(neg))
+    return t.unpivot(["chart", "category"], [pos, neg], "series", "n")
 
 
 def chart_series_prediction(df: DataFrame, keys: Sequence[str] = EXPLORE_KEYS,
                             prediction: str = PREDICTION) -> DataFrame:
     """Prediction counts per key value in long form, series ``Prediction_1`` / ``Prediction_0``."""
     one, zero = PREDICTION_SERIES
-    parts = []
-    for k in keys:
-        t = (df.groupBy(k).agg(F.sum(_is(prediction, 1)).alias(one), F.sum(_is(prediction, 0)).alias(zero))
-             .select(F.lit(k).alias("chart"), _category(k).alias("category"), one, zero))
-        parts.append(t.unpivot(["chart", "category"], [one, zero], "series", "n"))
-    return _union(parts)
+    t = _per_key(df, keys, {one: F.sum(_is(prediction, 1)), zero: F.sum(_is(prediction, 0))})
+    return t.select("chart", "category", one, zero).unpivot(["chart", "category"], [one, zero], "series", "n")
 
 
 def chart_series_missing(before: DataFrame, after: DataFrame) -> DataFrame:
