@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from cohortlab.operators.explore import prediction_by, prediction_counts, target_by  # noqa: E402
 from cohortlab.operators.median import exact_medians  # noqa: E402
 from cohortlab.operators.model import (accuracy_metrics, fit_cv, hash_holdout, linear_model,  # noqa: E402
-                                       score, with_linear_score)
+                                       pipeline, score, with_linear_score)
 from cohortlab.plans.prepare import prepare  # noqa: E402
 from cohortlab.schema import EXPLORE_KEYS  # noqa: E402
 from cohortlab.session import local_session, scratch_path  # noqa: E402
@@ -61,6 +61,13 @@ def main() -> None:
         m = fit_cv(tr)
         return accuracy_metrics(score(m, te)).first()
 
+    def single_fit():
+        tr, te = hash_holdout(train.frame)
+        pipe, lr = pipeline()
+        m = pipe.fit(tr, {lr.regParam: 0.01, lr.elasticNetParam: 0.0})
+        return accuracy_metrics(score(m, te)).first()
+
+    timed("single_fit_score_accuracy", single_fit)
     hold = timed("holdout_cv_fit_and_eval", holdout)
     model = timed("cv_fit_all_train", lambda: fit_cv(train.frame))
 

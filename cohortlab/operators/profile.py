@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortlab.operators.median import NUMERIC
 
@@ -38,11 +37,11 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -
                  F.round(F.stddev_samp(x), digits).alias(f"sd{i}"), F.min(x).alias(f"min{i}"),
                  F.max(x).alias(f"max{i}")]
     wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
-                        F.col(f"mean{i}").alias("mean"), F.col(f"sd{i}").alias("stddev"),
-                        F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"))
-               for i, c in enumerate(cols)]
-    return wide.select(F.inline(F.array(*structs)))
+    args = [x for i, c in enumerate(cols)
+            for x in (F.lit(c), F.col(f"n{i}"), F.col(f"mean{i}"), F.col(f"sd{i}"),
+                      F.col(f"min{i}"), F.col(f"max{i}"))]
+    return wide.select(F.stack(F.lit(len(cols)), *args)
+                       .alias("column", "count", "mean", "stddev", "min", "max"))
 
 
 def head_rows(df: DataFrame, n: int = 30, key: str = "id") -> DataFrame:

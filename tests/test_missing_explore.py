@@ -55,3 +55,17 @@ def test_chart_series_long_form(spark):
     assert {r.series for r in p} == {"Prediction_1", "Prediction_0"}
     m = chart_series_missing(missing_counts(df.select("age")), missing_counts(df.select("age"))).collect()
     assert {r.series for r in m} == {"Missing Data", "Missing Data (After)"}
+
+
+def test_profile_schema_rows_describe_head(spark):
+    from cohortlab.operators.profile import describe, head_rows, profile, schema_rows
+    df = spark.createDataFrame([(3, 1.0, "a"), (1, None, "b"), (2, 3.0, None)], "id int, x double, s string")
+    prof = {r["column"]: r for r in profile(df).collect()}
+    assert set(prof) == {"id", "x"}
+    assert (prof["x"]["count"], prof["x"]["mean"], prof["x"]["min"], prof["x"]["max"]) == (2, 2.0, 1.0, 3.0)
+    assert prof["id"]["stddev"] == 1.0
+    rows = {r.column: r.type for r in schema_rows(spark, df).collect()}
+    assert rows == {"id": "int", "x": "double", "s": "string"}
+    d = {r.summary: r for r in describe(df).collect()}
+    assert d["count"]["s"] == "2" and d["mean"]["x"] == "2.0"
+    assert [r.id for r in head_rows(df, 2).collect()] == [1, 2]
