@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -19,24 +18,3 @@ def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     cols = list(cols) if cols is not None else df.columns
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     return wide.unpivot([], cols, "column", "n_missing")
-
-
-def null_nan_counts(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, tuple[int, int, int]]:
-    """``{column: (n_rows, n_null, n_nan)}`` from one aggregate (a single bounded row).
-
-    NaN only exists in float/double columns; it is not "missing" but a fill
-    replaces it, so imputation needs both counts.
-    """
-    cols = list(cols) if cols is not None else df.columns
-    types = {f.name: f.dataType for f in df.schema.fields}
-    exprs = [F.count(F.lit(1)).alias("__rows")]
-    for i, c in enumerate(cols):
-        exprs.append(F.count_if(F.col(c).isNull()).alias(f"__null{i}"))
-        if isinstance(types[c], (T.DoubleType, T.FloatType)):
-            exprs.append(F.count_if(F.isnan(F.col(c))).alias(f"__nan{i}"))
-    row = df.agg(*exprs).first()
-    out = {}
-    for i, c in enumerate(cols):
-        nan = row[f"__nan{i}"] if f"__nan{i}" in row.asDict() else 0
-        out[c] = (row["__rows"], row[f"__null{i}"], nan or 0)
-    return out

@@ -51,20 +51,15 @@ PATIENT_EXPRESSIONS: tuple[tuple[str, str], ...] = (
             f"+ {_h(179424691, 40)} > 140 THEN 1 ELSE 0 END"),
 )
 
-# Layout-independent key-hash split and folds (unlike randomSplit, whose rows
-# change with the partition count).
+# Layout-independent key-hash split of the patients into the training file and
+# the file to score (unlike randomSplit, whose rows change with the partition count).
 TRAIN_EXPR = f"{_h(7919, 1009, ID)} < 706"
-FOLD_EXPR = f"{_h(104729, 1013, ID)} % 5"
 
 
 def train_flag(id_col: str = ID) -> Column:
     return F.expr(f"{_h(7919, 1009, id_col)} < 706")
 
 
-def fold_of(id_col: str = ID, num_folds: int = 5) -> Column:
-    return F.expr(f"CAST({_h(104729, 1013, id_col)} % {num_folds} AS INT)")
-
-
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All patients (train and scored rows, label included), one row per event."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")

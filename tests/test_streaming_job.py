@@ -1,8 +1,6 @@
 import glob
 import os
 
-from pyspark.sql import functions as F
-
 from cohortlab.operators.model import fit_cv, linear_model, with_linear_score
 from cohortlab.plans.job import main, run_job
 from cohortlab.plans.prepare import prepare
