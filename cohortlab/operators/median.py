@@ -68,6 +68,7 @@ class _State:
     n: int                           # valid values inside ``band``
     distinct: int | None = None      # estimate of distinct values inside ``band``
     proposal: _Band | None = None    # sub-band to check next
+    margin: float = 0.0              # half-width, in rank share, of the next proposal
 
     def below(self, v: Column) -> Column:
         """Band rows under the proposal (the rank offset of the proposal)."""
@@ -82,6 +83,10 @@ class _State:
         """Apply exact counts of a checked proposal; True when the median is inside it."""
         t = self.target()
         if below < self.rank <= below + inside:
+            if inside >= self.n:
+                # The proposal held every row of the band: no progress, so the
+                # next proposal is narrower (it ends at a single value).
+                self.margin /= 4.0
             self.band, self.rank, self.n = t, self.rank - below, inside
             ok = True
         elif self.rank <= below:
@@ -157,10 +162,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
     names = [f"__v{i}" for i in range(len(cols))]
     base = df.select(*[valid_number(c, types[c]).alias(n) for c, n in zip(cols, names)])
     margin = 3.0 * _kll_error(sketch_k)
-    # Share of a band's rows a proposal spans: the margin on both sides plus the
-    # sketch's own rank error; a proposal also takes all ties at its two ends,
-    # which adds at most two distinct values.
-    span = 2.0 * margin + 2.0 * _kll_error(sketch_k)
+    err = _kll_error(sketch_k)
 
     result: dict[str, float | None] = {}
     states: dict[str, _State] = {}
@@ -169,7 +171,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
         if st.valid == 0:
             result[n] = None
         else:
-            states[n] = _State(_Band(), (st.valid + 1) // 2, st.valid, st.distinct)
+            states[n] = _State(_Band(), (st.valid + 1) // 2, st.valid, st.distinct, margin=margin)
     fan = None
 
     for _ in range(max_rounds):
@@ -183,13 +185,15 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
         finish = {n: s for n, s in pending.items()
                   if (s.proposal is None and (s.n <= finish_distinct or
                                               (s.distinct is not None and s.distinct <= finish_distinct)))
-                  or (s.proposal is not None and s.n * span + 2 <= finish_distinct)}
+                  # a proposal spans its margin on both sides plus the sketch's
+                  # rank error, and the ties at its two ends (two values at most)
+                  or (s.proposal is not None and s.n * (2 * s.margin + 2 * err) + 2 <= finish_distinct)}
         sketch = {n: s for n, s in pending.items() if n not in finish}
         if sketch:
             # Columns ready to finish wait, so all of them share one grouped pass.
             if fan is None:
                 fan = max(1, math.isqrt(max(1, base.rdd.getNumPartitions())))
-            _sketch_round(base, sketch, sketch_k, fan, margin, finish_distinct)
+            _sketch_round(base, sketch, sketch_k, fan, finish_distinct)
         else:
             result.update(_finish(base, finish))
     else:
@@ -197,7 +201,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
     return {c: result[n] for c, n in zip(cols, names)}
 
 
-def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int, margin: float,
+def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int,
                   finish_distinct: int) -> None:
     """One scan: per column, exact counts of the band or proposal and a sketch of it.
 
@@ -232,7 +236,7 @@ def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int,
         out += [F.col(f"{n}_below"), F.col(f"{n}_in"), F.col(f"{n}_distinct")]
         if s.proposal is None:
             q = s.rank / s.n
-            lo, hi = max(0.0, q - margin), min(1.0, q + margin)
+            lo, hi = max(0.0, q - s.margin), min(1.0, q + s.margin)
             kll = F.col(f"{n}_kll")
             out += [F.when(F.col(f"{n}_in") > 0, F.kll_sketch_get_quantile_double(kll, F.lit(lo))).alias(f"{n}_qlo"),
                     F.when(F.col(f"{n}_in") > 0, F.kll_sketch_get_quantile_double(kll, F.lit(hi))).alias(f"{n}_qhi")]
@@ -251,7 +255,7 @@ def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int,
             s.distinct = distinct
             if distinct > finish_distinct and not s.band.single_value():
                 q = s.rank / s.n
-                later[n] = (max(0.0, q - margin), min(1.0, q + margin))
+                later[n] = (max(0.0, q - s.margin), min(1.0, q + s.margin))
     if later:
         for n, (lo, hi) in _quantiles(base.sparkSession, row, later).items():
             active[n].proposal = _Band(lo, True, hi, True)
