@@ -21,8 +21,12 @@ from cohortlab.sources.sink import export_projection
 
 def score_stream(spark: SparkSession, model, medians: dict[str, float], source_dir: str,
                  out_dir: str, checkpoint_dir: str, schema: T.StructType = SCORED_SCHEMA,
-                 fmt: str = "csv", available_now: bool = True) -> StreamingQuery:
+                 fmt: str = "csv", available_now: bool = True,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the query; ``max_files_per_trigger`` bounds each micro-batch."""
     reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.option("header", True).csv(source_dir) if fmt == "csv" else reader.parquet(source_dir)
     scored = with_linear_score(apply_medians(encode_categoricals(stream), medians), linear_model(model))
     writer = (export_projection(scored).writeStream.format(fmt)

@@ -23,7 +23,7 @@ def test_stream_scoring_equals_batch(spark, tmp_out):
         for f in glob.glob(os.path.join(src, sub, "part-*.csv")):
             os.rename(f, os.path.join(src, f"{sub}-{os.path.basename(f)}"))
     out, ckpt = os.path.join(tmp_out, "out"), os.path.join(tmp_out, "ckpt")
-    q = score_stream(spark, model, train.medians, src, out, ckpt)
+    q = score_stream(spark, model, train.medians, src, out, ckpt, max_files_per_trigger=1)
     q.awaitTermination(120)
     got = read_patients(spark, out, schema=with_linear_score(
         prepare(scored_raw, medians=train.medians).frame, linear_model(model)).select(*EXPORT_COLUMNS).schema)
