@@ -7,7 +7,7 @@ null -- encodes to 0 (so ``Yes`` is 0 and a missing sex becomes 0).
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cohortlab.schema import SEX_POSITIVE, SMOKING_POSITIVE
+from cohortlab.schema import SEX_LABELS, SEX_POSITIVE, SMOKING_LABELS, SMOKING_POSITIVE
 
 
 def _flag(c: Column | str, positive: str) -> Column:
@@ -31,9 +31,9 @@ def _label(c: Column | str, yes: str, no: str) -> Column:
 
 def sex_label(c: Column | str = "sex") -> Column:
     """Encoded sex back to text: 1 -> M, anything else -> F."""
-    return _label(c, "M", "F")
+    return _label(c, *SEX_LABELS)
 
 
 def smoking_label(c: Column | str = "is_smoking") -> Column:
     """Encoded smoking flag back to text: 1 -> YES, anything else -> NO."""
-    return _label(c, "YES", "NO")
+    return _label(c, *SMOKING_LABELS)

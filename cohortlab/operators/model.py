@@ -28,7 +28,7 @@ from cohortlab.functions.keys import hash_mod
 from cohortlab.schema import FEATURES, ID, LABEL, PREDICTION
 
 # ---------------------------------------------------------------------------
-# Fixed values that must equal the reference application's: optimiser
+# Fixed values that must equal the original application's: optimiser
 # iteration cap, the grid, the fold count, hold-out split weights and seed.
 MAX_ITER = 10000
 REG_PARAMS = (0.1, 0.01)
@@ -197,7 +197,7 @@ def lr_coefficients(spark: SparkSession, model, features: Sequence[str] = FEATUR
 
 def random_holdout(df: DataFrame, weights: Sequence[float] = HOLDOUT_WEIGHTS,
                    seed: int = HOLDOUT_SEED) -> tuple[DataFrame, DataFrame]:
-    """The reference's 70/30 random split (rows depend on the partition layout)."""
+    """The original 70/30 random split (rows depend on the partition layout)."""
     train, test = df.randomSplit(list(weights), seed)
     return train, test
 

@@ -58,7 +58,7 @@ def run_job(spark: SparkSession, train_path: str, test_path: str, out_path: str,
     """Prepare both files, measure on a hold-out, fit on all training rows, score, export.
 
     ``test_medians="self"`` fills the scored file with its own medians (the
-    reference behaviour); ``"train"`` uses the training medians.
+    original behaviour); ``"train"`` uses the training medians.
     """
     schema = PATIENT_SCHEMA if explicit_schema else None
     test_schema = SCORED_SCHEMA if explicit_schema else None

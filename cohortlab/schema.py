@@ -3,10 +3,10 @@
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Fixed values that must equal the reference application's for equal results.
+# Fixed values that must equal the original application's for equal results.
 # Model feature order, identifier, label, prediction column, the six
 # exploration keys, the two encoded categoricals with the single value that
-# maps to 1, and the series / column names of its reports.
+# maps to 1, their decoded labels, and the series / column names of its reports.
 FEATURES = (
     "age", "education", "sex", "is_smoking", "cigsPerDay", "BPMeds",
     "prevalentStroke", "prevalentHyp", "diabetes", "totChol", "sysBP", "diaBP",
@@ -18,6 +18,8 @@ PREDICTION = "prediction"
 EXPLORE_KEYS = ("age", "sex", "is_smoking", "heartRate", "cigsPerDay", "BPMeds")
 SEX_POSITIVE = "M"
 SMOKING_POSITIVE = "YES"
+SEX_LABELS = ("M", "F")            # decoded 1 / anything else
+SMOKING_LABELS = ("YES", "NO")
 TARGET_SERIES = ("TenYearCHD", "Non TenYearCHD")
 PREDICTION_SERIES = ("Prediction_1", "Prediction_0")
 MISSING_SERIES = ("Missing Data", "Missing Data (After)")

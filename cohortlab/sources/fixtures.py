@@ -1,6 +1,6 @@
 """Patient stand-in computed from the driver's ``events`` table.
 
-The reference ships no data, and the driver tables hold no nulls and no signal,
+The original application ships no data, and the driver tables hold no nulls and no signal,
 so the patient table is derived from ``events`` with injected nulls, a ``Yes``
 case trap, rare flags and a learnable label. Each column is one portable SQL
 expression that Spark and DuckDB evaluate identically, so the same text feeds
