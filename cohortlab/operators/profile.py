@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlab.operators.median import NUMERIC
 
@@ -44,6 +45,17 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -
                        .alias("column", "count", "mean", "stddev", "min", "max"))
 
 
+def profile_text(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Text-column summary in long form: ``column, count, min, max`` (one aggregate)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = [c for c in (cols or df.columns) if isinstance(types[c], T.StringType)]
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(F.col(c)).alias(f"n{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}")]
+    args = [x for i, c in enumerate(cols) for x in (F.lit(c), F.col(f"n{i}"), F.col(f"min{i}"), F.col(f"max{i}"))]
+    return df.agg(*aggs).select(F.stack(F.lit(len(cols)), *args).alias("column", "count", "min", "max"))
+
+
 def head_rows(df: DataFrame, n: int = 30, key: str = "id") -> DataFrame:
     """The first ``n`` rows by ``key``: a per-task top-n, then one bounded merge."""
     return df.orderBy(key).limit(n)

@@ -141,6 +141,9 @@ def oracle_sql() -> dict[str, str]:
                                    "FROM enc_scored e CROSS JOIN med_train m"),
         "prepare_rows": with_base("SELECT * FROM prep_train"),
         "profile_raw": with_base(_profile("train", numeric_raw)),
+        "profile_raw_text": with_base(" UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count({q(c)}) AS count, min({q(c)}) AS min, max({q(c)}) AS max FROM train"
+            for c in COLUMNS if c in STRING_RAW)),
         "profile_prepared": with_base(_profile("prep_train", COLUMNS)),
         "head_rows": with_base("SELECT * FROM prep_train ORDER BY id LIMIT 30"),
     }

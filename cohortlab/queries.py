@@ -22,7 +22,7 @@ from cohortlab.operators.missing import missing_counts
 from cohortlab.operators.model import (LinearModel, accuracy_metrics, cv_grid_metrics, fit_cv,
                                        fold_column, holdout_metrics, linear_model, lr_coefficients,
                                        random_holdout, score, with_linear_score)
-from cohortlab.operators.profile import head_rows, profile
+from cohortlab.operators.profile import head_rows, profile, profile_text
 from cohortlab.plans.prepare import prepare
 from cohortlab.schema import EXPLORE_KEYS, EXPORT_COLUMNS, FEATURES, ID, PREDICTION
 from cohortlab.session import scratch_path
@@ -116,6 +116,10 @@ def q_profile_raw(spark, d):
     return profile(train_patients(spark, d))
 
 
+def q_profile_raw_text(spark, d):
+    return profile_text(train_patients(spark, d))
+
+
 def q_profile_prepared(spark, d):
     return profile(prepared_train(spark, d))
 
@@ -228,6 +232,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "impute_median": q_impute_median,
         "prepare_rows": q_prepare_rows,
         "profile_raw": q_profile_raw,
+        "profile_raw_text": q_profile_raw_text,
         "profile_prepared": q_profile_prepared,
         "head_rows": q_head_rows,
     }

@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 
 FAST = ["encode_categoricals", "missing_count", "column_medians", "prepare_rows", "impute_median",
         "target_by_age", "target_by_sex", "prediction_by_bp_meds", "prediction_counts",
-        "chart_series_target", "chart_series_missing", "profile_raw", "head_rows", "hash_split",
+        "chart_series_target", "chart_series_missing", "profile_raw", "profile_raw_text", "head_rows", "hash_split",
         "fold_sizes", "standard_scale", "linear_score", "accuracy_metric"]
 
 
