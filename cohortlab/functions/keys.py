@@ -14,10 +14,10 @@ def valid_number(c: Column | str, dtype: T.DataType) -> Column:
 
 
 def hash_mod(c: Column | str, multiplier: int, modulus: int) -> Column:
-    """``(c * multiplier) % modulus`` for non-negative integer keys, computed as
-    ``((c % modulus) * multiplier) % modulus`` so it never overflows 64 bits,
-    whatever the size of the key."""
-    c = F.col(c) if isinstance(c, str) else c
+    """``(c * multiplier) % modulus`` for non-negative integer keys, computed in
+    64 bits as ``((c % modulus) * multiplier) % modulus`` so it never overflows,
+    whatever the size or integer type of the key."""
+    c = (F.col(c) if isinstance(c, str) else c).cast("long")   # an int key would overflow
     return ((c % F.lit(modulus)) * F.lit(multiplier)) % F.lit(modulus)
 
 

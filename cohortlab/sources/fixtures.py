@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlab.functions.keys import hash_mod
 from cohortlab.schema import ID, LABEL
 
 
@@ -57,7 +58,7 @@ TRAIN_EXPR = f"{_h(7919, 1009, ID)} < 706"
 
 
 def train_flag(id_col: str = ID) -> Column:
-    return F.expr(f"{_h(7919, 1009, id_col)} < 706")
+    return hash_mod(id_col, 7919, 1009) < F.lit(706)
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:

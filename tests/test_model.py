@@ -78,3 +78,13 @@ def test_folds_are_layout_independent(spark):
     a = {r.id: r.fold for r in df.select("id", "fold").collect()}
     b = {r.id: r.fold for r in df.repartition(5).select("id", "fold").collect()}
     assert a == b and set(a.values()) == {0, 1, 2, 3, 4}
+
+
+def test_key_hashes_do_not_overflow_on_int_ids(spark):
+    ids = [0, 1, 1008, 2_000_000_000, 2_147_483_647]
+    df = spark.createDataFrame([(i,) for i in ids], "id int")
+    folds = {r.id: r.fold for r in with_folds(df).collect()}
+    assert folds == {i: (i * 104729) % 1013 % 5 for i in ids}
+    tr, te = hash_holdout(df)
+    assert sorted(r.id for r in tr.collect()) == sorted(i for i in ids if (i * 49979687) % 1009 < 706)
+    assert tr.count() + te.count() == len(ids)
