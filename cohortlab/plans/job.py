@@ -88,12 +88,24 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--holdout", default="random", choices=["random", "hash"])
     ap.add_argument("--parallelism", type=int, default=6)
     ap.add_argument("--single-file", action="store_true")
+    ap.add_argument("--report", action="store_true",
+                    help="also show missing counts, profiles and the per-key tables")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cohortlab").getOrCreate()
     res = run_job(spark, args.train, args.test, args.out, args.format, args.explicit_schema,
                   args.test_medians, args.holdout, args.parallelism, args.single_file)
     print(f"hold-out accuracy: {res.holdout['accuracy']:.4f} ({res.holdout})")
     res.prediction_counts().show()
+    if args.report:
+        for name, p in (("training file", res.train), ("file to score", res.test)):
+            print(f"missing values, {name}: before / after")
+            p.missing_before.show(50)
+            p.missing_after().show(50)
+            p.profile_after().show(50)
+        for k in EXPLORE_KEYS:
+            res.target_by(k).show(30)
+        for k in EXPLORE_KEYS:
+            res.prediction_by(k).show(30)
     res.release()
     return 0
 

@@ -54,3 +54,13 @@ def test_cli_argument_check():
     import pytest
     with pytest.raises(SystemExit):
         main([])
+
+
+def test_cli_report(spark, tmp_out, capsys):
+    train_csv, test_csv = os.path.join(tmp_out, "tr"), os.path.join(tmp_out, "te")
+    train_patients(spark, SF_SMALL).write.option("header", True).csv(train_csv)
+    scored_patients(spark, SF_SMALL).write.option("header", True).csv(test_csv)
+    assert main([train_csv, test_csv, os.path.join(tmp_out, "o"), "--holdout", "hash",
+                 "--explicit-schema", "--report"]) == 0
+    out = capsys.readouterr().out
+    assert "hold-out accuracy" in out and "prediction_count" in out and "GenderLabel" in out
