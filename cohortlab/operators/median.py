@@ -127,22 +127,33 @@ class ColumnStats:
 
 
 def column_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, ColumnStats]:
-    """One aggregate (a single bounded row) with counts and a distinct estimate per column."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    exprs = [F.count(F.lit(1)).alias("__rows")]
+    """Counts and a distinct estimate per numeric column, from one scan.
+
+    Rows are stacked into ``(column, value)`` pairs and aggregated by column
+    (a handful of aggregates, partial per task, one small row per column and
+    task shuffled), so the generated code does not grow with the column count.
+    The result is one bounded row per column.
+    """
+    cols = list(cols)
+    check_numeric(df, cols)
+    if not cols:
+        return {}
+    args = [x for i, c in enumerate(cols) for x in (F.lit(i), F.col(c).cast("double"))]
+    pairs = df.select(F.stack(F.lit(len(cols)), *args).alias("i", "x"))
+    valid = F.nanvl(F.col("x"), F.lit(None).cast("double"))
+    rows = (pairs.groupBy("i")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("x").isNull()).alias("nulls"),
+                 F.count_if(F.isnan("x")).alias("nans"), F.count(valid).alias("valid"),
+                 F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(valid))), F.lit(0))
+                 .alias("distinct"))
+            .collect())
+    got = {r["i"]: r for r in rows}
+    out = {}
     for i, c in enumerate(cols):
-        col, v = F.col(c), valid_number(c, types[c]) if isinstance(types[c], NUMERIC) else None
-        exprs.append(F.count_if(col.isNull()).alias(f"n{i}"))
-        if isinstance(types[c], (T.DoubleType, T.FloatType)):
-            exprs.append(F.count_if(F.isnan(col)).alias(f"nan{i}"))
-        if v is not None:
-            exprs += [F.count(v).alias(f"v{i}"),
-                      F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(v))), F.lit(0))
-                      .alias(f"d{i}")]
-    row = df.agg(*exprs).first().asDict()
-    return {c: ColumnStats(row["__rows"], row[f"n{i}"], row.get(f"nan{i}") or 0,
-                           row.get(f"v{i}", 0), row.get(f"d{i}", 0))
-            for i, c in enumerate(cols)}
+        r = got.get(i)
+        out[c] = (ColumnStats(r["rows"], r["nulls"], r["nans"], r["valid"], r["distinct"]) if r
+                  else ColumnStats(0, 0, 0, 0, 0))
+    return out
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnStats] | None = None,

@@ -25,24 +25,21 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
     """Numeric summary in long form: ``column, count, mean, stddev, min, max``.
 
-    One aggregate over the scan for all columns (partial aggregates per task),
-    then an unpivot of the single result row. ``count`` skips nulls; mean and
-    sample stddev are rounded to ``digits`` so different summation orders agree.
+    Each row is stacked into ``(column, value)`` pairs inside the scan stage and
+    aggregated by column: five small aggregates with map-side partial buffers
+    and a shuffle of one row per column and task, instead of one aggregate with
+    five expressions per column (whose generated code grows with the column
+    count). ``count`` skips nulls; mean and sample stddev are rounded to
+    ``digits`` so different summation orders agree.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = [c for c in (cols or df.columns) if isinstance(types[c], NUMERIC)]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).cast("long").alias(f"n{i}"), F.round(F.avg(x), digits).alias(f"mean{i}"),
-                 F.round(F.stddev_samp(x), digits).alias(f"sd{i}"), F.min(x).alias(f"min{i}"),
-                 F.max(x).alias(f"max{i}")]
-    wide = df.agg(*aggs)
-    args = [x for i, c in enumerate(cols)
-            for x in (F.lit(c), F.col(f"n{i}"), F.col(f"mean{i}"), F.col(f"sd{i}"),
-                      F.col(f"min{i}"), F.col(f"max{i}"))]
-    return wide.select(F.stack(F.lit(len(cols)), *args)
-                       .alias("column", "count", "mean", "stddev", "min", "max"))
+    args = [x for c in cols for x in (F.lit(c), F.col(c).cast("double"))]
+    pairs = df.select(F.stack(F.lit(len(cols)), *args).alias("column", "x"))
+    return pairs.groupBy("column").agg(
+        F.count("x").alias("count"), F.round(F.avg("x"), digits).alias("mean"),
+        F.round(F.stddev_samp("x"), digits).alias("stddev"), F.min("x").alias("min"),
+        F.max("x").alias("max"))
 
 
 def profile_text(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
