@@ -69,3 +69,14 @@ def test_profile_schema_rows_describe_head(spark):
     d = {r.summary: r for r in describe(df).collect()}
     assert d["count"]["s"] == "2" and d["mean"]["x"] == "2.0"
     assert [r.id for r in head_rows(df, 2).collect()] == [1, 2]
+
+
+def test_column_stats_agree_with_missing_counts(spark):
+    from cohortlab.operators.median import column_stats
+    df = spark.createDataFrame([(1, None, 2.0), (None, float("nan"), 2.0), (3, 1.0, None), (3, 1.0, 5.0)],
+                               "a int, b double, c double")
+    st = column_stats(df, df.columns)
+    miss = {r["column"]: r["n_missing"] for r in missing_counts(df).collect()}
+    assert {c: st[c].nulls for c in df.columns} == miss == {"a": 1, "b": 1, "c": 1}
+    assert (st["b"].nans, st["b"].valid, st["a"].valid, st["a"].rows) == (1, 2, 3, 4)
+    assert (st["a"].distinct, st["b"].distinct, st["c"].distinct) == (2, 1, 2)
