@@ -144,7 +144,9 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, ColumnStats]:
     rows = (pairs.groupBy("i")
             .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("x").isNull()).alias("nulls"),
                  F.count_if(F.isnan("x")).alias("nans"), F.count(valid).alias("valid"),
-                 F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(valid))), F.lit(0))
+                 # xxhash64(null) is not null, so only hash present values
+                 F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(F.when(valid.isNotNull(),
+                                                                          F.xxhash64(valid)))), F.lit(0))
                  .alias("distinct"))
             .collect())
     got = {r["i"]: r for r in rows}
