@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,43 @@ def prediction_by(df: DataFrame, key: str, prediction: str = PREDICTION) -> Data
             .orderBy(key))
 
 
+def _by_each_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
+                 shape) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Per-key tables from one grouping-sets aggregate over all keys.
+
+    The aggregate (one scan, one shuffle) is small -- one row per key value --
+    and is cached, so the per-key tables split it without scanning ``df`` again.
+    Returns the tables and the cached aggregate (unpersist it when done).
+    """
+    n, full = len(keys), (1 << len(keys)) - 1
+    counts = [F.count(F.col(k)).alias(f"__n{i}") for i, k in enumerate(keys)]
+    named = [c.alias(name) for name, c in aggs.items()]
+    g = (df.groupingSets([[k] for k in keys], *keys)
+         .agg(*named, *counts, F.grouping_id().alias("__gid"))
+         .persist(StorageLevel.MEMORY_AND_DISK))
+    out = {}
+    for i, k in enumerate(keys):
+        part = g.filter(F.col("__gid") == F.lit(full - (1 << (n - 1 - i))))
+        out[k] = shape(k, part.select(k, *aggs.keys(), F.col(f"__n{i}").alias("Total"))).orderBy(k)
+    return out, g
+
+
+def target_by_keys(df: DataFrame, keys: Sequence[str] = EXPLORE_KEYS,
+                   label: str = LABEL) -> tuple[dict[str, DataFrame], DataFrame]:
+    """``{key: target_by(df, key)}`` for all keys from a single scan of ``df``."""
+    def shape(k, t):
+        return t.withColumn(GENDER_LABEL, sex_label(F.col("sex"))) if k == "sex" else t
+    return _by_each_key(df, keys, {label: F.sum(_is(label, 1))}, shape)
+
+
+def prediction_by_keys(df: DataFrame, keys: Sequence[str] = EXPLORE_KEYS,
+                       prediction: str = PREDICTION) -> tuple[dict[str, DataFrame], DataFrame]:
+    """``{key: prediction_by(df, key)}`` for all keys from a single scan of ``df``."""
+    return _by_each_key(df, keys, {"prediction_1": F.sum(_is(prediction, 1)),
+                                   "prediction_0": F.sum(_is(prediction, 0))},
+                        lambda k, t: t.select(k, "prediction_1", "prediction_0", "Total"))
+
+
 def prediction_counts(df: DataFrame, prediction: str = PREDICTION) -> DataFrame:
     """``prediction, prediction_count``: the histogram of predicted classes."""
     return df.groupBy(prediction).count().withColumnRenamed("count", "prediction_count")

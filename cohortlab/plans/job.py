@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import argparse
 import sys
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlab.operators.explore import (chart_series_prediction, chart_series_target,
-                                         prediction_by, prediction_counts, target_by)
+                                         prediction_by, prediction_by_keys, prediction_counts,
+                                         target_by, target_by_keys)
 from cohortlab.operators.model import fit_cv, holdout_metrics, linear_model, with_linear_score
 from cohortlab.plans.prepare import Prepared, prepare
 from cohortlab.schema import EXPLORE_KEYS, PATIENT_SCHEMA, SCORED_SCHEMA
@@ -31,6 +32,7 @@ class JobResult:
     holdout: dict                    # n, accuracy, tp, tn, fp, fn on the hold-out part
     model: CrossValidatorModel
     predictions: DataFrame           # scored test rows (persisted; call release())
+    _cached: list = field(default_factory=list)
 
     def prediction_counts(self) -> DataFrame:
         return prediction_counts(self.predictions)
@@ -41,6 +43,18 @@ class JobResult:
     def prediction_by(self, key: str) -> DataFrame:
         return prediction_by(self.predictions, key)
 
+    def target_tables(self) -> dict[str, DataFrame]:
+        """The six label tables from one scan of the training rows."""
+        tables, base = target_by_keys(self.train.frame, EXPLORE_KEYS)
+        self._cached.append(base)
+        return tables
+
+    def prediction_tables(self) -> dict[str, DataFrame]:
+        """The six prediction tables from one scan of the scored rows."""
+        tables, base = prediction_by_keys(self.predictions, EXPLORE_KEYS)
+        self._cached.append(base)
+        return tables
+
     def target_charts(self) -> DataFrame:
         return chart_series_target(self.train.frame, EXPLORE_KEYS)
 
@@ -48,6 +62,8 @@ class JobResult:
         return chart_series_prediction(self.predictions, EXPLORE_KEYS)
 
     def release(self) -> None:
+        for df in self._cached:
+            df.unpersist()
         self.predictions.unpersist()
         self.train.frame.unpersist()
 
@@ -102,10 +118,10 @@ def main(argv: list[str] | None = None) -> int:
             p.missing_before.show(50)
             p.missing_after().show(50)
             p.profile_after().show(50)
-        for k in EXPLORE_KEYS:
-            res.target_by(k).show(30)
-        for k in EXPLORE_KEYS:
-            res.prediction_by(k).show(30)
+        for table in res.target_tables().values():
+            table.show(30)
+        for table in res.prediction_tables().values():
+            table.show(30)
     res.release()
     return 0
 

@@ -80,3 +80,22 @@ def test_column_stats_agree_with_missing_counts(spark):
     assert {c: st[c].nulls for c in df.columns} == miss == {"a": 1, "b": 1, "c": 1}
     assert (st["b"].nans, st["b"].valid, st["a"].valid, st["a"].rows) == (1, 2, 3, 4)
     assert (st["a"].distinct, st["b"].distinct, st["c"].distinct) == (2, 1, 2)
+
+
+def test_by_keys_equal_single_key_tables(spark):
+    from cohortlab.operators.explore import prediction_by_keys, target_by_keys
+    df = spark.createDataFrame(
+        [(50, 1, 1, 70.0, 0.0, None, 1, 1.0), (50, 0, 0, 71.0, 5.0, 1.0, 0, 0.0),
+         (None, 1, 0, 70.0, 0.0, 0.0, 0, 0.0), (60, 1, 0, 70.0, 0.0, 0.0, 1, 1.0)],
+        "age int, sex int, is_smoking int, heartRate double, cigsPerDay double, BPMeds double, "
+        "TenYearCHD int, prediction double")
+    tables, base = target_by_keys(df)
+    for k, t in tables.items():
+        assert t.columns == target_by(df, k).columns
+        assert t.collect() == target_by(df, k).collect()
+    base.unpersist()
+    tables, base = prediction_by_keys(df)
+    for k, t in tables.items():
+        assert t.columns == prediction_by(df, k).columns
+        assert t.collect() == prediction_by(df, k).collect()
+    base.unpersist()

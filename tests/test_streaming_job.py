@@ -46,6 +46,9 @@ def test_run_job_end_to_end(spark, tmp_out):
     assert 0.0 <= res.holdout["accuracy"] <= 1.0 and res.holdout["n"] > 0
     by_age = res.prediction_by("age").collect()
     assert sum(r.Total for r in by_age) == n_test
+    tables = res.prediction_tables()
+    assert tables["age"].collect() == by_age
+    assert res.target_tables()["sex"].collect() == res.target_by("sex").collect()
     assert res.target_charts().count() > 0 and res.prediction_charts().count() > 0
     res.release()
 
