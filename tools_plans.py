@@ -9,7 +9,8 @@ import contextlib
 import io
 import sys
 
-from cohortlab.operators.explore import chart_series_target, prediction_by, target_by
+from cohortlab.operators.explore import chart_series_target, prediction_by, target_by, target_by_keys
+from cohortlab.operators.profile import profile
 from cohortlab.operators.missing import missing_counts
 from cohortlab.operators.model import LinearModel, with_linear_score
 from cohortlab.plans.prepare import prepare
@@ -38,6 +39,10 @@ def main(argv):
             chart_series_target(train.frame),
         "missing_counts -- one aggregate for all columns, then an unpivot of one row":
             missing_counts(train.encoded),
+        "profile -- rows stacked to (column, value) in the scan stage, five aggregates by column":
+            profile(train.frame),
+        "target_by_keys -- the six label tables' shared grouping-sets aggregate (cached, then split)":
+            target_by_keys(train.frame)[1],
         "score + export projection -- folded linear score, no vectors, one codegen stage, no shuffle":
             with_linear_score(test.frame, lm).select(*EXPORT_COLUMNS),
         "prediction_by(scored, 'BPMeds')": prediction_by(with_linear_score(test.frame, lm), "BPMeds"),
