@@ -205,7 +205,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
         if sketch:
             # Columns ready to finish wait, so all of them share one grouped pass.
             if fan is None:
-                fan = max(1, math.isqrt(max(1, base.rdd.getNumPartitions())))
+                fan = _fan_out(base)
             _sketch_round(base, sketch, sketch_k, fan, finish_distinct)
         else:
             result.update(_finish(base, finish))
@@ -214,6 +214,15 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
     return {c: result[n] for c, n in zip(cols, names)}
 
 
+def _fan_out(base: DataFrame) -> int:
+    """~sqrt(#input partitions) first-level merge groups (a fixed 32 where the
+    partition count is not available, e.g. on a Spark Connect session)."""
+    try:
+        return max(1, math.isqrt(max(1, base.rdd.getNumPartitions())))
+    except Exception:  # noqa: BLE001 - no RDD API on this session type
+        return 32
+
+
 def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int,
                   finish_distinct: int) -> None:
     """One scan: per column, exact counts of the band or proposal and a sketch of it.

@@ -40,11 +40,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     reach; it is read, never overridden. Only when it is unset (tests, a bare
     local session) a fresh folder under the system temp dir is set.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, use the conf
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="cohortlab-ckpt-")
     sc.setCheckpointDir(configured)
