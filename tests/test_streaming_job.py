@@ -67,3 +67,21 @@ def test_cli_report(spark, tmp_out, capsys):
                  "--explicit-schema", "--report"]) == 0
     out = capsys.readouterr().out
     assert "hold-out accuracy" in out and "prediction_count" in out and "GenderLabel" in out
+
+
+def test_stream_scoring_parquet_source(spark, tmp_out):
+    from cohortlab.operators.model import pipeline
+    train = prepare(train_patients(spark, SF_SMALL))
+    pipe, lr = pipeline()
+    model = pipe.fit(train.frame, {lr.regParam: 0.01})
+    src = os.path.join(tmp_out, "pq-in")
+    scored_raw = scored_patients(spark, SF_SMALL)
+    scored_raw.write.parquet(src)
+    out, ckpt = os.path.join(tmp_out, "pq-out"), os.path.join(tmp_out, "pq-ckpt")
+    q = score_stream(spark, model, train.medians, src, out, ckpt, fmt="parquet")
+    q.awaitTermination(120)
+    got = spark.read.parquet(out)
+    want = with_linear_score(prepare(scored_raw, medians=train.medians).frame,
+                             linear_model(model)).select(*EXPORT_COLUMNS)
+    assert got.columns == list(EXPORT_COLUMNS)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
