@@ -57,6 +57,11 @@ def prepare(df: DataFrame, medians: dict[str, float] | None = None,
     encoded = encode_categoricals(df)
     cols = [c for c in encoded.columns if c not in skip]
     check_numeric(encoded, cols)
+    if medians is not None:
+        # Nothing to fit: the whole step stays lazy (the report is an aggregate
+        # that runs only if it is used).
+        return Prepared(df, encoded, apply_medians(encoded, medians),
+                        missing_counts(encoded, cols), dict(medians))
     stats = column_stats(encoded, cols)                           # scan 1 (one bounded row)
     missing_before = spark.createDataFrame(
         [(c, int(stats[c].nulls)) for c in cols], "column string, n_missing long")

@@ -46,12 +46,24 @@ def rule_prediction(df: DataFrame) -> DataFrame:
     return df.withColumn(PREDICTION, F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
+_MEDIANS: dict[tuple, dict[str, float]] = {}
+
+
+def _prepared(spark: SparkSession, d: str, role: str, raw: DataFrame) -> DataFrame:
+    """Each file filled with its own medians; the medians are fitted once per
+    session and input, later queries reuse them (a lazy fill, no extra job)."""
+    key = (spark.sparkContext.applicationId, d, role)
+    if key not in _MEDIANS:
+        _MEDIANS[key] = prepare(raw).medians
+    return prepare(raw, medians=_MEDIANS[key]).frame
+
+
 def prepared_train(spark: SparkSession, d: str) -> DataFrame:
-    return prepare(train_patients(spark, d)).frame
+    return _prepared(spark, d, "train", train_patients(spark, d))
 
 
 def prepared_scored(spark: SparkSession, d: str) -> DataFrame:
-    return prepare(scored_patients(spark, d)).frame
+    return _prepared(spark, d, "scored", scored_patients(spark, d))
 
 
 def _rule_scored(spark: SparkSession, d: str) -> DataFrame:
