@@ -286,7 +286,7 @@ class WarcWriter(DataSourceWriter):
                 if out is None:
                     fs.create_dir(path, recursive=True)
                     name = f"part-{uuid.uuid4().hex}.warc.gz"
-                    out = fs.open_output_stream(f"{path}/{name}")
+                    out = fs.open_output_stream(f"{path}/{name}", compression=None)
                     out.write(gzip_member(record_bytes("warcinfo", f"<urn:uuid:{uuid.uuid4()}>", None, "1970-01-01T00:00:00Z",
                                                        None, None, b"format: WARC File Format 1.1\r\n", 0)))
                 v = {k: row[i] for k, i in at.items()}
