@@ -17,25 +17,33 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cohortlab.llm.text import row_slices, utf8, word_and_prefix_hashes
+from cohortlab.llm.text import mix, row_slices, utf8, word_and_prefix_hashes
 
 BITS = 20                 #: 2^BITS hashed features
-PREFIXES = (4, 5, 6)      #: the first bytes of longer words, beside whole words
+PREFIXES = (4, 5, 6, 7, 8)  #: the first bytes of longer words, beside whole words
+OFTEN = 3                 #: times a feature stands in a text to count as "often"
 MAX_POSITIVE = 2000       #: the fit's sample: confirmed texts, at most (a parameter)
 MAX_UNLABELLED = 6000     #: unlabelled texts, at most
 
 
 def word_features(column, bits: int = BITS, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature) of the distinct hashed words and word beginnings of each
-    text, by row; with `used` (a flag per feature) only of those."""
+    """(row, feature) of each text, by row: its distinct hashed words and word
+    beginnings, and as a feature of its own each that stands there `OFTEN`
+    times. With `used` (a flag per feature) only those."""
     raw, offsets = utf8(column)
     hashes, rows = word_and_prefix_hashes(raw, offsets, PREFIXES)
-    feats = hashes >> np.uint64(64 - bits)
+    shift, low = np.uint64(64 - bits), np.uint64((1 << bits) - 1)
+    feats = hashes >> shift
     if used is not None:
-        some = used[feats.astype(np.int64)]
+        some = used[feats.astype(np.int64)] | used[(mix(feats) >> shift).astype(np.int64)]
         feats, rows = feats[some], rows[some]
-    pairs = np.unique((rows.astype(np.uint64) << np.uint64(bits)) | feats)
-    return (pairs >> np.uint64(bits)).astype(np.int64), (pairs & np.uint64((1 << bits) - 1)).astype(np.int64)
+    pairs, times = np.unique((rows.astype(np.uint64) << np.uint64(bits)) | feats, return_counts=True)
+    again = pairs[times >= OFTEN]
+    again = (again & ~low) | (mix(again & low) >> shift)
+    pairs = np.unique(np.concatenate([pairs, again]))
+    if used is not None:
+        pairs = pairs[used[(pairs & low).astype(np.int64)]]
+    return (pairs >> np.uint64(bits)).astype(np.int64), (pairs & low).astype(np.int64)
 
 
 def _bounded(rows: DataFrame, limit: int) -> DataFrame:
@@ -92,8 +100,8 @@ class Classifier:
         prior = min(max(prior, 1e-3), 1 - 1e-3)
         self.prior, self.bias = prior, float(np.log(prior / (1 - prior)))
 
-    def fit(self, positive, unlabelled, steps: int = 600, rate: float = 0.05,
-            least_df: int = 5, least_z: float = 8.0, least_rate: float = 0.02, least_share: float = 0.7, decay: float = 1e-5) -> "Classifier":
+    def fit(self, positive, unlabelled, steps: int = 1500, rate: float = 0.05,
+            least_df: int = 5, least_z: float = 6.0, least_rate: float = 0.02, least_share: float = 0.4, decay: float = 1e-5) -> "Classifier":
         """Features take part that at least `least_df` texts and a share `least_rate`
         of the positives have, that are more frequent among the positives by `least_z` standard errors, and whose
         share of positives, estimated from the prior and the two rates, is
