@@ -13,6 +13,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cohortlab.llm.tables import written
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -68,6 +70,7 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = (source_targets(sizes, weights, budget, max_epochs).withColumn("whole", whole.cast("long"))
             .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")))
+    plan = written(plan, "mix-plan")  # a row per source
     so_far = Window.partitionBy("source").orderBy("prefix")
     steps = by_prefix.withColumn("upto", F.sum("size").over(so_far))
     same = F.col("s.source").eqNullSafe(F.col("p.source"))
@@ -75,6 +78,7 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
             .where("s.upto - s.size <= p.rest and s.upto > p.rest")
             .groupBy("p.source").agg(F.min("s.prefix").alias("prefix"),
                                      F.min(F.col("p.rest") - (F.col("s.upto") - F.col("s.size"))).alias("room")))
+    edge = written(edge, "mix-edge")  # a row per source; joined with every document's row below
     there = (narrow.alias("n").join(edge.alias("e"), F.col("n.source").eqNullSafe(F.col("e.source"))
                                     & F.col("n.key").startswith(F.col("e.prefix")))
              .groupBy("e.source", "e.prefix", "e.room", "n.key").agg(F.sum("n.size").alias("size")))
@@ -96,12 +100,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
     repeat a doc_id (or have none) go in or out of the fractional repetition
     together. Rerunning gives the same rows; empty table: no rows.
     """
-    plan = mix_plan(docs, weights, budget, max_epochs, seed, text).select(
-        F.col("source").alias("__source"), F.col("source_size").alias("mix_source_size"),
-        F.col("target").alias("mix_target"), "whole", "cut")
-    repeats = F.col("whole") + (_order_key(seed) <= F.col("cut")).cast("long")
-    # a row per source; Spark broadcasts it only below its size threshold
+    plan = written(mix_plan(docs, weights, budget, max_epochs, seed, text).select(
+        F.col("source").alias("__source"), F.col("source_size").alias("__size"),
+        F.col("target").alias("__target"), F.col("whole").alias("__whole"), F.col("cut").alias("__cut")), "mix-cuts")
+    repeats = F.col("__whole") + (_order_key(seed) <= F.col("__cut")).cast("long")
+    # a row per source; Spark broadcasts it below its size threshold
     joined = docs.join(plan, F.col("source").eqNullSafe(F.col("__source")))
     return joined.select(*[docs[f"`{c}`"] for c in docs.columns], word_count(text).alias("mix_size"),
-                         "mix_source_size", "mix_target",
+                         F.col("__size").alias("mix_source_size"), F.col("__target").alias("mix_target"),
                          F.least(repeats, F.lit(math.ceil(max_epochs)).cast("long")).alias("mix_repeats"))
