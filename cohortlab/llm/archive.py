@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cohortlab.llm.tables import written
 from cohortlab.llm.warc import WarcDataSource
-from cohortlab.session import scratch_path
 
 LEAST_REVISIT = 100   #: bytes from which an equal payload becomes a revisit
 _PREFIX, _DATE = "urn:x-page:", "1970-01-01T00:00:00Z"
@@ -25,15 +25,12 @@ def page_records(pages: DataFrame, least_revisit: int = LEAST_REVISIT) -> DataFr
     broadcast and a shuffle (whose hot payloads it splits). A page without an id has an empty one and
     responds unless an equal payload has an id; rows that repeat the responding id all respond.
     """
-    spark = pages.sparkSession
     payload = F.coalesce("html", F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.length("payload").cast("long"), "digest": F.sha2("payload", 256)})
     shared = (rows.where(F.col("payload_bytes") >= least_revisit).groupBy("digest")
               .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    path = scratch_path(spark, "shared-payloads")
-    shared.write.parquet(path)
-    joined = rows.join(spark.read.parquet(path), "digest", "left")
+    joined = rows.join(written(shared, "shared-payloads"), "digest", "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
     urn = lambda c: F.concat(F.lit(f"<{_PREFIX}"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     return joined.select(
