@@ -1,8 +1,9 @@
 """Nearest neighbours by randomly rotated one-bit codes (operator 7).
 
-Every vector is normalised, rotated by one seeded random rotation and stored as
-the signs of its coordinates, packed, with one correction scalar: the inner
-product of the vector and its code. The inner product with a query is estimated
+Every vector is normalised, padded with zeros, rotated by one seeded random
+rotation and stored as the signs of its coordinates, packed, with one correction
+scalar: the inner product of the vector and its code. (Padding to more
+coordinates buys more bits, whose error falls with the square root of their number.) The inner product with a query is estimated
 from the packed bits and that scalar, with an error bound that holds with high
 probability; only vectors whose upper bound reaches the k-th best lower bound
 are compared exactly.
@@ -11,6 +12,7 @@ are compared exactly.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +20,18 @@ from pyspark.sql import DataFrame, functions as F
 
 SEED = 7
 EPSILON = 4.0             #: standard errors of the bound; the estimate leaves it about once in 10^4
+CODE_BITS = 256           #: coordinates after padding, at least
+RERANK = 1 << 15          #: pairs compared exactly at a time
 QUERY_BLOCK = 4096        #: queries that one pass over the vectors holds
 
 
+@lru_cache(maxsize=4)
 def rotation(dims: int, seed: int = SEED) -> np.ndarray:
-    """A random orthogonal matrix, the same wherever it is made."""
-    q, r = np.linalg.qr(np.random.default_rng([seed, dims]).standard_normal((dims, dims)))
-    return q * np.sign(np.diag(r))
+    """The first `dims` rows of a random orthogonal matrix of `CODE_BITS` or more
+    columns: padding with zeros and rotating, in one. The same wherever it is made."""
+    bits = max(CODE_BITS, dims)
+    q, r = np.linalg.qr(np.random.default_rng([seed, bits]).standard_normal((bits, bits)))
+    return (q * np.sign(np.diag(r)))[:dims]
 
 
 def _valid(vectors: list) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
@@ -60,7 +67,7 @@ def encode(x: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     unit = x / np.abs(x).max(axis=1, keepdims=True)
     unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
     o = unit @ turn
-    return np.packbits(o > 0, axis=1), np.abs(o).sum(axis=1) / math.sqrt(x.shape[1])
+    return np.packbits(o > 0, axis=1), np.abs(o).sum(axis=1) / math.sqrt(o.shape[1])
 
 
 INDEX = "code binary, correction double"
@@ -116,21 +123,24 @@ class _Queries:
         self.floor = np.full(len(ids), -np.inf)
 
     def offer(self, ids: np.ndarray, x: np.ndarray, code: np.ndarray, correction: np.ndarray, epsilon: float) -> None:
-        d = x.shape[1]
-        signs = np.unpackbits(code, axis=1, count=d).astype(np.float32) * 2 - 1
-        spread = epsilon * np.sqrt(np.maximum(1 / correction ** 2 - 1, 0) / max(d - 1, 1))
+        bits = self.turn.shape[1]
+        signs = np.unpackbits(code, axis=1, count=bits).astype(np.float32) * 2 - 1
+        spread = epsilon * np.sqrt(np.maximum(1 / correction ** 2 - 1, 0) / (bits - 1))
+        plain = len(np.unique(ids)) == len(ids)  # else one id could fill the k places
         for start in range(0, len(self.ids), 256):
             own = slice(start, start + 256)
-            estimate = (self.rotated[own].astype(np.float32) @ signs.T) / (math.sqrt(d) * correction)
-            low = estimate - spread
-            count = min(self.k + 1, len(ids))  # one more, for the query itself
-            kth = -np.partition(-low, count - 1, axis=1)[:, count - 1] if len(ids) > self.k else np.full(len(estimate), -np.inf)
-            need = np.maximum(kth, self.floor[own]) - 1e-6
-            q, c = np.nonzero(estimate + spread >= need[:, None])
+            estimate = (self.rotated[own].astype(np.float32) @ signs.T) / (math.sqrt(bits) * correction)
+            need = self.floor[own].copy()
+            new = np.flatnonzero(np.isneginf(need))
+            if len(new) and plain and len(ids) > self.k:  # k + 1: the query itself may be among them
+                low = spread - estimate[new]
+                need[new] = -np.partition(low, self.k, axis=1)[:, self.k]
+            q, c = np.nonzero(estimate + spread >= need[:, None] - 1e-5)
             q += start
             other = self.ids[q] != ids[c]
             q, c = q[other], c[other]
-            score = cosine(self.x[q], x[c])
+            score = np.concatenate([cosine(self.x[q[i:i + RERANK]], x[c[i:i + RERANK]])
+                                    for i in range(0, len(q), RERANK)] or [np.zeros(0)])
             for at in np.split(np.arange(len(q)), np.flatnonzero(np.diff(q)) + 1) if len(q) else []:
                 i = q[at[0]]
                 keep = at[score[at] >= self.floor[i]]
