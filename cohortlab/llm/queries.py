@@ -88,8 +88,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    positive, unlabelled, prior = toxicity.training_sample(docs, labels, lambda c: crc_fold(c, 4) != 2)
-    model = toxicity.Classifier(prior=prior if prior is not None else 0.1).fit(positive, unlabelled)
+    model = toxicity.train(docs, labels, lambda c: crc_fold(c, 4) != 2)
     held_out = F.coalesce(crc_fold(F.col("doc_id"), 4) == 2, F.lit(False))
     return toxicity.score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 

@@ -361,17 +361,16 @@ def test_toxicity_learns_and_scores_edges(spark, odd, none):
     docs = docs_of(spark, rows + [(9000, None, None, None, 0)])
     labels = spark.createDataFrame([(i, 1, int(i % 7 == 0)) for i in range(400)] + [(3, 1, None), (None, 0, 1)],
                                    "doc_id bigint, quality int, toxic int")
-    p, u, prior = toxicity.training_sample(docs.withColumn("positive", F.lit(1)), labels, lambda c: c % 4 != 2)
-    assert prior == pytest.approx(sum(i % 7 == 0 for i in range(400) if i % 4 != 2) / 300)
-    model = toxicity.Classifier(prior=prior).fit(p, u)
+    model = toxicity.train(docs.withColumn("positive", F.lit(1)), labels, lambda c: c % 4 != 2)
+    assert model.prior == pytest.approx(sum(i % 7 == 0 for i in range(400) if i % 4 != 2) / 300)
+    again = toxicity.train(docs.repartition(5), labels.repartition(3), lambda c: c % 4 != 2)
+    assert (again.weights == model.weights).all() and again.bias == model.bias
     out = toxicity.score_toxicity(docs.withColumn("score", F.lit(9)), model).collect()
     assert len(out) == 701 and all(0 <= r["score"] <= 1 for r in out)
     for r in out:
         assert r["predicted"] == int(r["doc_id"] < 9000 and r["doc_id"] % 7 == 0)
     assert toxicity.score_toxicity(odd, model).count() == len(ODD) and toxicity.score_toxicity(none, model).count() == 0
-    p, u, prior = toxicity.training_sample(none, labels.limit(0), lambda c: c % 4 != 2)
-    assert (p, u, prior) == ([], [], None)
-    blank = toxicity.Classifier(prior=0.1).fit(p, u)
+    blank = toxicity.train(none, labels.limit(0), lambda c: c % 4 != 2)
     assert {round(r["score"], 9) for r in toxicity.score_toxicity(odd, blank).collect()} == {0.1}
 
 
