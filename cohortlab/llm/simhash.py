@@ -80,7 +80,10 @@ def near_pairs(fingerprints: DataFrame, max_distance: int, segments: int = 8) ->
         if segments > 1:
             part = part.bitwiseAND(F.lit((1 << bits) - 1))
         cell = cell + (F.bit_count(part) + F.lit(max_distance)).cast("long") * F.lit(1 << (step * i))
-    points = fingerprints.select("fp", cell.alias("cell"))
+    # A set number of partitions: each row becomes many below, which adaptive
+    # coalescing by the size of these small rows would put into one task.
+    n = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = fingerprints.repartition(n).select("fp", cell.alias("cell"))
     offsets = [sum(d << (step * i) for i, d in enumerate(o)) for o in grid_offsets(segments, max_distance)]
     probes = points.select(F.col("fp").alias("a"), F.col("cell").alias("from_cell"),
                            F.explode(F.array(*[F.lit(o).cast("long") for o in offsets])).alias("offset"))
@@ -134,10 +137,10 @@ def keep_one_per_group(docs: DataFrame, width: int = 3, max_distance: int = 2,
     first = prints.groupBy("fp").agg(F.min(row).alias("row"))
     kept = (_classes(prints, max_distance, segments).join(first, "fp")
             .groupBy("root").agg(F.min("row").alias("row"))
-            .select(F.col("row.doc_id").alias("keep_id"), F.col("row.__row").alias("keep_row")))
-    same = [F.col("keep_row") == F.col("__row"), F.col("keep_id").eqNullSafe(F.col("doc_id"))]
-    copies = (prints.join(kept, same).groupBy("keep_row", "keep_id").agg(F.count("*").alias("copies")))
+            .select(F.col("row.doc_id").alias("__keep_id"), F.col("row.__row").alias("__keep_row")))
+    same = [F.col("__keep_row") == F.col("__row"), F.col("__keep_id").eqNullSafe(F.col("doc_id"))]
+    copies = (prints.join(kept, same).groupBy("__keep_row", "__keep_id").agg(F.count("*").alias("__copies")))
     chosen = tagged.join(copies.checkpoint(), same)
-    once = chosen.where("copies = 1").select(*[F.col(f"`{c}`") for c in names])
-    equal = chosen.where("copies > 1").select(*[F.col(f"`{c}`") for c in names]).dropDuplicates()
+    once = chosen.where("__copies = 1").select(*[F.col(f"`{c}`") for c in names])
+    equal = chosen.where("__copies > 1").select(*[F.col(f"`{c}`") for c in names]).dropDuplicates()
     return once.unionByName(equal)
