@@ -6,7 +6,10 @@ from pyspark.sql import types as T
 
 
 def valid_number(c: Column | str, dtype: T.DataType) -> Column:
-    """The value as double, or null when it is null or NaN (a median ignores both)."""
+    """The value as double, or null when it is null or NaN (a median ignores both).
+
+    A long or decimal beyond 2^53 rounds to the nearest double, as the
+    original's double result does."""
     c = F.col(c) if isinstance(c, str) else c
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
@@ -14,11 +17,11 @@ def valid_number(c: Column | str, dtype: T.DataType) -> Column:
 
 
 def hash_mod(c: Column | str, multiplier: int, modulus: int) -> Column:
-    """``(c * multiplier) % modulus`` for non-negative integer keys, computed in
-    64 bits as ``((c % modulus) * multiplier) % modulus`` so it never overflows,
-    whatever the size or integer type of the key."""
+    """``(c * multiplier) mod modulus`` in ``0 .. modulus - 1`` for integer keys,
+    computed in 64 bits as ``pmod(pmod(c, modulus) * multiplier, modulus)``: it
+    never overflows and a negative key is never negative. Null for a null key."""
     c = (F.col(c) if isinstance(c, str) else c).cast("long")   # an int key would overflow
-    return ((c % F.lit(modulus)) * F.lit(multiplier)) % F.lit(modulus)
+    return F.pmod(F.pmod(c, F.lit(modulus)) * F.lit(multiplier), F.lit(modulus))
 
 
 def category_text(c: Column | str) -> Column:

@@ -10,24 +10,12 @@ from pyspark.sql import types as T
 from cohortlab.operators.median import check_numeric, column_stats, exact_medians
 
 
-def fill_columns(df: DataFrame, cols: Sequence[str] | None = None,
-                 exclude: Iterable[str] = ()) -> list[str]:
-    """The columns a fill would change: those with a null, or a NaN in a float column.
-
-    One bounded aggregate. Columns with nothing to fill need no median, which
-    removes near-unique columns such as the id from the median search.
-    """
-    skip = set(exclude)
-    cols = [c for c in (cols if cols is not None else df.columns) if c not in skip]
-    check_numeric(df, cols)
-    stats = column_stats(df, cols)
-    return [c for c in cols if stats[c].nulls + stats[c].nans > 0]
-
-
 def fit_medians(df: DataFrame, cols: Sequence[str] | None = None, exclude: Iterable[str] = (),
-                only_needed: bool = True) -> dict[str, float]:
-    """Exact lower median of each column that needs filling (or of all, ``only_needed=False``).
+                only_needed: bool = False) -> dict[str, float]:
+    """Exact lower median of each column.
 
+    ``only_needed=True`` leaves out columns without a gap in ``df``: right for
+    filling ``df`` itself, not for another frame, whose gaps may be elsewhere.
     Raises one error naming every string column (before any job) and every
     column without a single value.
     """
@@ -67,4 +55,4 @@ def apply_medians(df: DataFrame, medians: dict[str, float]) -> DataFrame:
 def impute_median(df: DataFrame, cols: Sequence[str] | None = None,
                   exclude: Iterable[str] = ()) -> DataFrame:
     """Fill every column with its own exact median."""
-    return apply_medians(df, fit_medians(df, cols, exclude))
+    return apply_medians(df, fit_medians(df, cols, exclude, only_needed=True))

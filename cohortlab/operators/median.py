@@ -9,8 +9,9 @@ distinct value, and its final merge runs in one task, so on a near-unique
 column it pulls the whole column into one task. Here no task ever holds more
 than a bounded band of distinct values:
 
-0. One cheap aggregate gives per column: rows, nulls, NaNs, valid values and an
-   HLL distinct estimate (``prepare`` reuses it as its missing-value report).
+0. One cheap aggregate gives per column: rows, nulls, NaNs and valid values
+   (``prepare`` reuses it as its missing-value report); a distinct estimate is
+   made only of the columns that need a median.
 1. A column with few distinct values is finished at once: its values are
    grouped with their counts (map-side combined, so a value holding a third of
    all rows is one row per task) and a running count over that bounded set
@@ -35,6 +36,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import is_remote
 
 from cohortlab.functions.keys import valid_number
 
@@ -123,47 +125,47 @@ class ColumnStats:
     nulls: int
     nans: int
     valid: int        # non-null, non-NaN values
-    distinct: int     # HLL estimate of distinct valid values
 
 
-def column_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, ColumnStats]:
-    """Counts and a distinct estimate per numeric column, from one scan.
+def stats_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: the row count, and per column the non-null and NaN counts."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(cols):
+        aggs.append(F.count(F.col(c)).alias(f"n{i}"))
+        if isinstance(types[c], (T.DoubleType, T.FloatType)):
+            aggs.append(F.count_if(F.isnan(c)).alias(f"nan{i}"))
+    return df.agg(*aggs)
 
-    Rows are stacked into ``(column, value)`` pairs and aggregated by column
-    (a handful of aggregates, partial per task, one small row per column and
-    task shuffled), so the generated code does not grow with the column count.
-    The result is one bounded row per column.
-    """
+
+def column_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, ColumnStats]:
+    """Counts per numeric column from one plain aggregate (one bounded row)."""
     cols = list(cols)
     check_numeric(df, cols)
     if not cols:
         return {}
-    args = [x for i, c in enumerate(cols) for x in (F.lit(i), F.col(c).cast("double"))]
-    pairs = df.select(F.stack(F.lit(len(cols)), *args).alias("i", "x"))
-    valid = F.nanvl(F.col("x"), F.lit(None).cast("double"))
-    rows = (pairs.groupBy("i")
-            .agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("x").isNull()).alias("nulls"),
-                 F.count_if(F.isnan("x")).alias("nans"), F.count(valid).alias("valid"),
-                 # xxhash64(null) is not null, so only hash present values
-                 F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(F.when(valid.isNotNull(),
-                                                                          F.xxhash64(valid)))), F.lit(0))
-                 .alias("distinct"))
-            .collect())
-    got = {r["i"]: r for r in rows}
-    out = {}
-    for i, c in enumerate(cols):
-        r = got.get(i)
-        out[c] = (ColumnStats(r["rows"], r["nulls"], r["nans"], r["valid"], r["distinct"]) if r
-                  else ColumnStats(0, 0, 0, 0, 0))
-    return out
+    r = stats_frame(df, cols).first().asDict()
+    return {c: ColumnStats(r["rows"], r["rows"] - r[f"n{i}"], r.get(f"nan{i}", 0), r[f"n{i}"] - r.get(f"nan{i}", 0))
+            for i, c in enumerate(cols)}
+
+
+def _distinct_estimates(base: DataFrame, names: Sequence[str]) -> dict[str, int]:
+    """About how many distinct values each column has: it decides how a median
+    is searched, not what it is."""
+    if not names:
+        return {}
+    return base.agg(*[F.approx_count_distinct(n).alias(n) for n in names]).first().asDict()
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnStats] | None = None,
-                  sketch_k: int = 2048, finish_distinct: int = 50_000,
-                  max_rounds: int = 200) -> dict[str, float | None]:
+                  sketch_k: int = 2048, finish_distinct: int = 50_000) -> dict[str, float | None]:
     """``{column: lower median as float}``; ``None`` for a column with no value.
 
     ``stats`` from :func:`column_stats` saves the first scan when the caller has it.
+    ``finish_distinct`` is a choice of plan: up to about so many distinct values
+    a band is grouped and ranked at once, above it a sketch narrows the band
+    first. Both ways are exact. The search ends because every checked proposal
+    leaves a band with fewer rows or halves the next proposal's margin.
     """
     cols = list(cols)
     if not cols:
@@ -179,15 +181,18 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
 
     result: dict[str, float | None] = {}
     states: dict[str, _State] = {}
+    # Where so few rows are valid that grouping them is always small, nothing is estimated.
+    large = [n for c, n in zip(cols, names) if stats[c].valid > finish_distinct]
+    distinct = _distinct_estimates(base, large)
     for c, n in zip(cols, names):
         st = stats[c]
         if st.valid == 0:
             result[n] = None
         else:
-            states[n] = _State(_Band(), (st.valid + 1) // 2, st.valid, st.distinct, margin=margin)
+            states[n] = _State(_Band(), (st.valid + 1) // 2, st.valid, distinct.get(n, st.valid), margin=margin)
     fan = None
 
-    for _ in range(max_rounds):
+    while True:
         pending = {n: s for n, s in states.items() if n not in result}
         for n, s in pending.items():
             if s.proposal is None and s.band.single_value():
@@ -209,29 +214,19 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
             _sketch_round(base, sketch, sketch_k, fan, finish_distinct)
         else:
             result.update(_finish(base, finish))
-    else:
-        raise RuntimeError("median search did not converge")
     return {c: result[n] for c, n in zip(cols, names)}
 
 
 def _fan_out(base: DataFrame) -> int:
-    """~sqrt(#input partitions) first-level merge groups (a fixed 32 where the
-    partition count is not available, e.g. on a Spark Connect session)."""
-    try:
-        return max(1, math.isqrt(max(1, base.rdd.getNumPartitions())))
-    except Exception:  # noqa: BLE001 - no RDD API on this session type
+    """~sqrt(#input partitions) first-level merge groups (a fixed 32 on a Spark
+    Connect session, which has no RDD API)."""
+    if is_remote():
         return 32
+    return max(1, math.isqrt(max(1, base.rdd.getNumPartitions())))
 
 
-def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int,
-                  finish_distinct: int) -> None:
-    """One scan: per column, exact counts of the band or proposal and a sketch of it.
-
-    A column without a proposal gets its next proposal from the sketch inside
-    the same job (its rank and size are known); a column whose proposal is
-    being checked learns its new rank only from this job's counts, so its
-    proposal comes from the collected (size-bounded) sketch afterwards.
-    """
+def sketch_frame(base: DataFrame, active: dict[str, _State], k: int, fan: int) -> DataFrame:
+    """One row: per column, exact counts of the band or proposal and a sketch of it."""
     single, level1, level2 = [], [], []
     for n, s in active.items():
         v = F.col(n)
@@ -264,8 +259,19 @@ def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int,
                     F.when(F.col(f"{n}_in") > 0, F.kll_sketch_get_quantile_double(kll, F.lit(hi))).alias(f"{n}_qhi")]
         else:
             out.append(F.col(f"{n}_kll"))
-    row = merged.select(*out).first()
+    return merged.select(*out)
+
+
+def _sketch_round(base: DataFrame, active: dict[str, _State], k: int, fan: int,
+                  finish_distinct: int) -> None:
+    """One scan (``sketch_frame``) and what follows from it.
 
+    A column without a proposal gets its next proposal from the sketch inside
+    the same job (its rank and size are known); a column whose proposal is
+    being checked learns its new rank only from this job's counts, so its
+    proposal comes from the collected (size-bounded) sketch afterwards.
+    """
+    row = sketch_frame(base, active, k, fan).first()
     later = {}
     for n, s in active.items():
         distinct = row[f"{n}_distinct"]
@@ -297,14 +303,8 @@ def _quantiles(spark, row, propose: dict[str, tuple[float, float]]) -> dict[str,
     return {n: (q[f"{n}_lo"], q[f"{n}_hi"]) for n in names}
 
 
-def _finish(base: DataFrame, finish: dict[str, _State]) -> dict[str, float]:
-    """Exact pick in bounded bands, checking any pending proposal in the same pass.
-
-    Rows under the proposal collapse into one counted group per column; rows in
-    the proposal (or in the whole band) are grouped by value. A running count
-    in value order over that bounded set finds the wanted rank. If the rank
-    falls outside the proposal, the state narrows and the search goes on.
-    """
+def finish_frame(base: DataFrame, finish: dict[str, _State]) -> DataFrame:
+    """A row per column: the value at its rank, and exact counts below and inside its band."""
     names = list(finish)
     args = []
     for i, n in enumerate(names):
@@ -319,12 +319,23 @@ def _finish(base: DataFrame, finish: dict[str, _State]) -> dict[str, float]:
                                                                 Window.currentRow)
     r = rank_of[F.col("c")]
     hit = (F.col("cum") >= r) & (F.col("cum") - F.col("cnt") < r)
-    per_col = (cands.withColumn("cum", F.sum("cnt").over(w))
+    return (cands.withColumn("cum", F.sum("cnt").over(w))
                .groupBy("c")
                .agg(F.max(F.when(hit & (F.col("part") == 1), F.col("v"))).alias("median"),
                     F.coalesce(F.sum(F.when(F.col("part") == 0, F.col("cnt"))), F.lit(0)).alias("below"),
                     F.coalesce(F.sum(F.when(F.col("part") == 1, F.col("cnt"))), F.lit(0)).alias("inside")))
-    rows = {names[row["c"]]: row for row in per_col.collect()}
+
+
+def _finish(base: DataFrame, finish: dict[str, _State]) -> dict[str, float]:
+    """Exact pick in bounded bands, checking any pending proposal in the same pass.
+
+    Rows under the proposal collapse into one counted group per column; rows in
+    the proposal (or in the whole band) are grouped by value. A running count
+    in value order over that bounded set finds the wanted rank. If the rank
+    falls outside the proposal, the state narrows and the search goes on.
+    """
+    names = list(finish)
+    rows = {names[row["c"]]: row for row in finish_frame(base, finish).collect()}
     out = {}
     for n, s in finish.items():
         row = rows.get(n)

@@ -2,8 +2,8 @@
 
 MLlib does the distributed work: every optimiser iteration is one tree
 aggregation over the cached training rows. What is added here is the wiring
-and three scale points: the training frame is pruned to the needed columns and
-persisted once for all 31 fits; folds come from a key hash (so they are the
+and three scale points: the training rows are assembled and persisted once for
+all 31 fits, and a fold is scaled once for its six grid points; folds come from a key hash (so they are the
 same on any cluster layout and re-running a lost task gives the same rows);
 and fitted models can be applied as one linear column expression that stays
 inside whole-stage codegen (no vector columns in the scoring path).
@@ -11,15 +11,20 @@ inside whole-stage codegen (no vector columns in the scoring path).
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,9 +77,9 @@ def accuracy_evaluator(label: str = LABEL) -> MulticlassClassificationEvaluator:
                                              metricName="accuracy")
 
 
-def fold_column(id_col: str = ID, num_folds: int = NUM_FOLDS) -> Column:
-    """Fold of a row from its key: ``((id * 104729) % 1013) % num_folds``."""
-    return (hash_mod(id_col, 104729, 1013) % F.lit(num_folds)).cast("int")
+def fold_column(id_col: Column | str = ID, num_folds: int = NUM_FOLDS) -> Column:
+    """Fold of a row from its key: ``((id * 104729) mod 1013) mod num_folds``, 0 for a null key."""
+    return F.coalesce(hash_mod(id_col, 104729, 1013) % F.lit(num_folds), F.lit(0)).cast("int")
 
 
 def with_folds(df: DataFrame, id_col: str = ID, num_folds: int = NUM_FOLDS) -> DataFrame:
@@ -88,24 +93,45 @@ def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
            id_col: str = ID) -> CrossValidatorModel:
     """5-fold CV over the 6-point grid, best mean accuracy, refit on all rows.
 
-    The training rows are pruned to id + features + label + fold and persisted
-    (memory, spilling to disk) for the 31 fits; the lineage above them is a
-    scan and a projection, so a lost block is recomputed cheaply.
-    ``parallelism`` fits run at once (default: the 6 grid points of a fold);
-    each optimiser iteration is a short job, so concurrent fits keep the
-    executors busy. Every running fit persists its fold's rows (spilling to
-    disk), so lower it when executor memory is short.
+    The rows are assembled to (label, features, fold) and persisted (memory,
+    spilling to disk) once. A fold's scaler is fitted once, and its scaled
+    training and validation rows are persisted while its grid points fit, so
+    there are ``num_folds + 1`` scaler fits and one copy of the rows beside the
+    current fold's. ``parallelism`` grid points fit at once; each optimiser iteration
+    is a short job, so concurrent fits keep the executors busy. Every running fit
+    persists its own blocks (spilling to disk): lower it when memory is short.
     """
     pipe, lr = pipeline(features, label, max_iter)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=param_grid(lr, reg_params, elastic_net_params),
-                        evaluator=accuracy_evaluator(label), numFolds=num_folds, foldCol=FOLD,
-                        parallelism=parallelism)
-    data = with_folds(df.select(id_col, *features, label), id_col, num_folds)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    grid = param_grid(lr, reg_params, elastic_net_params)
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=accuracy_evaluator(label),
+                        numFolds=num_folds, foldCol=FOLD, parallelism=parallelism)
+    level = StorageLevel.MEMORY_AND_DISK
+    rows = with_folds(df.select(id_col, *features, label), id_col, num_folds)
+    data = assembler(features).transform(rows).select(label, "features", FOLD).persist(level)
+    metrics = []
     try:
-        return cv.fit(data)
+        for k in range(num_folds):
+            train, valid = data.where(F.col(FOLD) != k), data.where(F.col(FOLD) == k)
+            scaled = scaler().fit(train)
+            train, valid = (scaled.transform(p).select(label, "scaledFeatures").persist(level)
+                            for p in (train, valid))
+
+            def accuracy(params, train=train, valid=valid):
+                return accuracy_evaluator(label).evaluate(lr.fit(train, params).transform(valid))
+
+            try:
+                with ThreadPoolExecutor(max_workers=min(parallelism, len(grid))) as pool:
+                    metrics.append(list(pool.map(accuracy, grid)))
+            finally:
+                train.unpersist()
+                valid.unpersist()
+        mean, std = np.mean(metrics, axis=0), np.std(metrics, axis=0)
+        scaled = scaler().fit(data)
+        best = lr.fit(scaled.transform(data), grid[int(np.argmax(mean))])
     finally:
         data.unpersist()
+    model = PipelineModel([assembler(features), scaled, best])
+    return cv._copyValues(CrossValidatorModel(model, mean.tolist(), stdMetrics=std.tolist()))
 
 
 def score(model, df: DataFrame) -> DataFrame:
@@ -122,11 +148,16 @@ class LinearModel:
     intercept: float
 
     def margin(self) -> Column:
+        """The linear form; a row with a null or NaN feature is an error that names
+        it (as in MLlib's assembler), whatever its weight, never a class 0."""
         m = F.lit(self.intercept)
         for c, w in zip(self.features, self.weights):
             if w != 0.0:
                 m = m + F.lit(w) * F.col(c).cast("double")
-        return m
+        void = [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in self.features]
+        names = F.concat_ws(", ", *[F.when(v, F.lit(c)) for v, c in zip(void, self.features)])
+        error = F.raise_error(F.concat(F.lit("cannot score a row without a value in: "), names))
+        return F.when(functools.reduce(operator.or_, void), error.cast("double")).otherwise(m)
 
 
 def linear_model(model, features: Sequence[str] = FEATURES) -> LinearModel:
@@ -195,6 +226,28 @@ def lr_coefficients(spark: SparkSession, model, features: Sequence[str] = FEATUR
     return spark.createDataFrame(rows, "term string, coefficient double")
 
 
+def optimality(spark: SparkSession, model: PipelineModel, df: DataFrame, reg: float, enet: float,
+               label: str = LABEL, features: Sequence[str] = FEATURES, tolerance: float = 1e-4) -> DataFrame:
+    """``term, gradient, coefficient, optimal``: whether the fit satisfies the
+    first-order conditions of the penalised mean log-loss on the scaled features.
+
+    With l1 = reg * enet and l2 = reg * (1 - enet), a coefficient w is optimal where
+    g + l2 w + l1 sign(w) is 0, or, at w = 0, where |g| <= l1; the intercept
+    where its gradient is 0. One aggregate over the scored rows.
+    """
+    rows = model.transform(df).select((vector_to_array("probability")[1] - F.col(label)).alias("r"),
+                                      vector_to_array("scaledFeatures").alias("z"))
+    grads = rows.agg(F.avg("r").alias("g"), *[F.avg(F.col("r") * F.col("z")[j]).alias(f"g{j}")
+                                              for j in range(len(features))]).first()
+    l1, l2, out = reg * enet, reg * (1 - enet), []
+    for j, (f, w) in enumerate(zip(features, model.stages[-1].coefficients.toArray().tolist())):
+        g = grads[f"g{j}"]
+        good = abs(g) <= l1 + tolerance if w == 0 else abs(g + l2 * w + math.copysign(l1, w)) <= tolerance
+        out.append((f, float(g), w, bool(good)))
+    out.append(("intercept", float(grads["g"]), float(model.stages[-1].intercept), abs(grads["g"]) <= tolerance))
+    return spark.createDataFrame(out, "term string, gradient double, coefficient double, optimal boolean")
+
+
 def random_holdout(df: DataFrame, weights: Sequence[float] = HOLDOUT_WEIGHTS,
                    seed: int = HOLDOUT_SEED) -> tuple[DataFrame, DataFrame]:
     """The original 70/30 random split (rows depend on the partition layout)."""
@@ -203,15 +256,16 @@ def random_holdout(df: DataFrame, weights: Sequence[float] = HOLDOUT_WEIGHTS,
 
 
 def hash_holdout(df: DataFrame, id_col: str = ID) -> tuple[DataFrame, DataFrame]:
-    """A layout-independent ~70/30 split by key: ``(id * 49979687) % 1009 < 706``.
+    """A layout-independent ~70/30 split by key: ``(id * 49979687) mod 1009 < 706``;
+    rows with a null key go to the larger part.
 
     Its multiplier differs from the one that separates the training file from
     the file to score, so applied to a training file it still splits it."""
-    flag = hash_mod(id_col, 49979687, 1009) < F.lit(706)
+    flag = F.coalesce(hash_mod(id_col, 49979687, 1009) < F.lit(706), F.lit(True))
     return df.filter(flag), df.filter(~flag)
 
 
-def holdout_metrics(df: DataFrame, split: str = "random", parallelism: int = 6,
+def holdout_metrics(df: DataFrame, split: str = "hash", parallelism: int = 6,
                     **fit_args) -> tuple[DataFrame, CrossValidatorModel]:
     """Split, cross-validate on the larger part, score the hold-out, measure it."""
     train, test = random_holdout(df) if split == "random" else hash_holdout(df)

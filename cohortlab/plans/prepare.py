@@ -1,10 +1,11 @@
 """The prepare step: encode, count missing, impute with exact medians.
 
-Two scans before the filled frame exists, whatever the column count: one
-aggregate with null/NaN/valid counts and a distinct estimate of every column,
-then the median search -- for columns with few distinct values one grouped
-pass over them; near-unique columns add a sketch scan per narrowing round. The reports (profiles, missing-after) are lazy frames
-the caller can run or skip.
+Three scans before the filled frame exists, whatever the column count: one
+aggregate with the null and NaN counts of every column, a distinct estimate of
+the columns with gaps alone, then their median search -- for columns with few
+distinct values one grouped pass; near-unique columns add a sketch scan per
+narrowing round. The reports (profiles, missing-after) are lazy frames the
+caller can run or skip.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from cohortlab.operators.encode import encode_categoricals
-from cohortlab.operators.impute import apply_medians
+from cohortlab.operators.impute import apply_medians, fit_medians
 from cohortlab.operators.median import check_numeric, column_stats, exact_medians
 from cohortlab.operators.missing import missing_counts
 from cohortlab.operators.profile import profile
+from cohortlab.schema import FEATURES
 
 
 @dataclass
@@ -27,7 +29,13 @@ class Prepared:
     encoded: DataFrame
     frame: DataFrame                 # encoded and imputed
     missing_before: DataFrame        # (column, n_missing) of the encoded frame
-    medians: dict[str, float]
+    medians: dict[str, float]        # of the columns that were filled
+
+    def medians_for_other(self, cols: Iterable[str] = FEATURES) -> dict[str, float]:
+        """A median of every model column, for filling another file (or a stream):
+        its gaps may lie in columns that have none here."""
+        more = [c for c in cols if c in self.encoded.columns and c not in self.medians]
+        return self.medians | (fit_medians(self.encoded, more) if more else {})
 
     def missing_after(self) -> DataFrame:
         return missing_counts(self.frame)
@@ -48,7 +56,7 @@ def prepare(df: DataFrame, medians: dict[str, float] | None = None,
     """Encode -> count missing -> fill with medians.
 
     ``medians=None`` fits them on ``df`` itself (each file with its own
-    medians); pass a training file's ``Prepared.medians`` to fill another
+    medians); pass a training file's ``Prepared.medians_for_other()`` to fill another
     file with them. Every column except ``exclude`` is imputed, so a string
     column left after encoding is an error, raised before any job runs.
     """
@@ -65,11 +73,10 @@ def prepare(df: DataFrame, medians: dict[str, float] | None = None,
     stats = column_stats(encoded, cols)                           # scan 1 (one bounded row)
     missing_before = spark.createDataFrame(
         [(c, int(stats[c].nulls)) for c in cols], "column string, n_missing long")
-    if medians is None:
-        need = [c for c in cols if stats[c].nulls + stats[c].nans > 0]
-        medians = exact_medians(encoded, need, stats)             # scan 2 (bounded bands)
-        empty = [c for c, m in medians.items() if m is None]
-        if empty:
-            raise ValueError(f"cannot impute: no non-missing value in column(s) {empty}")
+    need = [c for c in cols if stats[c].nulls + stats[c].nans > 0]
+    medians = exact_medians(encoded, need, stats)                 # the columns with gaps only
+    empty = [c for c, m in medians.items() if m is None]
+    if empty:
+        raise ValueError(f"cannot impute: no non-missing value in column(s) {empty}")
     frame = apply_medians(encoded, medians)
     return Prepared(df, encoded, frame, missing_before, medians)

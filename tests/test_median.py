@@ -64,6 +64,25 @@ def test_matches_brute_force_with_sketch_rounds(spark, seed):
                    "sparse": brute_lower_median(sparse)}
 
 
+def test_both_plans_agree_at_the_threshold(spark):
+    for distinct in (99, 100, 101):
+        df = spark.range(0, 1000).select((F.col("id") * 7919 % distinct).cast("double").alias("v"))
+        want = {"v": brute_lower_median([float(i * 7919 % distinct) for i in range(1000)])}
+        for threshold in (98, 99, 100, 101, 102, 999, 1000, 1001):
+            assert exact_medians(df, ["v"], finish_distinct=threshold) == want
+
+
+def test_only_columns_with_gaps_are_searched(spark, monkeypatch):
+    import cohortlab.operators.median as median
+    from cohortlab.plans.prepare import prepare
+    seen = []
+    monkeypatch.setattr(median, "_distinct_estimates", lambda base, names: seen.append(len(names)) or {})
+    df = spark.range(0, 200).selectExpr("id", "'M' as sex", "'YES' as is_smoking", "if(id % 9 = 0, null, id) as age")
+    assert set(prepare(df).medians) == {"age"}
+    median.exact_medians(df, ["id", "age"], finish_distinct=10)
+    assert seen == [0, 2]
+
+
 def test_partition_layout_does_not_change_medians(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 4999).cast("double").alias("v"))
     want = exact_medians(df, ["v"])

@@ -3,7 +3,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cohortlab.operators.model import (accuracy_metrics, cv_grid_metrics, fit_cv, hash_holdout,
-                                       linear_model, lr_coefficients, pipeline, score,
+                                       linear_model, lr_coefficients, optimality, pipeline, score,
                                        with_folds, with_linear_score)
 from cohortlab.plans.prepare import prepare
 from cohortlab.schema import FEATURES, LABEL
@@ -80,6 +80,69 @@ def test_folds_are_layout_independent(spark):
     assert a == b and set(a.values()) == {0, 1, 2, 3, 4}
 
 
+def test_scorer_raises_on_a_missing_feature(spark, prepared):
+    m = fit_one(prepared, 0.1, 1.0)   # some weights are 0: a gap there is an error too
+    lm = linear_model(m)
+    assert 0.0 in lm.weights
+    dropped = FEATURES[lm.weights.index(0.0)]
+    for column, gap in ((dropped, None), ("sysBP", None), ("BMI", float("nan"))):
+        bad = prepared.withColumn(column, F.when(F.col("id") % 50 != 0, F.col(column).cast("double"))
+                                  .otherwise(F.lit(gap).cast("double")))
+        for want in (["prediction"], ["margin"]):
+            with pytest.raises(Exception, match=f"without a value in: {column}"):
+                with_linear_score(bad, lm).select(*want).write.format("noop").mode("overwrite").save()
+        with pytest.raises(Exception):  # as the fitted pipeline does
+            score(m, bad).select("prediction").write.format("noop").mode("overwrite").save()
+
+
+def test_cv_equals_cross_validator(spark):
+    from pyspark.ml.tuning import CrossValidator
+
+    from cohortlab.operators.model import FOLD, accuracy_evaluator, param_grid
+    df = prepare(train_patients(spark, SF_SMALL)).frame
+    ours = fit_cv(df, max_iter=30)
+    pipe, lr = pipeline(max_iter=30)
+    theirs = CrossValidator(estimator=pipe, estimatorParamMaps=param_grid(lr), evaluator=accuracy_evaluator(),
+                            numFolds=5, foldCol=FOLD).fit(with_folds(df))
+    assert ours.avgMetrics == pytest.approx(theirs.avgMetrics, abs=1e-9)
+    assert ours.stdMetrics == pytest.approx(theirs.stdMetrics, abs=1e-9)
+    assert list(linear_model(ours).weights) == pytest.approx(list(linear_model(theirs).weights), rel=1e-6)
+    assert [sorted(p.name for p in m) for m in ours.getEstimatorParamMaps()] == [["elasticNetParam", "regParam"]] * 6
+
+
+def test_one_scaler_fit_per_fold(spark, monkeypatch):
+    import cohortlab.operators.model as model
+    fits, make = [], model.scaler
+
+    def counted():
+        s = make()
+        fit = s.fit
+        s.fit = lambda df: fits.append(1) or fit(df)
+        return s
+    monkeypatch.setattr(model, "scaler", counted)
+    fit_cv(prepare(train_patients(spark, SF_SMALL)).frame, max_iter=3)
+    assert len(fits) == 6
+
+
+def test_optimality_fails_on_a_wrong_penalty(spark, prepared):
+    m = fit_one(prepared, 0.01, 0.0)
+    assert all(r.optimal for r in optimality(spark, m, prepared, 0.01, 0.0).collect())
+    assert not all(r.optimal for r in optimality(spark, m, prepared, 0.1, 0.0).collect())
+
+
+def test_negative_and_null_keys(spark):
+    ids = [-7, -1, -2_000_000_000, 5, None, 0]
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    folds = {r.id: r.fold for r in with_folds(df).collect()}
+    assert folds == {i: 0 if i is None else (i * 104729) % 1013 % 5 for i in ids}
+    tr, te = hash_holdout(df)
+    larger = [i for i in ids if i is None or (i * 49979687) % 1009 < 706]
+    assert sorted((r.id for r in tr.collect()), key=str) == sorted(larger, key=str)
+    assert tr.count() + te.count() == len(ids)
+    negated = prepare(train_patients(spark, SF_SMALL).withColumn("id", -F.col("id"))).frame
+    assert len(fit_cv(negated, max_iter=3).avgMetrics) == 6
+
+
 def test_key_hashes_do_not_overflow_on_int_ids(spark):
     ids = [0, 1, 1008, 2_000_000_000, 2_147_483_647]
     df = spark.createDataFrame([(i,) for i in ids], "id int")

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.operators.missing import missing_counts
 from cohortlab.plans.prepare import prepare
+from cohortlab.schema import FEATURES
 from cohortlab.sources.fixtures import scored_patients, train_patients
 from conftest import SF_SMALL
 
@@ -45,11 +46,19 @@ def test_imputing_twice_is_once(spark):
 
 def test_train_medians_applied_to_test(spark):
     train = prepare(train_patients(spark, SF_SMALL))
-    own = prepare(scored_patients(spark, SF_SMALL))
-    with_train = prepare(scored_patients(spark, SF_SMALL), medians=train.medians)
-    assert with_train.medians == train.medians
-    assert set(own.medians) <= set(train.medians) | set(own.medians)
+    # gaps where the training file has none
+    gappy = scored_patients(spark, SF_SMALL).withColumn("sysBP", F.expr("if(id % 4 = 0, null, sysBP)"))
+    assert "sysBP" not in train.medians
+    medians = train.medians_for_other()
+    assert set(medians) == set(FEATURES)
+    assert {c: medians[c] for c in train.medians} == train.medians
+    with_train = prepare(gappy, medians=medians)
     assert missing_counts(with_train.frame).filter("n_missing > 0").count() == 0
+    filled = with_train.frame.filter("id % 4 = 0").select("sysBP").distinct().collect()
+    assert [r.sysBP for r in filled] == [train.encoded.stat.approxQuantile("sysBP", [0.5], 0.0)[0]]
+    # fitted for the file itself, the same gaps stay: the scorer raises on them
+    short = prepare(gappy, medians=train.medians)
+    assert missing_counts(short.frame).filter("n_missing > 0").count() == 1
 
 
 def test_string_column_rejected_before_any_job(spark):
