@@ -5,11 +5,12 @@ Library code never sets a master; it takes the caller's ``SparkSession``.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql.utils import is_remote
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -37,26 +38,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is read, never overridden. Only when it is unset (tests, a bare
-    local session) a fresh folder under the system temp dir is set.
+    reach; it is read, never overridden, and its absence is an error. Only on
+    a local master (tests, a bare local session) a fresh folder under the
+    system temp dir is set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, use the conf
-        if not configured:
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        return configured
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    if is_remote():                       # Spark Connect: no SparkContext, only the conf
+        return configured or _no_folder()
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            _no_folder()
         configured = tempfile.mkdtemp(prefix="cohortlab-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def _no_folder():
+    raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+_scratch: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unused path in the shared checkpoint folder for intermediate files."""
+    """A fresh, unused path in the shared checkpoint folder for intermediate files.
+
+    The folder of these paths is made once per session and removed when the
+    driver's JVM ends; results read lazily from it stay valid until then.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/cohortlab-scratch/{name}-{os.getpid()}-{uuid.uuid4().hex}"
+    if base not in _scratch:
+        _scratch[base] = f"{base}/cohortlab-scratch-{uuid.uuid4().hex}"
+        if not is_remote():
+            path = spark._jvm.org.apache.hadoop.fs.Path(_scratch[base])
+            fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            fs.mkdirs(path)
+            fs.deleteOnExit(path)
+    return f"{_scratch[base]}/{name}-{uuid.uuid4().hex}"

@@ -13,16 +13,32 @@ def read_patients(spark: SparkSession, path: str, fmt: str = "csv",
     CSV is read with a header; empty fields become null. Without ``schema`` the
     types are inferred from the file (one extra pass over the data, and two
     files can come out with different types for the same column); with
-    ``schema`` there is no inference pass. Parquet carries its own schema.
+    ``schema`` there is no inference pass, each file's header must name the schema's
+    columns in order, and a value that is not of its column's type (``NA`` in a
+    number) is an error, not a null. Parquet carries its own schema; with
+    ``schema`` a column that the files lack is an error.
     """
     if fmt == "parquet":
         df = spark.read.parquet(path)
-        return df.select(*[f.name for f in schema.fields if f.name in df.columns]) if schema else df
+        return select_columns(df, schema) if schema is not None else df
     if fmt != "csv":
         raise ValueError(f"unsupported patient file format: {fmt!r}")
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return reader.options(**STRICT_CSV).schema(schema).csv(path)
+
+
+#: With an explicit schema: check each header against it, fail on a malformed row.
+STRICT_CSV = {"enforceSchema": "false", "mode": "FAILFAST"}
+
+
+def select_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns of ``df``; a lacking one is an error."""
+    lacking = [f.name for f in schema.fields if f.name not in df.columns]
+    if lacking:
+        raise ValueError(f"the files lack the column(s) {lacking}")
+    return df.select(*[f.name for f in schema.fields])
 
 
 def load_train_test(spark: SparkSession, train_path: str, test_path: str,

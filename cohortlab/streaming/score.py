@@ -15,16 +15,32 @@ from pyspark.sql.streaming import StreamingQuery
 from cohortlab.operators.encode import encode_categoricals
 from cohortlab.operators.impute import apply_medians
 from cohortlab.operators.model import linear_model, with_linear_score
-from cohortlab.schema import SCORED_SCHEMA
+from cohortlab.schema import FEATURES, SCORED_SCHEMA
+from cohortlab.sources.files import STRICT_CSV, select_columns
 from cohortlab.sources.sink import export_projection
 
+ENCODED = ("sex", "is_smoking")   # encoding leaves no gap in them
+
 
 def score_stream(spark: SparkSession, model, medians: dict[str, float], source_dir: str,
                  out_dir: str, checkpoint_dir: str, schema: T.StructType = SCORED_SCHEMA,
                  fmt: str = "csv", available_now: bool = True,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the query; ``max_files_per_trigger`` bounds each micro-batch."""
+    """Start the query; ``max_files_per_trigger`` bounds each micro-batch.
+
+    ``medians`` must have every model column (``Prepared.medians_for_other()``):
+    a stream's gaps are not known beforehand. CSV files are checked against the
+    schema one by one. Of a Parquet source the columns of the files present at
+    the start are checked; a later file without one reads it as null.
+    """
+    lacking = [c for c in FEATURES if c not in medians and c not in ENCODED]
+    if lacking:
+        raise ValueError(f"no median for the column(s) {lacking}; fit them with medians_for_other()")
+    if fmt == "parquet":
+        select_columns(spark.read.parquet(source_dir), schema)
     reader = spark.readStream.schema(schema)
+    if fmt == "csv":
+        reader = reader.options(**STRICT_CSV)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.option("header", True).csv(source_dir) if fmt == "csv" else reader.parquet(source_dir)

@@ -38,6 +38,49 @@ def test_empty_field_is_null_and_na_text_is_string(spark, tmp_out):
     assert df.orderBy("id").first().a is None
 
 
+def _two_column_file(tmp_out, name, header, *lines):
+    p = os.path.join(tmp_out, name)
+    with open(p, "w") as f:
+        f.write("\n".join([header, *lines]) + "\n")
+    return p
+
+
+TWO = "sysBP double, diaBP double"
+
+
+def test_explicit_schema_is_checked(spark, tmp_out):
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(TWO)
+    good = _two_column_file(tmp_out, "good.csv", "sysBP,diaBP", "140.5,80", ",90")
+    assert [tuple(r) for r in read_patients(spark, good, schema=schema).collect()] == [(140.5, 80.0), (None, 90.0)]
+    for name, header, line in (("swapped", "diaBP,sysBP", "80,140"), ("lacking", "sysBP", "140"),
+                               ("text", "sysBP,diaBP", "NA,80")):
+        path = _two_column_file(tmp_out, f"{name}.csv", header, line)
+        with pytest.raises(Exception):
+            read_patients(spark, path, schema=schema).collect()
+    parquet = os.path.join(tmp_out, "pq")
+    spark.createDataFrame([(1.0,)], "sysBP double").write.parquet(parquet)
+    with pytest.raises(ValueError, match="diaBP"):
+        read_patients(spark, parquet, "parquet", schema)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from cohortlab.session import ensure_checkpoint_dir
+
+    def session(master, folder=None):
+        made = []
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None,
+                             setCheckpointDir=made.append)
+        return SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d: folder))
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1000]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(session(master))
+        assert ensure_checkpoint_dir(session(master, "hdfs://x/shared")) == "hdfs://x/shared"
+    assert ensure_checkpoint_dir(session("local[4]"))
+
+
 def _scored(spark):
     from cohortlab.queries import rule_prediction, prepared_scored
     return rule_prediction(prepared_scored(spark, SF_SMALL))
