@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cohortlab.functions.encode import sex_label, smoking_label
 from cohortlab.functions.keys import category_text
 from cohortlab.schema import (EXPLORE_KEYS, GENDER_LABEL, LABEL, MISSING_SERIES, PREDICTION,
-                              PREDICTION_SERIES, TARGET_SERIES)
+                              PREDICTION_COUNT, PREDICTION_ONE, PREDICTION_SERIES, PREDICTION_ZERO, TARGET_SERIES, TOTAL)
 
 
 def _is(c: str, value: int) -> Column:
@@ -27,7 +27,7 @@ def target_by(df: DataFrame, key: str, label: str = LABEL) -> DataFrame:
     partial counts: a key holding a third of all rows is pre-aggregated in
     every task and never gathered. Keyed by ``sex`` it adds ``GenderLabel``.
     """
-    out = df.groupBy(key).agg(F.sum(_is(label, 1)).alias(label), F.count(F.col(key)).alias("Total"))
+    out = df.groupBy(key).agg(F.sum(_is(label, 1)).alias(label), F.count(F.col(key)).alias(TOTAL))
     if key == "sex":
         out = out.withColumn(GENDER_LABEL, sex_label(F.col("sex")))
     return out.orderBy(key)
@@ -36,9 +36,9 @@ def target_by(df: DataFrame, key: str, label: str = LABEL) -> DataFrame:
 def prediction_by(df: DataFrame, key: str, prediction: str = PREDICTION) -> DataFrame:
     """``key, prediction_1, prediction_0, Total`` per key value, ordered by key."""
     return (df.groupBy(key)
-            .agg(F.sum(_is(prediction, 1)).alias("prediction_1"),
-                 F.sum(_is(prediction, 0)).alias("prediction_0"),
-                 F.count(F.col(key)).alias("Total"))
+            .agg(F.sum(_is(prediction, 1)).alias(PREDICTION_ONE),
+                 F.sum(_is(prediction, 0)).alias(PREDICTION_ZERO),
+                 F.count(F.col(key)).alias(TOTAL))
             .orderBy(key))
 
 
@@ -59,7 +59,7 @@ def _by_each_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
     out = {}
     for i, k in enumerate(keys):
         part = g.filter(F.col("__gid") == F.lit(full - (1 << (n - 1 - i))))
-        out[k] = shape(k, part.select(k, *aggs.keys(), F.col(f"__n{i}").alias("Total"))).orderBy(k)
+        out[k] = shape(k, part.select(k, *aggs.keys(), F.col(f"__n{i}").alias(TOTAL))).orderBy(k)
     return out, g
 
 
@@ -74,25 +74,26 @@ def target_by_keys(df: DataFrame, keys: Sequence[str] = EXPLORE_KEYS,
 def prediction_by_keys(df: DataFrame, keys: Sequence[str] = EXPLORE_KEYS,
                        prediction: str = PREDICTION) -> tuple[dict[str, DataFrame], DataFrame]:
     """``{key: prediction_by(df, key)}`` for all keys from a single scan of ``df``."""
-    return _by_each_key(df, keys, {"prediction_1": F.sum(_is(prediction, 1)),
-                                   "prediction_0": F.sum(_is(prediction, 0))},
-                        lambda k, t: t.select(k, "prediction_1", "prediction_0", "Total"))
+    return _by_each_key(df, keys, {PREDICTION_ONE: F.sum(_is(prediction, 1)),
+                                   PREDICTION_ZERO: F.sum(_is(prediction, 0))},
+                        lambda k, t: t.select(k, PREDICTION_ONE, PREDICTION_ZERO, "Total"))
 
 
 def prediction_counts(df: DataFrame, prediction: str = PREDICTION) -> DataFrame:
     """``prediction, prediction_count``: the histogram of predicted classes."""
-    return df.groupBy(prediction).count().withColumnRenamed("count", "prediction_count")
+    return df.groupBy(prediction).count().withColumnRenamed("count", PREDICTION_COUNT)
 
 
-def _category(key: str) -> Column:
+def _category(key: str, decode_smoking: bool) -> Column:
     if key == "sex":
         return sex_label(F.col(key))
-    if key == "is_smoking":
+    if key == "is_smoking" and decode_smoking:
         return smoking_label(F.col(key))
     return category_text(F.col(key))
 
 
-def _per_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
+def _per_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
+             decode_smoking: bool) -> DataFrame:
     """``chart, category, total`` + named ``aggs`` for every key, from one scan.
 
     A grouping-sets aggregate (one set per key) expands each row once per key
@@ -113,7 +114,7 @@ def _per_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> Dat
         return out
 
     return g.select(pick([F.lit(k) for k in keys]).alias("chart"),
-                    pick([_category(k) for k in keys]).alias("category"),
+                    pick([_category(k, decode_smoking) for k in keys]).alias("category"),
                     pick([F.col(f"__n{i}") for i in range(n)]).alias("total"),
                     *aggs.keys())
 
@@ -122,16 +123,18 @@ def chart_series_target(df: DataFrame, keys: Sequence[str] = EXPLORE_KEYS,
                         label: str = LABEL) -> DataFrame:
     """Label counts per key value in long form, series ``TenYearCHD`` / ``Non TenYearCHD``."""
     pos, neg = TARGET_SERIES
-    t = _per_key(df, keys, {"pos": F.sum(_is(label, 1))})
+    t = _per_key(df, keys, {"pos": F.sum(_is(label, 1))}, decode_smoking=True)
     t = t.select("chart", "category", F.col("pos").alias(pos), (F.col("total") - F.col("pos")).alias(neg))
     return t.unpivot(["chart", "category"], [pos, neg], "series", "n")
 
 
 def chart_series_prediction(df: DataFrame, keys: Sequence[str] = EXPLORE_KEYS,
                             prediction: str = PREDICTION) -> DataFrame:
-    """Prediction counts per key value in long form, series ``Prediction_1`` / ``Prediction_0``."""
+    """Prediction counts per key value in long form, series ``Prediction_1`` / ``Prediction_0``.
+
+    Smoking categories are the encoded value, ``1`` / ``0`` (the label chart has ``YES`` / ``NO``)."""
     one, zero = PREDICTION_SERIES
-    t = _per_key(df, keys, {one: F.sum(_is(prediction, 1)), zero: F.sum(_is(prediction, 0))})
+    t = _per_key(df, keys, {one: F.sum(_is(prediction, 1)), zero: F.sum(_is(prediction, 0))}, decode_smoking=False)
     return t.select("chart", "category", one, zero).unpivot(["chart", "category"], [one, zero], "series", "n")
 
 

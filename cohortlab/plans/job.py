@@ -15,14 +15,18 @@ from pyspark import StorageLevel
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlab.operators.explore import (chart_series_prediction, chart_series_target,
+from cohortlab.operators.explore import (chart_series_missing, chart_series_prediction, chart_series_target,
                                          prediction_by, prediction_by_keys, prediction_counts,
                                          target_by, target_by_keys)
-from cohortlab.operators.model import fit_cv, holdout_metrics, linear_model, with_linear_score
+from cohortlab.operators.model import cv_grid_metrics, fit_cv, holdout_metrics, linear_model, with_linear_score
+from cohortlab.operators.profile import profile_text
 from cohortlab.plans.prepare import Prepared, prepare
 from cohortlab.schema import EXPLORE_KEYS, PATIENT_SCHEMA, SCORED_SCHEMA
-from cohortlab.sources.files import load_train_test
-from cohortlab.sources.sink import write_predictions
+from cohortlab.sources.files import load_train_test, read_patients
+from cohortlab.sources.sink import export_projection, write_predictions
+
+
+REPORT = "_report"   # below the export; the underscore hides it from readers of the export
 
 
 @dataclass
@@ -31,7 +35,7 @@ class JobResult:
     test: Prepared
     holdout: dict                    # n, accuracy, tp, tn, fp, fn on the hold-out part
     model: CrossValidatorModel
-    predictions: DataFrame           # scored test rows (persisted; call release())
+    predictions: DataFrame           # the exported rows, read back as they are needed
     _cached: list = field(default_factory=list)
 
     def prediction_counts(self) -> DataFrame:
@@ -50,7 +54,7 @@ class JobResult:
         return tables
 
     def prediction_tables(self) -> dict[str, DataFrame]:
-        """The six prediction tables from one scan of the scored rows."""
+        """The six prediction tables from one scan of the exported rows."""
         tables, base = prediction_by_keys(self.predictions, EXPLORE_KEYS)
         self._cached.append(base)
         return tables
@@ -61,26 +65,51 @@ class JobResult:
     def prediction_charts(self) -> DataFrame:
         return chart_series_prediction(self.predictions, EXPLORE_KEYS)
 
+    def report(self) -> dict[str, DataFrame]:
+        """Every table of the analysis, whole, by name."""
+        out = {}
+        for name, p in (("train", self.train), ("scored", self.test)):
+            out |= {f"{name}_profile_before": p.profile_before(), f"{name}_profile_text": profile_text(p.raw),
+                    f"{name}_missing_before": p.missing_before, f"{name}_missing_after": p.missing_after(),
+                    f"{name}_profile_after": p.profile_after(),
+                    f"{name}_chart_missing": chart_series_missing(p.missing_before, p.missing_after())}
+        out |= {f"target_by_{k}": t for k, t in self.target_tables().items()}
+        out |= {f"prediction_by_{k}": t for k, t in self.prediction_tables().items()}
+        return out | {"chart_target": self.target_charts(), "chart_prediction": self.prediction_charts(),
+                      "prediction_counts": self.prediction_counts(),
+                      "grid_accuracy": cv_grid_metrics(self.predictions.sparkSession, self.model),
+                      "holdout": self.predictions.sparkSession.createDataFrame([self.holdout])}
+
     def release(self) -> None:
         for df in self._cached:
             df.unpersist()
-        self.predictions.unpersist()
         self.train.frame.unpersist()
 
 
+def write_report(result: JobResult, path: str) -> list[str]:
+    """Each report table as CSV under ``path``, all rows; their names."""
+    tables = result.report()
+    for name, table in tables.items():
+        table.write.option("header", True).csv(f"{path}/{name}")
+    return list(tables)
+
+
 def run_job(spark: SparkSession, train_path: str, test_path: str, out_path: str,
             fmt: str = "csv", explicit_schema: bool = False, test_medians: str = "self",
-            holdout: str = "random", parallelism: int = 6, single_file: bool = False) -> JobResult:
-    """Prepare both files, measure on a hold-out, fit on all training rows, score, export.
+            holdout: str = "hash", parallelism: int = 6, single_file: bool = False,
+            report: bool = True) -> JobResult:
+    """Prepare both files, measure on a hold-out, fit on all training rows, score,
+    export, and write the whole analysis to ``out_path/_report``.
 
     ``test_medians="self"`` fills the scored file with its own medians (the
-    original behaviour); ``"train"`` uses the training medians.
+    original behaviour); ``"train"`` uses the training medians. ``holdout="random"``
+    is the original's random split.
     """
     schema = PATIENT_SCHEMA if explicit_schema else None
     test_schema = SCORED_SCHEMA if explicit_schema else None
     train_raw, test_raw = load_train_test(spark, train_path, test_path, fmt, schema, test_schema)
     train = prepare(train_raw)
-    test = prepare(test_raw, medians=train.medians if test_medians == "train" else None)
+    test = prepare(test_raw, medians=train.medians_for_other() if test_medians == "train" else None)
     train.frame = train.frame.persist(StorageLevel.MEMORY_AND_DISK)
 
     metrics_df, _ = holdout_metrics(train.frame, split=holdout, parallelism=parallelism)
@@ -88,40 +117,47 @@ def run_job(spark: SparkSession, train_path: str, test_path: str, out_path: str,
 
     model = fit_cv(train.frame, parallelism=parallelism)
     scored = with_linear_score(test.frame, linear_model(model))
-    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     write_predictions(scored, out_path, single_file=single_file)
-    return JobResult(train, test, metrics, model, scored)
+    exported = read_patients(spark, out_path, schema=export_projection(scored).schema)
+    result = JobResult(train, test, metrics, model, exported)
+    if report:
+        write_report(result, f"{out_path}/{REPORT}")
+    return result
+
+
+class _Parser(argparse.ArgumentParser):
+    def error(self, message):
+        """Wrong or missing arguments: usage and exit status 1."""
+        self.print_usage(sys.stderr)
+        self.exit(1, f"{self.prog}: error: {message}\n")
 
 
 def main(argv: list[str] | None = None) -> int:
-    ap = argparse.ArgumentParser(prog="cohortlab", description=__doc__.splitlines()[0])
+    ap = _Parser(prog="cohortlab", description=__doc__.splitlines()[0])
     ap.add_argument("train")
     ap.add_argument("test")
     ap.add_argument("out")
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--explicit-schema", action="store_true")
     ap.add_argument("--test-medians", default="self", choices=["self", "train"])
-    ap.add_argument("--holdout", default="random", choices=["random", "hash"])
+    ap.add_argument("--holdout", default="hash", choices=["hash", "random"])
     ap.add_argument("--parallelism", type=int, default=6)
     ap.add_argument("--single-file", action="store_true")
-    ap.add_argument("--report", action="store_true",
-                    help="also show missing counts, profiles and the per-key tables")
+    ap.add_argument("--no-report", action="store_true", help="don't write the analysis tables")
+    ap.add_argument("--report", action="store_true", help="also print the analysis tables, all rows")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cohortlab").getOrCreate()
     res = run_job(spark, args.train, args.test, args.out, args.format, args.explicit_schema,
-                  args.test_medians, args.holdout, args.parallelism, args.single_file)
+                  args.test_medians, args.holdout, args.parallelism, args.single_file, not args.no_report)
     print(f"hold-out accuracy: {res.holdout['accuracy']:.4f} ({res.holdout})")
-    res.prediction_counts().show()
     if args.report:
-        for name, p in (("training file", res.train), ("file to score", res.test)):
-            print(f"missing values, {name}: before / after")
-            p.missing_before.show(50)
-            p.missing_after().show(50)
-            p.profile_after().show(50)
-        for table in res.target_tables().values():
-            table.show(30)
-        for table in res.prediction_tables().values():
-            table.show(30)
+        for name, table in res.report().items():
+            print(f"-- {name}\n{','.join(table.columns)}")
+            for row in table.toLocalIterator():
+                print(*row, sep=",")
+    else:
+        for row in res.prediction_counts().toLocalIterator():
+            print(f"prediction {row['prediction']:g}: {row['prediction_count']}")
     res.release()
     return 0
 

@@ -24,6 +24,7 @@ TARGET_SERIES = ("TenYearCHD", "Non TenYearCHD")
 PREDICTION_SERIES = ("Prediction_1", "Prediction_0")
 MISSING_SERIES = ("Missing Data", "Missing Data (After)")
 GENDER_LABEL = "GenderLabel"
+TOTAL, PREDICTION_ONE, PREDICTION_ZERO, PREDICTION_COUNT = "Total", "prediction_1", "prediction_0", "prediction_count"
 # ---------------------------------------------------------------------------
 
 # Columns of the exported prediction file: id, the features, the prediction.
