@@ -6,7 +6,7 @@ fixture text, ``quantile_disc`` for the lower median, plain GROUP BY / UNION ALL
 
 from __future__ import annotations
 
-from cohortlab.queries import FIXED_INTERCEPT, FIXED_WEIGHTS, KEY_SUFFIX
+from cohortlab.queries import FIXED_INTERCEPT, FIXED_WEIGHTS, GAPS, KEY_SUFFIX
 from cohortlab.schema import EXPLORE_KEYS, EXPORT_COLUMNS, FEATURES, ID, LABEL
 from cohortlab.sources.fixtures import PATIENT_EXPRESSIONS, TRAIN_EXPR, patients_sql
 
@@ -83,10 +83,10 @@ def _profile(src: str, cols: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-def _category(k: str) -> str:
+def _category(k: str, decode_smoking: bool) -> str:
     if k == "sex":
         return "CASE WHEN sex = 1 THEN 'M' ELSE 'F' END"
-    if k == "is_smoking":
+    if k == "is_smoking" and decode_smoking:
         return "CASE WHEN is_smoking = 1 THEN 'YES' ELSE 'NO' END"
     return f"CAST({q(k)} AS VARCHAR)"
 
@@ -108,7 +108,7 @@ def _prediction(k: str) -> str:
 def _chart(src: str, label: str, series: tuple[str, str]) -> str:
     parts = []
     for k in EXPLORE_KEYS:
-        cat = _category(k)
+        cat = _category(k, decode_smoking=label == "TenYearCHD")
         if label == "TenYearCHD":
             pos = "CAST(sum(CASE WHEN \"TenYearCHD\" = 1 THEN 1 ELSE 0 END) AS BIGINT)"
             neg = f"CAST(count({q(k)}) - sum(CASE WHEN \"TenYearCHD\" = 1 THEN 1 ELSE 0 END) AS BIGINT)"
@@ -121,6 +121,28 @@ def _chart(src: str, label: str, series: tuple[str, str]) -> str:
     return with_base(" UNION ALL ".join(parts))
 
 
+ODD_ID = "CASE WHEN id % 10 <> 3 THEN CASE WHEN id % 2 = 0 THEN id ELSE -id END END"
+
+
+def _pmod(x: str, m: int) -> str:
+    return f"((({x}) % {m} + {m}) % {m})"
+
+
+def _hash(x: str, mult: int, m: int) -> str:
+    return _pmod(f"{_pmod(x, m)} * {mult}", m)
+
+
+def _gappy(c: str, src: str) -> str:
+    return f"CASE WHEN id % {GAPS[c]} <> 0 THEN {src}.{q(c)} END" if c in GAPS else f"{src}.{q(c)}"
+
+
+_TYPES = {"sex": "int", "is_smoking": "int", ID: "bigint"}
+
+
+def _type(c: str) -> str:
+    return _TYPES.get(c, "int" if c in INT_COLUMNS else "double")
+
+
 def _raw_cast(c: str) -> str:
     return f"CAST({q(c)} AS INTEGER) AS {q(c)}" if c == ID else q(c)
 
@@ -139,6 +161,16 @@ def oracle_sql() -> dict[str, str]:
             for c in COLUMNS)),
         "impute_median": with_base(f"SELECT {_fill_select(SCORED_COLUMNS, 'm')} "
                                    "FROM enc_scored e CROSS JOIN med_train m"),
+        "impute_train_medians_all_columns": with_base(
+            "SELECT " + ", ".join(f"e.{q(c)}" if c == ID else f"coalesce({_gappy(c, 'e')}, m.{q(c)}) AS {q(c)}"
+                                  for c in SCORED_COLUMNS) + " FROM enc_scored e CROSS JOIN med_train m"),
+        "csv_sink_single_file": with_base(
+            "SELECT CAST(1 AS BIGINT) AS files, count(*) AS n_rows, CAST(sum(prediction) AS BIGINT) AS n_positive, "
+            "CAST(sum(id) AS BIGINT) AS id_sum FROM rule_scored"),
+        "schema_rows": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{_type(c)}' AS type" for c in COLUMNS),
+        "describe_text": with_base(" UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", CAST(count({q(c)}) AS VARCHAR) AS count, CAST(min({q(c)}) AS VARCHAR) AS min, "
+            f"CAST(max({q(c)}) AS VARCHAR) AS max FROM train" for c in COLUMNS)),
         "prepare_rows": with_base("SELECT * FROM prep_train"),
         "profile_raw": with_base(_profile("train", numeric_raw)),
         "profile_raw_text": with_base(" UNION ALL ".join(
@@ -179,6 +211,24 @@ def oracle_sql() -> dict[str, str]:
         "fold_sizes": with_base(
             "SELECT CAST(((id % 1013) * 104729) % 1013 % 5 AS INTEGER) AS fold, count(*) AS n "
             "FROM train GROUP BY 1"),
+        "fold_sizes_odd_ids": with_base(
+            f"SELECT CAST(coalesce({_hash(ODD_ID, 104729, 1013)} % 5, 0) AS INTEGER) AS fold, count(*) AS n "
+            "FROM train GROUP BY 1"),
+        "hash_holdout_sizes": with_base(
+            f"SELECT CASE WHEN coalesce({_hash(ODD_ID, 49979687, 1009)} < 706, true) THEN 'train' ELSE 'holdout' END "
+            "AS split, count(*) AS n FROM train GROUP BY 1"),
+        "random_split_total": with_base(
+            "SELECT count(*) AS n, count(DISTINCT id) AS n_ids, true AS train_share_near_0_7 FROM train"),
+        **{f"lr_optimal_{name}": " UNION ALL ".join(f"SELECT '{f}' AS term, true AS optimal"
+                                                    for f in (*FEATURES, "intercept")) for name in ("l2", "l1", "elastic")},
+        "cv_grid_accuracy_in_range": "SELECT CAST(r AS DOUBLE) AS \"regParam\", CAST(e AS DOUBLE) AS \"elasticNetParam\", "
+                                     "true AS in_range FROM (VALUES (0.1), (0.01)) a(r), (VALUES (0.0), (0.5), (1.0)) b(e)",
+        "holdout_confusion_adds_up": with_base(
+            f"SELECT count(*) AS n, count(*) FILTER (WHERE \"TenYearCHD\" = 1) AS positives, "
+            f"count(*) FILTER (WHERE \"TenYearCHD\" = 0) AS negatives, true AS accuracy_fits FROM train "
+            f"WHERE NOT ({_hash('id', 49979687, 1009)} < 706)"),
+        "scored_rows_agree": with_base(
+            "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_disagree, true AS both_classes FROM scored"),
         "feature_array": with_base(" UNION ALL ".join(
             f"SELECT id, '{f}' AS feature, CAST({q(f)} AS DOUBLE) AS value FROM prep_train" for f in FEATURES)),
         "standard_scale": with_base(f"SELECT * FROM (WITH st AS (SELECT {stats} FROM prep_train) {scaled})"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +21,9 @@ from cohortlab.operators.impute import apply_medians, fit_medians
 from cohortlab.operators.median import exact_medians
 from cohortlab.operators.missing import missing_counts
 from cohortlab.operators.model import (LinearModel, accuracy_metrics, cv_grid_metrics, fit_cv,
-                                       fold_column, holdout_metrics, linear_model, lr_coefficients,
-                                       random_holdout, score, with_linear_score)
-from cohortlab.operators.profile import head_rows, profile, profile_text
+                                       fold_column, hash_holdout, holdout_metrics, linear_model,
+                                       optimality, pipeline, random_holdout, score, with_linear_score)
+from cohortlab.operators.profile import describe, head_rows, profile, profile_text, schema_rows
 from cohortlab.plans.prepare import prepare
 from cohortlab.schema import EXPLORE_KEYS, EXPORT_COLUMNS, FEATURES, ID, PREDICTION
 from cohortlab.session import scratch_path
@@ -31,13 +32,16 @@ from cohortlab.sources.fixtures import patients, scored_patients, train_flag, tr
 from cohortlab.sources.sink import export_projection, write_predictions
 
 # Query key suffix -> patient column.
-KEY_SUFFIX = {"age": "age", "sex": "sex", "is_smoking": "is_smoking", "heart_rate": "heartRate",
-              "cigs_per_day": "cigsPerDay", "bp_meds": "BPMeds"}
+KEY_SUFFIX = dict(zip(("age", "sex", "is_smoking", "heart_rate", "cigs_per_day", "bp_meds"), EXPLORE_KEYS))
 
 # Fixed linear scorer used by ``linear_score`` (a parameter of that query).
 FIXED_WEIGHTS = {"age": 0.1, "sysBP": 0.04, "diaBP": 0.03}
 FIXED_INTERCEPT = -13.1
 
+# Column complete in the training file -> modulus of the ids whose value is
+# taken out of the scored file (``impute_train_medians_all_columns``).
+GAPS = {"sysBP": 3, "diaBP": 5, "prevalentHyp": 7}
+
 
 def rule_prediction(df: DataFrame) -> DataFrame:
     """A fit-free predictor so prediction operators have an exact oracle:
@@ -46,41 +50,18 @@ def rule_prediction(df: DataFrame) -> DataFrame:
     return df.withColumn(PREDICTION, F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-_MEDIANS: dict[tuple, dict[str, float]] = {}
-
-
-def _prepared(spark: SparkSession, d: str, role: str, raw: DataFrame) -> DataFrame:
-    """Each file filled with its own medians; the medians are fitted once per
-    session and input, later queries reuse them (a lazy fill, no extra job)."""
-    key = (spark.sparkContext.applicationId, d, role)
-    if key not in _MEDIANS:
-        _MEDIANS[key] = prepare(raw).medians
-    return prepare(raw, medians=_MEDIANS[key]).frame
-
-
 def prepared_train(spark: SparkSession, d: str) -> DataFrame:
-    return _prepared(spark, d, "train", train_patients(spark, d))
+    return prepare(train_patients(spark, d)).frame
 
 
 def prepared_scored(spark: SparkSession, d: str) -> DataFrame:
-    return _prepared(spark, d, "scored", scored_patients(spark, d))
+    return prepare(scored_patients(spark, d)).frame
 
 
 def _rule_scored(spark: SparkSession, d: str) -> DataFrame:
     return rule_prediction(prepared_scored(spark, d))
 
 
-_MODELS: dict[tuple, object] = {}
-
-
-def fitted_model(spark: SparkSession, d: str):
-    """CV model fitted on the prepared training file (memoised per session and input)."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _MODELS:
-        _MODELS[key] = fit_cv(prepared_train(spark, d))
-    return _MODELS[key]
-
-
 # ----------------------------------------------------------------- sources ---
 def q_csv_scan(spark, d):
     path = scratch_path(spark, "patients-csv")
@@ -95,6 +76,17 @@ def q_csv_sink_roundtrip(spark, d):
     return read_patients(spark, path, schema=scored.select(*EXPORT_COLUMNS).schema)
 
 
+def q_csv_sink_single_file(spark, d):
+    """The export as one file: rows per file name that was read back, and columns."""
+    path = scratch_path(spark, "predictions-one")
+    scored = _rule_scored(spark, d)
+    write_predictions(scored.repartition(4), path, single_file=True)
+    back = read_patients(spark, path, schema=scored.select(*EXPORT_COLUMNS).schema)
+    return back.withColumn("file", F.input_file_name()).groupBy().agg(
+        F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col(PREDICTION).cast("long")).alias("n_positive"), F.sum(F.col(ID).cast("long")).alias("id_sum"))
+
+
 # ---------------------------------------------------------------- prepare ---
 def q_encode_categoricals(spark, d):
     return encode_categoricals(train_patients(spark, d))
@@ -116,10 +108,37 @@ def q_column_medians(spark, d):
 
 def q_impute_median(spark, d):
     """The scored file filled with the training file's medians."""
-    med = fit_medians(encode_categoricals(train_patients(spark, d)))
+    med = fit_medians(encode_categoricals(train_patients(spark, d)), only_needed=True)
     return apply_medians(encode_categoricals(scored_patients(spark, d)), med)
 
 
+def gappy_scored(spark, d) -> DataFrame:
+    """The scored file with gaps in columns that are complete in the training file."""
+    df = scored_patients(spark, d)
+    for c, m in GAPS.items():
+        df = df.withColumn(c, F.when(F.col(ID) % m != 0, F.col(c)))
+    return df
+
+
+def q_impute_train_medians_all_columns(spark, d):
+    """Gaps anywhere in the scored file filled with the training file's medians."""
+    med = prepare(train_patients(spark, d)).medians_for_other()
+    return prepare(gappy_scored(spark, d), medians=med).frame
+
+
+def q_schema_rows(spark, d):
+    """The printed schema of the encoded training file as rows."""
+    return schema_rows(spark, encode_categoricals(train_patients(spark, d))).select("column", "type")
+
+
+def q_describe_text(spark, d):
+    """count, min and max of every raw column, as ``describe`` prints them, by column."""
+    raw = train_patients(spark, d)
+    wide = describe(raw, raw.columns).where("summary in ('count', 'min', 'max')")
+    long = wide.unpivot(["summary"], raw.columns, "column", "value")
+    return long.groupBy("column").pivot("summary", ["count", "min", "max"]).agg(F.first("value"))
+
+
 def q_prepare_rows(spark, d):
     return prepared_train(spark, d)
 
@@ -201,48 +220,87 @@ def q_accuracy_metric(spark, d):
     return m.withColumn("accuracy", F.round("accuracy", 6))
 
 
-# ------------------------------------------------- model (rows-only checks) ---
-def q_random_split_sizes(spark, d):
+# ------------------------------------- model: checks whose outcome SQL can state ---
+def q_random_split_total(spark, d):
+    """The 70/30 random split loses and repeats no row: total, distinct ids, both parts in use."""
     train, test = random_holdout(prepared_train(spark, d))
-    return (train.select(F.lit("train").alias("split"))
-            .unionByName(test.select(F.lit("holdout").alias("split")))
-            .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
+    parts = (train.select(F.lit(1).alias("part"), ID).unionByName(test.select(F.lit(0).alias("part"), ID)))
+    return parts.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(ID).alias("n_ids"),
+                     F.avg("part").between(0.6, 0.8).alias("train_share_near_0_7"))
+
 
+def q_hash_holdout_sizes(spark, d):
+    """Both parts of the hash split on ids that include negative and null ones."""
+    ids = train_patients(spark, d).select(odd_ids().alias(ID))
+    parts = hash_holdout(ids)
+    return _union_sizes(parts, ("train", "holdout"))
 
-def q_lr_coefficients(spark, d):
-    return lr_coefficients(spark, fitted_model(spark, d))
+
+def q_fold_sizes_odd_ids(spark, d):
+    """Fold sizes on ids that include negative and null ones."""
+    return (train_patients(spark, d).groupBy(fold_column(odd_ids()).alias("fold"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def odd_ids() -> Column:
+    return F.when(F.col(ID) % 10 != 3, F.when(F.col(ID) % 2 == 0, F.col(ID)).otherwise(-F.col(ID)))
 
 
-def q_cv_grid_metrics(spark, d):
-    return cv_grid_metrics(spark, fitted_model(spark, d))
+def _union_sizes(parts, names) -> DataFrame:
+    tagged = [p.select(F.lit(n).alias("split")) for p, n in zip(parts, names)]
+    return tagged[0].unionByName(tagged[1]).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _optimality(reg: float, enet: float):
+    def q(spark, d):
+        frame = prepared_train(spark, d)
+        pipe, lr = pipeline()
+        model = pipe.fit(frame, {lr.regParam: reg, lr.elasticNetParam: enet})
+        return optimality(spark, model, frame, reg, enet).select("term", "optimal")
+    return q
 
 
-def q_holdout_metrics(spark, d):
-    metrics, _ = holdout_metrics(prepared_train(spark, d))
-    return metrics
+def q_cv_grid_accuracy_in_range(spark, d):
+    """The six grid points, each with a mean accuracy in [0, 1] over the folds."""
+    grid = cv_grid_metrics(spark, fit_cv(prepared_train(spark, d)))
+    return grid.select("regParam", "elasticNetParam", F.col("mean_accuracy").between(0, 1).alias("in_range"))
 
 
-def q_scored_rows(spark, d):
-    """Scored file through the fitted pipeline (MLlib transform), export columns."""
-    return export_projection(score(fitted_model(spark, d), prepared_scored(spark, d)))
+def q_holdout_confusion_adds_up(spark, d):
+    """Hold-out metrics on the hash split: the part's size, positives and negatives
+    (so every row was scored once), and accuracy = (tp + tn) / n."""
+    m, _ = holdout_metrics(prepared_train(spark, d), split="hash", reg_params=(0.01,), elastic_net_params=(0.0,))
+    return m.select("n", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("tn") + F.col("fp")).alias("negatives"),
+                    (F.abs(F.col("accuracy") - (F.col("tp") + F.col("tn")) / F.col("n")) < 1e-12).alias("accuracy_fits"))
 
 
-def q_scored_rows_linear(spark, d):
-    """Same rows through the folded linear scorer."""
-    lm = linear_model(fitted_model(spark, d))
-    return export_projection(with_linear_score(prepared_scored(spark, d), lm))
+def q_scored_rows_agree(spark, d):
+    """The scored file through the fitted pipeline and through the folded linear
+    scorer: rows, rows where class or probability disagree, rows of either class alone."""
+    train, scored = prepared_train(spark, d), prepared_scored(spark, d)
+    pipe, lr = pipeline()
+    model = pipe.fit(train, {lr.regParam: 0.01})
+    both = with_linear_score(score(model, scored).select(
+        *FEATURES, F.col(PREDICTION).alias("p"), vector_to_array("probability")[1].alias("q")), linear_model(model))
+    differ = (F.col("p") != F.col(PREDICTION)) | ~(F.abs(F.col("q") - F.col("probability")) < 1e-9)
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(differ).alias("n_disagree"),
+                    (F.countDistinct(PREDICTION) == 2).alias("both_classes"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "csv_scan": q_csv_scan,
         "csv_sink_roundtrip": q_csv_sink_roundtrip,
+        "csv_sink_single_file": q_csv_sink_single_file,
         "encode_categoricals": q_encode_categoricals,
         "missing_count": q_missing_count,
         "missing_count_after": q_missing_count_after,
         "column_medians": q_column_medians,
         "impute_median": q_impute_median,
+        "impute_train_medians_all_columns": q_impute_train_medians_all_columns,
         "prepare_rows": q_prepare_rows,
+        "schema_rows": q_schema_rows,
+        "describe_text": q_describe_text,
         "profile_raw": q_profile_raw,
         "profile_raw_text": q_profile_raw_text,
         "profile_prepared": q_profile_prepared,
@@ -264,11 +322,14 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "standard_scale": q_standard_scale,
         "linear_score": q_linear_score,
         "accuracy_metric": q_accuracy_metric,
-        "random_split_sizes": q_random_split_sizes,
-        "lr_coefficients": q_lr_coefficients,
-        "cv_grid_metrics": q_cv_grid_metrics,
-        "holdout_metrics": q_holdout_metrics,
-        "scored_rows": q_scored_rows,
-        "scored_rows_linear": q_scored_rows_linear,
+        "random_split_total": q_random_split_total,
+        "hash_holdout_sizes": q_hash_holdout_sizes,
+        "fold_sizes_odd_ids": q_fold_sizes_odd_ids,
+        "lr_optimal_l2": _optimality(0.01, 0.0),
+        "lr_optimal_l1": _optimality(0.01, 1.0),
+        "lr_optimal_elastic": _optimality(0.1, 0.5),
+        "cv_grid_accuracy_in_range": q_cv_grid_accuracy_in_range,
+        "holdout_confusion_adds_up": q_holdout_confusion_adds_up,
+        "scored_rows_agree": q_scored_rows_agree,
     })
     return q
