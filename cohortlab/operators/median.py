@@ -158,7 +158,7 @@ def _distinct_estimates(base: DataFrame, names: Sequence[str]) -> dict[str, int]
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnStats] | None = None,
-                  sketch_k: int = 2048, finish_distinct: int = 50_000) -> dict[str, float | None]:
+                  sketch_k: int = 2048, finish_distinct: int = 200_000) -> dict[str, float | None]:
     """``{column: lower median as float}``; ``None`` for a column with no value.
 
     ``stats`` from :func:`column_stats` saves the first scan when the caller has it.
