@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortlab.llm import archive, chat, decontam, langid, mixing, rabitq, secrets, simhash, toxicity, urlfilter
+from cohortlab.llm.ship import ship_package
 from cohortlab.session import ensure_checkpoint_dir, scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -13,22 +13,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlab.llm import decontam, langid, mixing, secrets, simhash
 from cohortlab.llm.queries import language_samples
+from cohortlab.llm.ship import ship_package
 from cohortlab.session import ensure_checkpoint_dir, scratch_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return langid.keep_identified(docs, language_samples(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return simhash.keep_one_per_group(docs, width=3, max_distance=2)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return secrets.redact_secrets(docs)
 
 

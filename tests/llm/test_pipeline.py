@@ -61,3 +61,25 @@ def test_queries_equal_their_sql(spark):
         want = con.execute(sql)
         order = [d[0] for d in want.description]
         assert sorted(map(tuple, got.select(*order).collect()), key=str) == sorted(want.fetchall(), key=str), name
+
+
+def test_workers_need_no_path_to_the_package(tmp_path):
+    """From another folder, with the package on the driver's path alone."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    code = f"""
+import sys; sys.path.insert(0, {repo!r})
+from cohortlab.session import local_session
+import __spark_entry__ as e
+spark = local_session(2)
+for name in ("op1_language_id", "op8_warc", "op7_vector_search"):
+    print("rows", e.queries()[name](spark, {SF!r}).count())
+import corpus_pipeline
+docs = spark.read.parquet({SF!r} + "/documents.parquet")
+print("rows", corpus_pipeline.STAGES[3][1](spark, docs, {SF!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert out.stdout.count("rows") == 4, out.stderr[-2000:]

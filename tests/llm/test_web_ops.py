@@ -126,10 +126,11 @@ def test_model_scores_equal_brute_force(spark):
 
 
 def test_url_edges(spark):
-    rows = [(1, None, "h"), (1, None, None), (None, "http://a.com/", ""), (2, "http://b.org/x", None), (2, "http://b.org/x", None)]
+    rows = [(1, None, "h"), (1, None, None), (None, "http://a.com/", ""), (2, "http://b.org/x", None), (2, "http://b.org/x", None),
+            (3, "http://c.org/" + "long/" * 300_000, ""), (4, "", ""), (5, "\u00e9\U0001F600://\u00e9/", "")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("host", F.lit(1))
     out = urlfilter.filter_urls(pages.withColumn("verdict", F.lit("x")).withColumn("class", F.lit(0))).collect()
-    assert len(out) == 5 and {r["verdict"] for r in out} <= {"allow", "block"}
+    assert len(out) == len(rows) and {r["verdict"] for r in out} <= {"allow", "block"}
     assert urlfilter.filter_urls(pages.limit(0)).count() == 0
 
 
