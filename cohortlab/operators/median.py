@@ -33,6 +33,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,13 +159,16 @@ def _distinct_estimates(base: DataFrame, names: Sequence[str]) -> dict[str, int]
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnStats] | None = None,
-                  sketch_k: int = 2048, finish_distinct: int = 200_000) -> dict[str, float | None]:
+                  sketch_k: int = 2048, finish_distinct: int = 200_000,
+                  persist: bool = False) -> dict[str, float | None]:
     """``{column: lower median as float}``; ``None`` for a column with no value.
 
     ``stats`` from :func:`column_stats` saves the first scan when the caller has it.
     ``finish_distinct`` is a choice of plan: up to about so many distinct values
     a band is grouped and ranked at once, above it a sketch narrows the band
-    first. Both ways are exact. The search ends because every checked proposal
+    first. Both ways are exact. ``persist`` keeps the median columns (spilling to
+    disk) from the first sketch round on: for a text source, whose every scan
+    parses the whole file; a columnar one is read again more cheaply. The search ends because every checked proposal
     leaves a band with fewer rows or halves the next proposal's margin.
     """
     cols = list(cols)
@@ -190,8 +194,18 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
             result[n] = None
         else:
             states[n] = _State(_Band(), (st.valid + 1) // 2, st.valid, distinct.get(n, st.valid), margin=margin)
-    fan = None
+    try:
+        _search(base, states, result, sketch_k, finish_distinct, err, persist)
+    finally:
+        if persist:
+            base.unpersist()
+    return {c: result[n] for c, n in zip(cols, names)}
+
 
+def _search(base: DataFrame, states: dict[str, _State], result: dict[str, float | None], sketch_k: int,
+            finish_distinct: int, err: float, persist: bool) -> None:
+    """Rounds until ``result`` has every column of ``states``."""
+    fan = None
     while True:
         pending = {n: s for n, s in states.items() if n not in result}
         for n, s in pending.items():
@@ -211,10 +225,11 @@ def exact_medians(df: DataFrame, cols: Sequence[str], stats: dict[str, ColumnSta
             # Columns ready to finish wait, so all of them share one grouped pass.
             if fan is None:
                 fan = _fan_out(base)
+                if persist:
+                    base.persist(StorageLevel.MEMORY_AND_DISK)
             _sketch_round(base, sketch, sketch_k, fan, finish_distinct)
         else:
             result.update(_finish(base, finish))
-    return {c: result[n] for c, n in zip(cols, names)}
 
 
 def _fan_out(base: DataFrame) -> int:

@@ -108,8 +108,10 @@ def run_job(spark: SparkSession, train_path: str, test_path: str, out_path: str,
     schema = PATIENT_SCHEMA if explicit_schema else None
     test_schema = SCORED_SCHEMA if explicit_schema else None
     train_raw, test_raw = load_train_test(spark, train_path, test_path, fmt, schema, test_schema)
-    train = prepare(train_raw)
-    test = prepare(test_raw, medians=train.medians_for_other() if test_medians == "train" else None)
+    text = fmt == "csv"   # a sketch round would parse the whole file again
+    train = prepare(train_raw, persist=text)
+    test = prepare(test_raw, medians=train.medians_for_other() if test_medians == "train" else None,
+                   persist=text)
     train.frame = train.frame.persist(StorageLevel.MEMORY_AND_DISK)
 
     metrics_df, _ = holdout_metrics(train.frame, split=holdout, parallelism=parallelism)

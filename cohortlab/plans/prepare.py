@@ -52,13 +52,14 @@ class Prepared:
 
 
 def prepare(df: DataFrame, medians: dict[str, float] | None = None,
-            exclude: Iterable[str] = ()) -> Prepared:
+            exclude: Iterable[str] = (), persist: bool = False) -> Prepared:
     """Encode -> count missing -> fill with medians.
 
     ``medians=None`` fits them on ``df`` itself (each file with its own
     medians); pass a training file's ``Prepared.medians_for_other()`` to fill another
     file with them. Every column except ``exclude`` is imputed, so a string
     column left after encoding is an error, raised before any job runs.
+    ``persist``: see ``exact_medians``; for text sources.
     """
     spark = df.sparkSession
     skip = set(exclude)
@@ -74,7 +75,7 @@ def prepare(df: DataFrame, medians: dict[str, float] | None = None,
     missing_before = spark.createDataFrame(
         [(c, int(stats[c].nulls)) for c in cols], "column string, n_missing long")
     need = [c for c in cols if stats[c].nulls + stats[c].nans > 0]
-    medians = exact_medians(encoded, need, stats)                 # the columns with gaps only
+    medians = exact_medians(encoded, need, stats, persist=persist)                 # the columns with gaps only
     empty = [c for c, m in medians.items() if m is None]
     if empty:
         raise ValueError(f"cannot impute: no non-missing value in column(s) {empty}")

@@ -64,6 +64,14 @@ def test_matches_brute_force_with_sketch_rounds(spark, seed):
                    "sparse": brute_lower_median(sparse)}
 
 
+def test_persisted_rounds_give_the_same_and_leave_no_cache(spark):
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 4999).cast("double").alias("v"))
+    want = exact_medians(df, ["v"], finish_distinct=10, sketch_k=32)
+    spark.catalog.clearCache()
+    assert exact_medians(df, ["v"], finish_distinct=10, sketch_k=32, persist=True) == want
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+
+
 def test_both_plans_agree_at_the_threshold(spark):
     for distinct in (99, 100, 101):
         df = spark.range(0, 1000).select((F.col("id") * 7919 % distinct).cast("double").alias("v"))
