@@ -8,18 +8,22 @@ is calibrated on rule-judged URLs kept out of the models' counts.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cohortlab.llm.tables import written
 from cohortlab.llm.text import mix, row_slices, utf8
 
 #: host, path and verdict of each rule; the longest fitting one wins.
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
 ORDER = 4                 #: bytes of context, at most
-BITS = 20                 #: counts are kept in 2^BITS buckets per model
 CALIBRATION = 5           #: one in so many rule-judged URLs calibrates the threshold
+SLICE_BYTES = 1 << 18     #: URLs that are scored together
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -78,55 +82,33 @@ def count_grams(urls: DataFrame, order: int = ORDER) -> DataFrame:
             .groupBy("class", "context", "gram").agg(F.sum("n").alias("n")))
 
 
-class UrlModel:
-    """Bucketed counts of both models: grams, contexts, kinds of next byte after a context."""
-
-    def __init__(self, order: int = ORDER, bits: int = BITS):
-        self.order, self.bits, self.threshold = order, bits, 0.0
-        self.grams, self.contexts, self.kinds = (np.zeros((2, 1 << bits), np.float32) for _ in range(3))
+class UrlModel(NamedTuple):
+    """Exact counts of both models as written tables, keyed by the full 64-bit hashes."""
 
-    def scores(self, column) -> np.ndarray:
-        """Log-likelihood under accepted less that under rejected, per byte (0 for no bytes)."""
-        raw, offsets = utf8(column)
-        sizes = np.diff(offsets)
-        shift = np.uint64(64 - self.bits)
-        p = np.full((2, len(raw)), 1 / 256)
-        for k in range(self.order + 1):  # Witten-Bell: unseen contexts hand on the shorter one's estimate
-            context, gram = _grams(raw, offsets, k)
-            c, g = (context >> shift).astype(np.int64), (gram >> shift).astype(np.int64)
-            for m in (0, 1):
-                seen, kinds = self.contexts[m, c], self.kinds[m, c]
-                p[m] = np.where(seen > 0, (np.minimum(self.grams[m, g], seen) + kinds * p[m])
-                                / np.maximum(seen + kinds, 1), p[m])
-        ratio = np.log(p[1]) - np.log(p[0])
-        total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=ratio, minlength=len(sizes))
-        return total / np.maximum(sizes, 1)
+    order: int
+    grams: DataFrame        #: `gram`, `n0`, `n1`: how often it stands in rejected and in accepted URLs
+    contexts: DataFrame     #: `context`, `seen0`, `seen1`, `kinds0`, `kinds1` (of next bytes)
+    threshold: float = 0.0
 
 
-def _bucket(column: str, bits: int) -> Column:
-    return F.shiftrightunsigned(column, 64 - bits)
-
-
-def train(judged: DataFrame, order: int = ORDER, bits: int = BITS) -> UrlModel:
+def train(judged: DataFrame, order: int = ORDER) -> UrlModel:
     """The model of `judged` (url, class: 1 accepted, 0 rejected).
 
     All rows count, but one in `CALIBRATION` (by a hash of the URL), which set the
-    threshold: the score with the greatest balanced accuracy. The driver holds 2^BITS buckets
-    per model and a histogram of 2,001 scores, whatever the number of URLs. With
-    one class empty the scores of the other decide nothing: threshold 0.
+    threshold: the score with the greatest balanced accuracy. The counts grow with the
+    distinct n-grams and stay in Spark; the driver holds a histogram of 2,001 scores,
+    whatever the number of URLs. With one class empty the scores of the other decide
+    nothing: threshold 0.
     """
     rows = judged.where("url is not null").select("class", "url")
     aside = F.pmod(F.xxhash64("url"), F.lit(CALIBRATION)) == 0
-    counts = count_grams(rows.where(~aside), order).checkpoint()
-    model = UrlModel(order, bits)
-    grams = counts.groupBy("class", _bucket("gram", bits).alias("b")).agg(F.sum("n").alias("n")).toArrow()
-    contexts = counts.groupBy("class", _bucket("context", bits).alias("b")).agg(
-        F.sum("n").alias("n"), F.count("*").alias("kinds")).toArrow()
-    at = lambda t: (t["class"].to_numpy(), t["b"].to_numpy())
-    if grams.num_rows:
-        model.grams[at(grams)] = grams["n"].to_numpy()
-        model.contexts[at(contexts)] = contexts["n"].to_numpy()
-        model.kinds[at(contexts)] = contexts["kinds"].to_numpy()
+    of = lambda c: F.coalesce(F.sum(F.when(F.col("class") == c, F.col("n"))), F.lit(0))
+    grams = written(count_grams(rows.where(~aside), order).groupBy("context", "gram")
+                    .agg(of(0).alias("n0"), of(1).alias("n1")), "url-grams")
+    contexts = written(grams.groupBy("context").agg(
+        *[F.sum(f"n{c}").alias(f"seen{c}") for c in (0, 1)],
+        *[F.count_if(F.col(f"n{c}") > 0).alias(f"kinds{c}") for c in (0, 1)]), "url-contexts")
+    model = UrlModel(order, grams.select("gram", "n0", "n1"), contexts)
     kept = score_urls(rows.where(aside), model, ("class",))
     steps = kept.groupBy("class", F.round(F.greatest(F.lit(-5.0), F.least(F.lit(5.0), "score")) * 200).cast("int")
                          .alias("step")).count().collect()
@@ -137,24 +119,96 @@ def train(judged: DataFrame, order: int = ORDER, bits: int = BITS) -> UrlModel:
             below[r["class"]][r["step"] + 1001] += r["count"] / total[r["class"]]
         gain = np.cumsum(below[0]) - np.cumsum(below[1])  # rejected below less accepted below each step
         best = np.flatnonzero(gain >= gain.max() - 1e-12)
-        model.threshold = float((best[len(best) // 2] - 1001 + 0.5) / 200)
+        model = model._replace(threshold=float((best[len(best) // 2] - 1001 + 0.5) / 200))
     return model
 
 
-def score_urls(urls: DataFrame, model: UrlModel, keys: tuple[str, ...]) -> DataFrame:
-    """The key columns and `score` per row of `urls`."""
-    shared = urls.sparkSession.sparkContext.broadcast(model)  # fixed size: 6 * 4 * 2^BITS bytes
-    fields = ", ".join(f"`{k}` {urls.schema[k].dataType.simpleString()}" for k in keys)
+def _in_slices(urls: DataFrame, columns: list[str]) -> DataFrame:
+    """`columns` of `urls`, one of them url, and the `slice` a row is in, written."""
+    def run(batches):
+        base = TaskContext.get().partitionId() << 40
+        for at, b in enumerate(row_slices(batches, "url", SLICE_BYTES)):
+            yield b.append_column("slice", pa.array(np.full(b.num_rows, base + at, np.int64)))
+
+    fields = ", ".join(f"`{c}` {urls.schema[c].dataType.simpleString()}" for c in columns)
+    return written(urls.select(*columns).mapInArrow(run, f"{fields}, slice bigint"), "url-slices")
+
+
+def gram_ratios(slices: DataFrame, model: UrlModel) -> DataFrame:
+    """(`gram`, `ratio`): log-likelihood under accepted less that under rejected of every
+    distinct n-gram of full order in `slices` (url, slice).
+
+    A byte's estimate depends on its n-gram alone, so each is made once, from that of the
+    n-gram a byte shorter. A gram stands once in its join, a context or shorter gram at
+    most 256 times: no key is hot, however common its n-gram is.
+    """
+    order = model.order
 
     def run(batches):
         for b in row_slices(batches, "url", 1 << 20):
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(keys)], pa.array(shared.value.scores(b.column("url")))],
-                                             names=[*keys, "score"])
+            raw, offsets = utf8(b.column("url"))
+            shorter = np.zeros(len(raw), np.uint64)
+            for k in range(order + 1):
+                context, gram = _grams(raw, offsets, k)
+                found, first = np.unique(gram, return_index=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(found), k, np.int32)),
+                     *[pa.array(x.view(np.int64)) for x in (found, context[first], shorter[first])]],
+                    names=["level", "gram", "context", "shorter"])
+                shorter = gram
+
+    need = (slices.select("url").mapInArrow(run, "level int, gram bigint, context bigint, shorter bigint")
+            .groupBy("level", "gram").agg(F.first("context").alias("context"), F.first("shorter").alias("shorter")))
+    known = written(need.join(model.grams, "gram", "left").join(model.contexts, "context", "left"), "url-known")
+    p = None
+    for k in range(order + 1):  # Witten-Bell: unseen contexts hand on the shorter one's estimate
+        at = known.where(F.col("level") == k)
+        if k:
+            at = at.join(p.withColumnRenamed("gram", "shorter"), "shorter")
+        rest = [F.col(f"p{c}") if k else F.lit(1 / 256) for c in (0, 1)]
+        p = at.select("gram", *[F.when(F.col(f"seen{c}") > 0, (F.coalesce(f"n{c}", F.lit(0)) + F.col(f"kinds{c}") * rest[c])
+                                       / (F.col(f"seen{c}") + F.col(f"kinds{c}"))).otherwise(rest[c]).alias(f"p{c}")
+                                for c in (0, 1)])
+    return written(p.select("gram", (F.log("p1") - F.log("p0")).alias("ratio")), "url-ratios")
+
 
-    return urls.select(*keys, "url").mapInArrow(run, f"{fields}, score double")
+def score_urls(urls: DataFrame, model: UrlModel, keys: tuple[str, ...]) -> DataFrame:
+    """The key columns and `score` per row of `urls`: log-likelihood under accepted less
+    that under rejected, per byte (0 for no bytes).
+
+    Each slice of URLs meets the ratios of its distinct n-grams, so that the most common
+    one is a row per slice.
+    """
+    order = model.order
+    slices = _in_slices(urls, list(dict.fromkeys([*keys, "url"])))
+
+    def run(batches):
+        for b in row_slices(batches, "url", SLICE_BYTES):
+            ids = b.column("slice").to_numpy()
+            for one in np.unique(ids):
+                raw, offsets = utf8(b.column("url").filter(pa.array(ids == one)))
+                found = np.unique(_grams(raw, offsets, order)[1])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), one, np.int64)),
+                                                  pa.array(found.view(np.int64))], names=["slice", "gram"])
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        column = left.column("url").combine_chunks()
+        raw, offsets = utf8(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
+        sizes = np.diff(offsets)
+        grams, ratios = right.column("gram").to_numpy(), right.column("ratio").to_numpy()
+        by = np.argsort(grams)
+        ratio = ratios[by][np.searchsorted(grams[by], _grams(raw, offsets, order)[1].view(np.int64))]
+        total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=ratio, minlength=len(sizes))
+        return left.select(list(keys)).append_column("score", pa.array(total / np.maximum(sizes, 1)))
+
+    wanted = slices.select("slice", "url").mapInArrow(run, "slice bigint, gram bigint").distinct()
+    ratios = wanted.join(gram_ratios(slices, model), "gram").select("slice", "gram", "ratio")
+    fields = ", ".join(f"`{k}` {urls.schema[k].dataType.simpleString()}" for k in keys)
+    return (slices.groupBy("slice").cogroup(ratios.groupBy("slice"))
+            .applyInArrow(score, f"{fields}, score double"))
 
 
-def filter_urls(pages: DataFrame, rules=RULES, order: int = ORDER, bits: int = BITS) -> DataFrame:
+def filter_urls(pages: DataFrame, rules=RULES, order: int = ORDER) -> DataFrame:
     """(`page_id`, `host`, `path`, `rule`, `verdict`, `score`) per row of `pages`.
 
     The models learn from all rule-judged URLs of `pages`. A URL no rule fits is
@@ -165,10 +219,10 @@ def filter_urls(pages: DataFrame, rules=RULES, order: int = ORDER, bits: int = B
     """
     rule, verdict = judge_by_rules(rules)
     host, path = split_url()
-    urls = pages.select("page_id", "url").select("page_id", "url", host.alias("host"), path.alias("path"))
-    urls = urls.withColumns({"rule": rule, "says": verdict})
-    known = urls.where("says is not null").select("url", (F.col("says") == "allow").cast("int").alias("class"))
-    model = train(known, order, bits)
-    scored = score_urls(urls, model, ("page_id", "host", "path", "rule", "says"))
+    judge = lambda t: t.withColumns({"host": host, "path": path}).withColumns({"rule": rule, "says": verdict})
+    urls = pages.select("page_id", "url")
+    known = judge(urls).where("says is not null").select("url", (F.col("says") == "allow").cast("int").alias("class"))
+    model = train(known, order)
+    scored = judge(score_urls(urls, model, ("page_id", "url")))
     by_model = F.when(F.col("score") >= model.threshold, "allow").otherwise("block")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("says", by_model).alias("verdict"), "score")

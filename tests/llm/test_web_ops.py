@@ -125,6 +125,28 @@ def test_model_scores_equal_brute_force(spark):
     assert got[1] < model.threshold < got[0]
 
 
+def test_model_grows_with_the_urls(spark):
+    """Millions of distinct n-grams share no count: a new context stays unseen."""
+    rng = random.Random(9)
+    judged = [(i % 2, "".join(chr(rng.randrange(33, 127)) for _ in range(4000))) for i in range(150)]
+    table = spark.createDataFrame(judged, "class int, url string").repartition(4)
+    model = urlfilter.train(table)
+    got = urlfilter.score_urls(spark.createDataFrame([(1, "\u0434\u0436" * 8)], "page_id bigint, url string"),
+                               model, ("page_id",)).head()["score"]
+    aside = {r["url"] for r in table.where(F.pmod(F.xxhash64("url"), F.lit(urlfilter.CALIBRATION)) == 0).collect()}
+    seen = [{}, {}]
+    for c, url in judged:
+        for x in url.encode() if url not in aside else b"":
+            seen[c][x] = seen[c].get(x, 0) + 1
+    # no byte of the URL stands in a judged one: only the empty context and the start's zeros are known
+    p = [(len(s) / 256) / (sum(s.values()) + len(s)) for s in seen]
+    firsts = [{u.encode()[0] for c, u in judged if c == k and u not in aside} for k in (0, 1)]
+    n = [sum(u not in aside for c, u in judged if c == k) for k in (0, 1)]
+    start = [p[k] * (len(firsts[k]) / (n[k] + len(firsts[k]))) ** 4 for k in (0, 1)]
+    want = (math.log(start[1] / start[0]) + 31 * math.log(p[1] / p[0])) / 32
+    assert got == pytest.approx(want, abs=1e-9)
+
+
 def test_url_edges(spark):
     rows = [(1, None, "h"), (1, None, None), (None, "http://a.com/", ""), (2, "http://b.org/x", None), (2, "http://b.org/x", None),
             (3, "http://c.org/" + "long/" * 300_000, ""), (4, "", ""), (5, "\u00e9\U0001F600://\u00e9/", "")]
