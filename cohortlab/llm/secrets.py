@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -26,11 +28,17 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+", re.ASCII)
 HEX = re.compile(r"[0-9a-f]{16,}", re.ASCII)  # runs are maximal, so this drops the short ones
 LEAST = {"assign": 12, "access": 18}
-#: The wider context: what a person or a config file writes before a credential.
-CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|client|auth)[_-]?key"""
-    r"""|credentials?|bearer|auth(?:orization)?)["']?[\x20\t]*[:=][\x20\t]*["']?([!-~]{8,})""",
-    re.IGNORECASE | re.ASCII)
+_KEY = (r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|client|auth)[_-]?key"""
+        r"""|credentials?|bearer|auth(?:orization)?)""")
+_ASSIGNED = _KEY + r"""["']?[\x20\t]*[:=]"""
+#: The wider context: what a person or a config file writes before a credential. The value
+#: follows; where another key does, the value is that key's.
+CONTEXT = re.compile(_ASSIGNED + r"""[\x20\t]*+(?!["']?""" + _ASSIGNED + r""")(["']?+)""", re.IGNORECASE | re.ASCII)
+#: What closes a quoted value, or ends its line.
+CLOSING = re.compile(r"""(?<!\\)(?:\\\\)*(?:(["'])(?![A-Za-z0-9])|[\r\n])""")
+#: A value without quotes ends before a blank, the next pair of a list, or a quote that ends something.
+UNQUOTED = re.compile(r"""(?:(?![,;&][\x20\t]*["']?[A-Za-z_][\w.-]*["']?[\x20\t]*[:=]|["'](?:[\s,;:&)\]}>]|$))[!-~])*""",
+                      re.ASCII)
 MIN_BITS = 40.0           #: guessing work from which a value in context is a secret
 
 #: Words that people build passwords of, the commonest first (own list, fixed values).
@@ -136,9 +144,32 @@ class Finding(NamedTuple):
     bits: float         #: guess cost of the value
 
 
+def _guesses(text: str, min_bits: float) -> list[Finding]:
+    """Values in context that are costly to guess, each read to its own end, from where
+    the search goes on."""
+    found, closings, at = [], None, 0
+    while m := CONTEXT.search(text, at):
+        start, quote, end = m.end(), m[1], -1
+        if quote:
+            if closings is None:  # all of them, once: a look-ahead per value could be quadratic
+                closings = {q: [(c.end() - bool(c[1]), bool(c[1])) for c in CLOSING.finditer(text) if c[1] in (q, None)]
+                            for q in ("'", '"')}
+            k = bisect_left(closings[quote], (start,))
+            if k < len(closings[quote]) and closings[quote][k][1]:
+                end = closings[quote][k][0]
+        if end < 0:
+            run = UNQUOTED.match(text, start)
+            end = start + len(run[0].rstrip("\"'`,;)]}>"))
+        at = max(end, m.end())
+        if end - start >= 8 and (bits := guess_bits(text[start:end])) >= min_bits:
+            found.append(Finding("guess", m.start(), end, start, bits))
+    return found
+
+
 def find_secrets(text: str | None, min_bits: float = MIN_BITS) -> list[Finding]:
     """All spans of one text, by start, then kind as in `KINDS`. A `guess` span
-    never overlaps a base span; base spans stay whatever their cost."""
+    is left out only where a base span's value holds all of its value; base spans stay
+    whatever their cost."""
     if not text:
         return []
     found = [Finding("assign", m.start(), m.end(), m.start(2), guess_bits(m[2]))
@@ -146,13 +177,13 @@ def find_secrets(text: str | None, min_bits: float = MIN_BITS) -> list[Finding]:
     found += [Finding("access", m.start(), m.end(), m.start(), guess_bits(m[0]))
               for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
     found += [Finding("hex", m.start(), m.end(), m.start(), guess_bits(m[0])) for m in HEX.finditer(text)]
-    for m in CONTEXT.finditer(text):
-        end = m.start(1) + len(m[1].rstrip("\"'`,;)]}>"))
-        if end - m.start(1) < 8 or any(f.start < end and m.start() < f.end for f in found):
-            continue
-        bits = guess_bits(text[m.start(1):end])
-        if bits >= min_bits:
-            found.append(Finding("guess", m.start(), end, m.start(1), bits))
+    if guesses := _guesses(text, min_bits):
+        base = sorted((f.value_start, f.end) for f in found)
+        reach = list(accumulate((end for _, end in base), max))
+        for f in guesses:
+            k = bisect_left(base, (f.value_start + 1,))
+            if not k or reach[k - 1] < f.end:
+                found.append(f)
     return sorted(found, key=lambda f: (f.start, KINDS.index(f.kind), f.end))
 
 
