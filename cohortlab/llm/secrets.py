@@ -79,8 +79,21 @@ def _near_keys() -> set[str]:
 _NEAR = _near_keys()
 
 
-def _char_bits(c: str) -> float:
-    return math.log2(10 if c.isdigit() else 26 if c.isalpha() else 33)
+_SIZES = (10, 26, 26, 33)  #: digits, lower case, capitals, the rest of the printable characters
+#: Bits a character by the set of classes it is drawn from, a bit per class.
+_ALPHABET = [0.0] + [math.log2(sum(n for k, n in enumerate(_SIZES) if s >> k & 1)) for s in range(1, 16)]
+
+
+def _class(c: str) -> int:
+    return 1 if "0" <= c <= "9" else 2 if "a" <= c <= "z" else 4 if "A" <= c <= "Z" else 8
+
+
+def _brute_bits(piece: str) -> float:
+    """Cost of a piece by brute force over the classes that stand in it."""
+    classes = 0
+    for c in piece:
+        classes |= _class(c)
+    return len(piece) * _ALPHABET[classes]
 
 
 def _word_bits(piece: str) -> float | None:
@@ -99,10 +112,15 @@ def guess_bits(value: str, walk: int = 3) -> float:
 
     best[i] is the least cost of the first i characters; every segment that
     ends at i is a step. Words and dates are short and repeats and walks are
-    followed while they last, so the work grows with the length.
+    followed while they last, so the work grows with the length. A brute-force
+    segment costs the alphabet of all classes in it, or, where only its first
+    letter is a capital, that of lower case and a bit; two of them are never side by side.
     """
     n = len(value)
     best = [0.0] + [math.inf] * n
+    brute = [math.inf] * 16   # by classes allowed: least cost of what ends in brute force
+    titled = math.inf         # the same for a capital and lower-case letters
+    clever = 0.0              # least cost of what ends in another segment, or of nothing
     lower = value.lower()
     dates: dict[int, list[int]] = {}
     for start in range(n):
@@ -112,7 +130,10 @@ def guess_bits(value: str, walk: int = 3) -> float:
     pairs: dict[int, int] = {}  # period -> where the repeat with that period began
     for end in range(1, n + 1):
         i = end - 1
-        options = [best[i] + _char_bits(value[i]) + (_SEGMENT_BITS if i == 0 else 0)]
+        of, into = _class(value[i]), clever + _SEGMENT_BITS
+        brute = [min(cost, into) + _ALPHABET[s] if s & of else math.inf for s, cost in enumerate(brute)]
+        titled = (into + _ALPHABET[2] + 1 if of == 4 else titled + _ALPHABET[2] if of == 2 else math.inf)
+        options = [math.inf]
         for start in range(max(0, end - _LONGEST), end - 2):
             if (bits := _word_bits(value[start:end])) is not None:
                 options.append(best[start] + bits + _SEGMENT_BITS)
@@ -128,11 +149,12 @@ def guess_bits(value: str, walk: int = 3) -> float:
                 run_from = pairs.setdefault(period, i - period)
                 times = (end - run_from) / period
                 if times >= 2 and end - run_from >= 3:
-                    unit = sum(map(_char_bits, value[run_from:run_from + period]))
+                    unit = _brute_bits(value[run_from:run_from + period])
                     options.append(best[run_from] + unit + math.log2(times) + _SEGMENT_BITS)
             else:
                 pairs.pop(period, None)
-        best[end] = min(options)
+        clever = min(options)
+        best[end] = min(clever, titled, *brute)
     return best[n]
 
 

@@ -1,7 +1,9 @@
 """Operators on documents: small cases, edge cases and brute-force comparisons."""
 
 import hashlib
+import random
 import re
+import string
 import time
 import zlib
 
@@ -301,6 +303,22 @@ def test_added_spans_need_cost_and_keep_base():
     assert "my passphrase: 'q7#Vz-0pLw!x' ok"[f.value_start:f.end] == "q7#Vz-0pLw!x"
 
 
+def test_threshold_parts_random_from_guessable():
+    """Labelled values of 8 to 11 characters: drawn at random, or as people make them."""
+    rng, alphabet = random.Random(5), string.ascii_letters + string.digits
+    drawn = ["".join(rng.choice(alphabet) for _ in range(8 + i % 4)) for i in range(800)]
+    made = []
+    while len(made) < 800:
+        word, other, n = rng.choice(secrets.WORDS), rng.choice(secrets.WORDS), rng.randrange(9999)
+        made += [v for v in (word.capitalize() + str(1950 + n % 75), f"{word}{n}!", word + other,
+                             word.translate(str.maketrans("aeos", "@30$")) + str(n % 100), "qwertyuiop"[:7] + str(n),
+                             ("".join(rng.choice(alphabet) for _ in range(2)) * 5)[:9]) if 8 <= len(v) <= 11]
+    made += ["complete", "Complete", "PASSWORD"]
+    flagged = lambda values: sum(len(secrets.find_secrets(f'pwd = "{v}"')) for v in values) / len(values)
+    assert flagged(drawn) > 0.95 and flagged(made) < 0.01
+    assert found_values('password = "kX9mQ2vB"') == ["kX9mQ2vB"]
+
+
 def found_values(text):
     return [text[f.value_start:f.end] for f in secrets.find_secrets(text)]
 
