@@ -32,8 +32,13 @@ _KEY = (r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|priva
         r"""|credentials?|bearer|auth(?:orization)?)""")
 _ASSIGNED = _KEY + r"""["']?[\x20\t]*[:=]"""
 #: The wider context: what a person or a config file writes before a credential. The value
-#: follows; where another key does, the value is that key's.
-CONTEXT = re.compile(_ASSIGNED + r"""[\x20\t]*+(?!["']?""" + _ASSIGNED + r""")(["']?+)""", re.IGNORECASE | re.ASCII)
+#: follows, after a scheme word (`Authorization: Bearer`) if there is one; `bearer` needs no
+#: sign before it. Where another key follows, the value is that key's.
+CONTEXT = re.compile(
+    "(?:" + _ASSIGNED + r"""[\x20\t]*+(?P<early>["']?+)(?:(?:bearer|basic|token|apikey)[\x20\t]++)?+"""
+    r"""|(?P<bare>\bbearer)[\x20\t]++)(?!["']?""" + _ASSIGNED + r""")(?P<late>["']?+)""", re.IGNORECASE | re.ASCII)
+#: What follows a bare `bearer` in prose: a word, no token.
+PLAIN_WORD = re.compile(r"[A-Z]?[a-z]+(?:[-/'][A-Za-z]?[a-z]+)*[.!?:]*", re.ASCII)
 #: What closes a quoted value, or ends its line.
 CLOSING = re.compile(r"""(?<!\\)(?:\\\\)*(?:(["'])(?![A-Za-z0-9])|[\r\n])""")
 #: A value without quotes ends before a blank, the next pair of a list, or a quote that ends something.
@@ -171,7 +176,7 @@ def _guesses(text: str, min_bits: float) -> list[Finding]:
     the search goes on."""
     found, closings, at = [], None, 0
     while m := CONTEXT.search(text, at):
-        start, quote, end = m.end(), m[1], -1
+        start, quote, end = m.end(), m["late"] or m["early"], -1
         if quote:
             if closings is None:  # all of them, once: a look-ahead per value could be quadratic
                 closings = {q: [(c.end() - bool(c[1]), bool(c[1])) for c in CLOSING.finditer(text) if c[1] in (q, None)]
@@ -183,6 +188,8 @@ def _guesses(text: str, min_bits: float) -> list[Finding]:
             run = UNQUOTED.match(text, start)
             end = start + len(run[0].rstrip("\"'`,;)]}>"))
         at = max(end, m.end())
+        if m["bare"] and not quote and PLAIN_WORD.fullmatch(text, start, end):
+            continue
         if end - start >= 8 and (bits := guess_bits(text[start:end])) >= min_bits:
             found.append(Finding("guess", m.start(), end, start, bits))
     return found

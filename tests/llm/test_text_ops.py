@@ -337,6 +337,17 @@ def test_values_end_where_they_end():
     assert found_values("pwd='Tr9$kLm!xQ2 \nit's") == ["Tr9$kLm!xQ2"]  # never closed in its line
 
 
+def test_scheme_words_and_quoted_blanks():
+    token, basic = "qX7vTz0pLwRk3mNb", "dXNlcjpwYVNzdzByZDk5IQ=="
+    for text in (f"Authorization: Bearer {token}", f"curl -H 'authorization: bearer {token}' x", f"Bearer {token}, ok",
+                 f'{{"Authorization":"Bearer {token}","a":"b"}}', f"auth = Token '{token}'", f"bearer: {token}"):
+        assert found_values(text) == [token], text
+    assert found_values(f"Authorization: Basic {basic}\nHost: a") == [basic]
+    assert found_values('pwd: "correct horse battery staple", "b"') == ["correct horse battery staple"]
+    assert found_values("the bearer certificates, a standard-bearer understands. Bearer Everything!") == []
+    assert secrets.redact_text(f"Authorization: Bearer {token}\n") == "Authorization: Bearer [SECRET]\n"
+
+
 def test_redaction_covers_the_union():
     assert secrets.redact_text("a password=abcdEFGH1234!@#$%xyzQ9 b") == "a password=[SECRET] b"
     kinds = [f.kind for f in secrets.find_secrets("password=abcdEFGH1234!@#$%xyzQ9")]
@@ -344,7 +355,8 @@ def test_redaction_covers_the_union():
 
 
 def test_many_contexts_take_linear_time():
-    for text in ("pwd=" * 100_000, "pwd:'a " * 100_000, "pwd=a," * 100_000, 'pwd:"' * 100_000, "pwd=q7#Vz-0pLw!x;" * 2000):
+    for text in ("pwd=" * 100_000, "pwd:'a " * 100_000, "pwd=a," * 100_000, 'pwd:"' * 100_000, "pwd=q7#Vz-0pLw!x;" * 2000, "bearer " * 100_000,
+                 "auth: " + "token " * 100_000, "auth: bearer '" * 50_000):
         start = time.process_time()
         secrets.find_secrets(text)
         assert time.process_time() - start < 60
