@@ -66,11 +66,12 @@ def sample_features(docs: DataFrame, labels: DataFrame, learnable, max_positive:
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     prior = judged.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
     toxic = _bounded(judged.where("toxic > 0").select("doc_id"), max_positive)
-    plain = _bounded(docs.select("doc_id").where("doc_id is not null").where(learnable(F.col("doc_id"))),
-                     max_unlabelled).distinct()
+    plain = _bounded(docs.select("doc_id").where("doc_id is not null").where(learnable(F.col("doc_id"))).distinct(),
+                     max_unlabelled)
     wanted = toxic.withColumn("positive", F.lit(True)).unionByName(plain.withColumn("positive", F.lit(False)))
-    # bounded by the two limits, whatever the tables' size
-    texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
+    # bounded by the two limits, whatever the tables' size; a repeated id gives one row, of the least text hash
+    texts = (docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "positive")
+             .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
 
     def run(batches):
         for b in row_slices(batches, "text"):

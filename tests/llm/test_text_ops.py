@@ -437,6 +437,17 @@ def test_toxicity_learns_and_scores_edges(spark, odd, none):
     assert {round(r["score"], 9) for r in toxicity.score_toxicity(odd, blank).collect()} == {0.1}
 
 
+def test_toxicity_sample_is_bounded_with_repeated_ids(spark):
+    rows = [(7, f"copy {i}") for i in range(500)] + [(100 + i, f"text {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(7, 1), (101, 1)], "doc_id bigint, toxic int")
+    sample, _ = toxicity.sample_features(docs, labels, lambda c: c.isNotNull(), max_unlabelled=61)
+    got = sorted((r["positive"], r["doc_id"]) for r in sample.collect())
+    assert got == [(False, 7)] + [(False, 100 + i) for i in range(60)] + [(True, 7), (True, 101)]
+    again, _ = toxicity.sample_features(docs.repartition(3), labels, lambda c: c.isNotNull(), max_unlabelled=61)
+    assert sorted(map(str, again.collect())) == sorted(map(str, sample.collect()))
+
+
 def test_toxicity_risk_is_not_negative_on_the_positives():
     import numpy as np
     rng = np.random.default_rng(0)
