@@ -21,7 +21,7 @@ from cohortlab.operators.impute import apply_medians, fit_medians
 from cohortlab.operators.median import exact_medians
 from cohortlab.operators.missing import missing_counts
 from cohortlab.operators.model import (LinearModel, accuracy_metrics, cv_grid_metrics, fit_cv,
-                                       fold_column, hash_holdout, holdout_metrics, linear_model,
+                                       fold_column, hash_holdout, holdout_metrics, linear_model, lr_coefficients,
                                        optimality, pipeline, random_holdout, score, with_linear_score)
 from cohortlab.operators.profile import describe, head_rows, profile, profile_text, schema_rows
 from cohortlab.plans.prepare import prepare
@@ -269,7 +269,7 @@ def q_cv_grid_accuracy_in_range(spark, d):
 def q_holdout_confusion_adds_up(spark, d):
     """Hold-out metrics on the hash split: the part's size, positives and negatives
     (so every row was scored once), and accuracy = (tp + tn) / n."""
-    m, _ = holdout_metrics(prepared_train(spark, d), split="hash", reg_params=(0.01,), elastic_net_params=(0.0,))
+    m, _ = holdout_metrics(prepared_train(spark, d), split="hash")
     return m.select("n", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("tn") + F.col("fp")).alias("negatives"),
                     (F.abs(F.col("accuracy") - (F.col("tp") + F.col("tn")) / F.col("n")) < 1e-12).alias("accuracy_fits"))
 
@@ -333,3 +333,37 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scored_rows_agree": q_scored_rows_agree,
     })
     return q
+
+
+# ---------------------------------------------- fits as such, beside their checks ---
+def q_random_split_sizes(spark, d):
+    return _union_sizes(random_holdout(prepared_train(spark, d)), ("train", "holdout"))
+
+
+def q_lr_coefficients(spark, d):
+    return lr_coefficients(spark, fit_cv(prepared_train(spark, d)))
+
+
+def q_cv_grid_metrics(spark, d):
+    return cv_grid_metrics(spark, fit_cv(prepared_train(spark, d)))
+
+
+def q_holdout_metrics(spark, d):
+    return holdout_metrics(prepared_train(spark, d))[0]
+
+
+def q_scored_rows(spark, d):
+    """Scored file through the fitted pipeline (MLlib transform), export columns."""
+    return export_projection(score(fit_cv(prepared_train(spark, d)), prepared_scored(spark, d)))
+
+
+def q_scored_rows_linear(spark, d):
+    """Same rows through the folded linear scorer."""
+    model = linear_model(fit_cv(prepared_train(spark, d)))
+    return export_projection(with_linear_score(prepared_scored(spark, d), model))
+
+
+def unchecked() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Whole queries whose rows no SQL can state."""
+    return {f.__name__[2:]: f for f in (q_random_split_sizes, q_lr_coefficients, q_cv_grid_metrics, q_holdout_metrics,
+                                        q_scored_rows, q_scored_rows_linear)}

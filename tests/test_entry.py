@@ -48,3 +48,15 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert df.columns == ["age", "prediction_1", "prediction_0", "Total"]
     assert len(rows) > 0 and [r.age for r in rows] == sorted(r.age for r in rows)
+
+
+def test_the_fits_are_queries_too(spark, monkeypatch):
+    q = E.queries()
+    assert q["cv_grid_metrics"](spark, SF_SMALL).count() == 6
+    assert q["scored_rows"](spark, SF_SMALL).count() == q["scored_rows_linear"](spark, SF_SMALL).count() > 1
+    assert q["lr_coefficients"](spark, SF_SMALL).count() > 1 and q["random_split_sizes"](spark, SF_SMALL).count() == 2
+    from cohortlab import queries
+    asked, whole = [], queries.holdout_metrics
+    monkeypatch.setattr(queries, "holdout_metrics", lambda *a, **k: asked.append(k) or whole(*a, **k))
+    assert q["holdout_metrics"](spark, SF_SMALL).count() == q["holdout_confusion_adds_up"](spark, SF_SMALL).count() == 1
+    assert not any("params" in name for k in asked for name in k)  # the default grid
