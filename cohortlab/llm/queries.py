@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortlab.llm import archive, chat, decontam, langid, mixing, rabitq, secrets, simhash, toxicity, urlfilter
+from cohortlab.llm import archive, audit, chat, decontam, langid, mixing, quality, rabitq, secrets, simhash, toxicity, urlfilter
 from cohortlab.llm.ship import ship_package
 from cohortlab.session import ensure_checkpoint_dir, scratch_path
 
@@ -99,6 +99,18 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), width=3, max_distance=2)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_table(spark, sf_dir, "documents"))
+    base = quality.base_rules()
+    base_failed = base["few_words"] | base["repeated_words"]
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         base_failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -107,7 +119,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_language_id, op2_chat_format, op3_secret_scan, op4_decontaminate,
                                     op5_url_filter, op6_mix_sources, op7_vector_search, op8_warc, op9_toxicity,
-                                    op10_simhash_dedup, pipeline)}
+                                    op10_simhash_dedup, op11_filter_audit, op13_quality_rules, pipeline)}
 
 
 _ESC = r"replace(replace(replace({0}, '\', '\b'), '###', '\h'), '</turn>', '\t')"
@@ -188,7 +200,69 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f"""
 
 
+AUDIT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
+l AS (SELECT doc_id, bool_or(coalesce(quality, 0) = 1) AS good, bool_or(coalesce(toxic, 0) = 1) AS toxic
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+         regexp_matches(text, '[#$%&*|]'),
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails
+      FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS before
+      FROM o, unnest(range(1, 6)) AS u(step)),
+y AS (SELECT part, filter_order, step, letter, n, good, toxic,
+        fails[ascii(letter) - 64] AS failing,
+        len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda k: fails[ascii(k) - 64])) AS n_failing,
+        len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda k: fails[ascii(k) - 64] AND contains(before, k))) > 0 AS gone
+      FROM c, s),
+z AS (SELECT part, filter_order, step, letter,
+        coalesce(sum(n) FILTER (NOT failing AND NOT gone), 0) AS kept,
+        coalesce(sum(n) FILTER (failing AND NOT gone), 0) AS removed,
+        coalesce(sum(n) FILTER (failing AND gone), 0) AS redundant,
+        coalesce(sum(n) FILTER (failing AND n_failing = 1), 0) AS unique_fails,
+        coalesce(sum(n) FILTER (failing AND NOT gone AND good), 0) AS good_lost,
+        coalesce(sum(n) FILTER (failing AND NOT gone AND toxic), 0) AS toxic_lost
+      FROM y GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM z"""
+
+
+QUALITY_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT r, p, array_to_string(words[p:p + 7], ' ') AS g FROM w, unnest(range(1, len(words) - 6)) AS u(p)),
+t AS (SELECT r, p, count(*) OVER (PARTITION BY r, g) AS times FROM g),
+c AS (SELECT r, count(DISTINCT q) AS n FROM t, unnest(range(p, p + 8)) AS u(q) WHERE times > 1 GROUP BY r),
+m AS (SELECT doc_id, text, lines, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words FROM w LEFT JOIN c USING (r)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines
+    OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+    OR 100 * length(regexp_replace(text, '[^0-9[:punct:]]+', '', 'g')) > 50 * word_chars
+    OR 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 40 * word_chars
+    OR 100 * len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•][\x20\x09-\x0D]'))) > 90 * n_lines
+    OR 100 * len(list_filter(lines, lambda x: regexp_matches(x, '([.][.][.]|…)[\x20\x09-\x0D]*$'))) > 30 * n_lines
+    OR contains(lower(text), 'lorem ipsum')) AS kept
+FROM b"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express; the others are tested against brute force."""
     return {"op2_chat_format": CHAT_SQL, "op4_decontaminate": DECONTAM_SQL, "op6_mix_sources": MIX_SQL,
-            "op7_vector_search": VECTOR_SQL, "op8_warc": WARC_SQL}
+            "op7_vector_search": VECTOR_SQL, "op8_warc": WARC_SQL, "op11_filter_audit": AUDIT_SQL,
+            "op13_quality_rules": QUALITY_SQL}
