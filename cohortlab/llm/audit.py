@@ -30,6 +30,7 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else MBs are set aside per state partition
 }
 FIRST, LATER, VOID = 0, 1, 2
 _CHANGE = "part string, mask int, good boolean, toxic boolean, n bigint"
