@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and of the pipeline, and their SQL."""
+"""The registered queries of the thirteen operators and of the pipeline, and their SQL."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortlab.llm import archive, audit, chat, decontam, langid, mixing, quality, rabitq, secrets, simhash, toxicity, urlfilter
+from cohortlab.llm import (archive, audit, chat, decontam, langid, mixing, quality, rabitq, secrets, simhash, toxicity,
+                           urlfilter, whitening)
 from cohortlab.llm.ship import ship_package
 from cohortlab.session import ensure_checkpoint_dir, scratch_path
 
@@ -103,6 +104,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_filters(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents"))
     base = quality.base_rules()
@@ -119,7 +124,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_language_id, op2_chat_format, op3_secret_scan, op4_decontaminate,
                                     op5_url_filter, op6_mix_sources, op7_vector_search, op8_warc, op9_toxicity,
-                                    op10_simhash_dedup, op11_filter_audit, op13_quality_rules, pipeline)}
+                                    op10_simhash_dedup, op11_filter_audit, op12_whitening, op13_quality_rules, pipeline)}
 
 
 _ESC = r"replace(replace(replace({0}, '\', '\b'), '###', '\h'), '</turn>', '\t')"
