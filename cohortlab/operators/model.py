@@ -12,11 +12,13 @@ inside whole-stage codegen (no vector columns in the scoring path).
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import operator
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 from pyspark import StorageLevel
@@ -90,7 +92,7 @@ def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
            num_folds: int = NUM_FOLDS, parallelism: int = 6, max_iter: int = MAX_ITER,
            reg_params: Sequence[float] = REG_PARAMS,
            elastic_net_params: Sequence[float] = ELASTIC_NET_PARAMS,
-           id_col: str = ID) -> CrossValidatorModel:
+           id_col: str = ID, sub_models: bool = False) -> CrossValidatorModel:
     """5-fold CV over the 6-point grid, best mean accuracy, refit on all rows.
 
     The rows are assembled to (label, features, fold) and persisted (memory,
@@ -100,6 +102,10 @@ def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
     current fold's. ``parallelism`` grid points fit at once; each optimiser iteration
     is a short job, so concurrent fits keep the executors busy. Every running fit
     persists its own blocks (spilling to disk): lower it when memory is short.
+    A fold's fitted models are measured together, in one aggregate over its rows.
+
+    The model has ``foldMetrics``: (rows of the fold, accuracy per grid point) by fold;
+    with ``sub_models`` also every fold's fitted pipelines, as ``subModels``.
     """
     pipe, lr = pipeline(features, label, max_iter)
     grid = param_grid(lr, reg_params, elastic_net_params)
@@ -108,30 +114,68 @@ def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
     level = StorageLevel.MEMORY_AND_DISK
     rows = with_folds(df.select(id_col, *features, label), id_col, num_folds)
     data = assembler(features).transform(rows).select(label, "features", FOLD).persist(level)
-    metrics = []
+    metrics, fitted = [], []
     try:
         for k in range(num_folds):
             train, valid = data.where(F.col(FOLD) != k), data.where(F.col(FOLD) == k)
             scaled = scaler().fit(train)
-            train, valid = (scaled.transform(p).select(label, "scaledFeatures").persist(level)
-                            for p in (train, valid))
-
-            def accuracy(params, train=train, valid=valid):
-                return accuracy_evaluator(label).evaluate(lr.fit(train, params).transform(valid))
-
+            train = scaled.transform(train).select(label, "scaledFeatures").persist(level)
             try:
                 with ThreadPoolExecutor(max_workers=min(parallelism, len(grid))) as pool:
-                    metrics.append(list(pool.map(accuracy, grid)))
+                    models = list(pool.map(lambda params, train=train: lr.fit(train, params), grid))
             finally:
                 train.unpersist()
-                valid.unpersist()
-        mean, std = np.mean(metrics, axis=0), np.std(metrics, axis=0)
+            metrics.append(accuracies(scaled.transform(valid), models, label))
+            if not metrics[-1][0]:
+                raise ValueError(f"fold {k} has no rows to measure on")
+            if sub_models:
+                fitted.append([PipelineModel([assembler(features), scaled, m]) for m in models])
+        folds = [m for _, m in metrics]
+        mean, std = np.mean(folds, axis=0), np.std(folds, axis=0)
         scaled = scaler().fit(data)
         best = lr.fit(scaled.transform(data), grid[int(np.argmax(mean))])
     finally:
         data.unpersist()
     model = PipelineModel([assembler(features), scaled, best])
-    return cv._copyValues(CrossValidatorModel(model, mean.tolist(), stdMetrics=std.tolist()))
+    out = cv._copyValues(CrossValidatorModel(model, mean.tolist(), fitted or None, std.tolist()))
+    out.foldMetrics = metrics
+    return out
+
+
+def accuracies(scaled: DataFrame, models: Sequence, label: str = LABEL) -> tuple[int, list[float]]:
+    """(rows, accuracy of each fitted logistic regression) on standardised rows, in one scan:
+    the models become linear forms of the same vector, and one aggregate counts where each is right.
+
+    Class 1 is a form above the log-odds of the model's threshold, as in MLlib. Without rows: 0 and NaNs.
+    """
+    rows = scaled.select(F.col(label).cast("double").alias("y"), vector_to_array("scaledFeatures").alias("z"))
+
+    def right(m) -> Column:
+        terms = [F.lit(float(w)) * F.col("z")[j] for j, w in enumerate(m.coefficients.toArray()) if w != 0.0]
+        margin = functools.reduce(operator.add, terms, F.lit(float(m.intercept)))
+        cut = math.log(m.getThreshold() / (1.0 - m.getThreshold()))
+        return F.when(margin > F.lit(cut), 1.0).otherwise(0.0) == F.col("y")
+
+    row = rows.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(right(m)).alias(f"c{i}") for i, m in enumerate(models)]).first()
+    n = row["n"]
+    return n, [row[f"c{i}"] / n if n else math.nan for i in range(len(models))]
+
+
+def cv_fold_metrics(spark: SparkSession, cv_model: CrossValidatorModel) -> DataFrame:
+    """``fold, regParam, elasticNetParam, n, accuracy``: what each fold's rows say of each grid point."""
+    rows = []
+    for k, (n, accuracy) in enumerate(cv_model.foldMetrics):
+        for pm, value in zip(cv_model.getEstimatorParamMaps(), accuracy):
+            named = {p.name: v for p, v in pm.items()}
+            rows.append((k, float(named["regParam"]), float(named["elasticNetParam"]), n, float(value)))
+    return spark.createDataFrame(
+        rows, "fold int, regParam double, elasticNetParam double, n long, accuracy double")
+
+
+def best_params(cv_model: CrossValidatorModel) -> tuple[float, float]:
+    """(regParam, elasticNetParam) of the grid point that the refit on all rows uses."""
+    named = {p.name: v for p, v in cv_model.getEstimatorParamMaps()[int(np.argmax(cv_model.avgMetrics))].items()}
+    return float(named["regParam"]), float(named["elasticNetParam"])
 
 
 def score(model, df: DataFrame) -> DataFrame:
@@ -265,9 +309,53 @@ def hash_holdout(df: DataFrame, id_col: str = ID) -> tuple[DataFrame, DataFrame]
     return df.filter(flag), df.filter(~flag)
 
 
+def split_key(df: DataFrame, seed: int = HOLDOUT_SEED, id_col: str = ID) -> Column:
+    """A row's place in the seeded order, as 64 hex digits: 32 from its key, then 32 from the
+    whole row, which part rows of one key (or of none)."""
+    by_id = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    row = F.to_json(F.struct(*[F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(df.columns)]))
+    return F.concat(by_id, F.md5(F.coalesce(row, F.lit(""))))
+
+
+def exact_holdout(df: DataFrame, fraction: str = "0.7", seed: int = HOLDOUT_SEED,
+                  id_col: str = ID) -> tuple[DataFrame, DataFrame]:
+    """A split that reproduces: of n rows exactly ``floor(fraction * n)``, those first in a
+    seeded order of the keys, and the rest. The same rows on any layout.
+
+    Nothing is sorted: rows are counted by the first three digits of their place
+    (4,096 counts), then by the next three inside the one prefix that the cut
+    falls into, until it falls between two. Rows of one key are ordered by a hash of the whole
+    row; of rows equal in every column, which no order can tell apart, as many as are needed are
+    taken by count. A null key is a key like any other.
+    """
+    step, key = 3, split_key(df, seed, id_col)
+    total = df.count()
+    room, prefix = int(Fraction(fraction) * total), ""
+    if room >= total:
+        return df, df.limit(0)
+    while True:
+        part = key.substr(len(prefix) + 1, step)
+        inside = df.where(key.startswith(prefix)) if prefix else df
+        counts = sorted((r["part"], r["n"]) for r in inside.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+        upto = list(itertools.accumulate(n for _, n in counts))
+        at = next(i for i, u in enumerate(upto) if u > room)   # the first part that is not taken whole
+        room -= upto[at] - counts[at][1]
+        prefix += counts[at][0]
+        if not room:
+            return df.where(key < prefix), df.where(key >= prefix)
+        if len(prefix) == 64:   # equal rows only
+            break
+    equal = (df.where(key == prefix).groupBy(*[F.col(f"`{c}`") for c in df.columns])
+             .agg(F.count(F.lit(1)).alias("__n")))
+    first, rest = (equal.select(*[F.col(f"`{c}`") for c in df.columns], F.explode(F.sequence(F.lit(1), times)).alias("__i"))
+                   .drop("__i") for times in (F.lit(room), F.col("__n") - room))
+    return df.where(key < prefix).unionByName(first), df.where(key > prefix).unionByName(rest)
+
+
 def holdout_metrics(df: DataFrame, split: str = "hash", parallelism: int = 6,
                     **fit_args) -> tuple[DataFrame, CrossValidatorModel]:
-    """Split, cross-validate on the larger part, score the hold-out, measure it."""
-    train, test = random_holdout(df) if split == "random" else hash_holdout(df)
+    """Split (``hash``, ``exact`` or ``random``), cross-validate on the larger part, score the
+    hold-out, measure it."""
+    train, test = {"random": random_holdout, "exact": exact_holdout, "hash": hash_holdout}[split](df)
     model = fit_cv(train, parallelism=parallelism, **fit_args)
     return accuracy_metrics(score(model, test)), model

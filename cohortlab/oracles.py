@@ -11,6 +11,8 @@ from cohortlab.schema import EXPLORE_KEYS, EXPORT_COLUMNS, FEATURES, ID, LABEL
 from cohortlab.sources.fixtures import PATIENT_EXPRESSIONS, TRAIN_EXPR, patients_sql
 
 COLUMNS = [n for n, _ in PATIENT_EXPRESSIONS]
+GRID = "(VALUES (0.1), (0.01)) a(r), (VALUES (0.0), (0.5), (1.0)) b(e)"
+DRIFT_TYPES = "id bigint, value double, gap int, sex string"
 SCORED_COLUMNS = [c for c in COLUMNS if c != LABEL]
 STRING_RAW = {"sex", "is_smoking"}
 INT_COLUMNS = {"age", "prevalentStroke", "prevalentHyp", "diabetes", LABEL, "sex", "is_smoking"}
@@ -83,6 +85,12 @@ def _profile(src: str, cols: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _spread(c: str) -> str:
+    if c in STRING_RAW:
+        return "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev"
+    return f"round(avg(CAST({q(c)} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({q(c)} AS DOUBLE)), 6) AS stddev"
+
+
 def _category(k: str, decode_smoking: bool) -> str:
     if k == "sex":
         return "CASE WHEN sex = 1 THEN 'M' ELSE 'F' END"
@@ -147,6 +155,11 @@ def _raw_cast(c: str) -> str:
     return f"CAST({q(c)} AS INTEGER) AS {q(c)}" if c == ID else q(c)
 
 
+def _export_types() -> str:
+    """The export's columns as inference reads them back: an int prints as int, a double with a point."""
+    return ", ".join(f"{c} {'int' if c == ID else 'double' if c == 'prediction' else _type(c)}" for c in EXPORT_COLUMNS)
+
+
 def oracle_sql() -> dict[str, str]:
     numeric_raw = [c for c in COLUMNS if c not in STRING_RAW]
     feats = ", ".join(q(f) for f in FEATURES)
@@ -169,8 +182,8 @@ def oracle_sql() -> dict[str, str]:
             "CAST(sum(id) AS BIGINT) AS id_sum FROM rule_scored"),
         "schema_rows": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{_type(c)}' AS type" for c in COLUMNS),
         "describe_text": with_base(" UNION ALL ".join(
-            f"SELECT '{c}' AS \"column\", CAST(count({q(c)}) AS VARCHAR) AS count, CAST(min({q(c)}) AS VARCHAR) AS min, "
-            f"CAST(max({q(c)}) AS VARCHAR) AS max FROM train" for c in COLUMNS)),
+            f"SELECT '{c}' AS \"column\", CAST(count({q(c)}) AS VARCHAR) AS count, {_spread(c)}, "
+            f"CAST(min({q(c)}) AS VARCHAR) AS min, CAST(max({q(c)}) AS VARCHAR) AS max FROM train" for c in COLUMNS)),
         "prepare_rows": with_base("SELECT * FROM prep_train"),
         "profile_raw": with_base(_profile("train", numeric_raw)),
         "profile_raw_text": with_base(" UNION ALL ".join(
@@ -222,11 +235,27 @@ def oracle_sql() -> dict[str, str]:
         **{f"lr_optimal_{name}": " UNION ALL ".join(f"SELECT '{f}' AS term, true AS optimal"
                                                     for f in (*FEATURES, "intercept")) for name in ("l2", "l1", "elastic")},
         "cv_grid_accuracy_in_range": "SELECT CAST(r AS DOUBLE) AS \"regParam\", CAST(e AS DOUBLE) AS \"elasticNetParam\", "
-                                     "true AS in_range FROM (VALUES (0.1), (0.01)) a(r), (VALUES (0.0), (0.5), (1.0)) b(e)",
+                                     f"true AS in_range FROM {GRID}",
         "holdout_confusion_adds_up": with_base(
             f"SELECT count(*) AS n, count(*) FILTER (WHERE \"TenYearCHD\" = 1) AS positives, "
-            f"count(*) FILTER (WHERE \"TenYearCHD\" = 0) AS negatives, true AS accuracy_fits FROM train "
+            f"count(*) FILTER (WHERE \"TenYearCHD\" = 0) AS negatives, true AS accuracy_fits, true AS beats_majority FROM train "
             f"WHERE NOT ({_hash('id', 49979687, 1009)} < 706)"),
+        "cv_fold_accuracy": with_base(
+            "SELECT f.fold, CAST(r AS DOUBLE) AS \"regParam\", CAST(e AS DOUBLE) AS \"elasticNetParam\", f.n, true AS recounted "
+            "FROM (SELECT CAST(((id % 1013) * 104729) % 1013 % 5 AS INTEGER) AS fold, count(*) AS n FROM train GROUP BY 1) f, "
+            + GRID),
+        "lr_refit_optimal": " UNION ALL ".join(f"SELECT '{f}' AS term, true AS optimal" for f in (*FEATURES, "intercept")),
+        "exact_split": with_base(
+            "SELECT id, CASE WHEN row_number() OVER (ORDER BY md5('520:' || CAST(id AS VARCHAR))) <= (7 * count(*) OVER ()) // 10 "
+            "THEN 'train' ELSE 'holdout' END AS split FROM train"),
+        "csv_joint_schema": with_base(
+            f"SELECT id, CAST(CAST(\"totChol\" AS INTEGER) AS DOUBLE) AS value, CAST(NULL AS INTEGER) AS gap, sex, 'train' AS file, "
+            f"'{DRIFT_TYPES}' AS types FROM train UNION ALL "
+            f"SELECT id + 5000000000, \"totChol\" + 0.25, CAST(\"sysBP\" AS INTEGER), CAST(age AS VARCHAR), 'scored', '{DRIFT_TYPES}' FROM scored"),
+        "job_export": with_base(
+            f"SELECT count(*) AS n_rows, '{_export_types()}' AS types, count(*) AS histogram_total, "
+            "CAST(29 AS INTEGER) AS report_tables, CAST(" + " + ".join(f"count(*) - count({q(c)})" for c in SCORED_COLUMNS)
+            + " AS BIGINT) AS n_missing_before FROM enc_scored"),
         "scored_rows_agree": with_base(
             "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_disagree, true AS both_classes FROM scored"),
         "feature_array": with_base(" UNION ALL ".join(

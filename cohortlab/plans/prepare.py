@@ -11,7 +11,7 @@ caller can run or skip.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -19,7 +19,8 @@ from cohortlab.operators.encode import encode_categoricals
 from cohortlab.operators.impute import apply_medians, fit_medians
 from cohortlab.operators.median import check_numeric, column_stats, exact_medians
 from cohortlab.operators.missing import missing_counts
-from cohortlab.operators.profile import profile
+from cohortlab.operators.observe import Watch
+from cohortlab.operators.profile import profile, profile_text
 from cohortlab.schema import FEATURES
 
 
@@ -30,6 +31,7 @@ class Prepared:
     frame: DataFrame                 # encoded and imputed
     missing_before: DataFrame        # (column, n_missing) of the encoded frame
     medians: dict[str, float]        # of the columns that were filled
+    watches: tuple[Watch, Watch, Watch] | None = None   # of raw, encoded and frame, see observed()
 
     def medians_for_other(self, cols: Iterable[str] = FEATURES) -> dict[str, float]:
         """A median of every model column, for filling another file (or a stream):
@@ -37,18 +39,36 @@ class Prepared:
         more = [c for c in cols if c in self.encoded.columns and c not in self.medians]
         return self.medians | (fit_medians(self.encoded, more) if more else {})
 
+    def observed(self) -> "Prepared":
+        """The same step whose ``frame`` gathers the report's counts while it is computed.
+
+        After one write of the frame (or of what is made of it row by row) the reports
+        below read them; before that they would wait. See ``Watch``.
+        """
+        raw = Watch(self.raw)
+        encoded = Watch(encode_categoricals(raw.frame))
+        frame = Watch(apply_medians(encoded.frame, self.medians))
+        return replace(self, frame=frame.frame, watches=(raw, encoded, frame))
+
+    def missing(self) -> DataFrame:
+        """Missing counts of the encoded frame, before filling."""
+        return self.watches[1].missing() if self.watches else self.missing_before
+
     def missing_after(self) -> DataFrame:
-        return missing_counts(self.frame)
+        return self.watches[2].missing() if self.watches else missing_counts(self.frame)
 
     def raw_missing(self) -> DataFrame:
         """Missing counts before encoding (encoding turns a missing sex into 0)."""
-        return missing_counts(self.raw)
+        return self.watches[0].missing() if self.watches else missing_counts(self.raw)
 
     def profile_before(self) -> DataFrame:
-        return profile(self.raw)
+        return self.watches[0].profile() if self.watches else profile(self.raw)
+
+    def profile_text(self) -> DataFrame:
+        return self.watches[0].profile_text() if self.watches else profile_text(self.raw)
 
     def profile_after(self) -> DataFrame:
-        return profile(self.frame)
+        return self.watches[2].profile() if self.watches else profile(self.frame)
 
 
 def prepare(df: DataFrame, medians: dict[str, float] | None = None,

@@ -20,14 +20,15 @@ from cohortlab.operators.features import feature_long, standard_scale_long
 from cohortlab.operators.impute import apply_medians, fit_medians
 from cohortlab.operators.median import exact_medians
 from cohortlab.operators.missing import missing_counts
-from cohortlab.operators.model import (LinearModel, accuracy_metrics, cv_grid_metrics, fit_cv,
-                                       fold_column, hash_holdout, holdout_metrics, linear_model, lr_coefficients,
-                                       optimality, pipeline, random_holdout, score, with_linear_score)
+from cohortlab.operators.model import (LinearModel, accuracy_metrics, best_params, cv_fold_metrics, cv_grid_metrics,
+                                       exact_holdout, fit_cv, fold_column, hash_holdout, holdout_metrics, linear_model, lr_coefficients,
+                                       optimality, pipeline, random_holdout, score, with_folds, with_linear_score)
 from cohortlab.operators.profile import describe, head_rows, profile, profile_text, schema_rows
+from cohortlab.plans.job import run_job
 from cohortlab.plans.prepare import prepare
 from cohortlab.schema import EXPLORE_KEYS, EXPORT_COLUMNS, FEATURES, ID, PREDICTION
 from cohortlab.session import scratch_path
-from cohortlab.sources.files import read_patients
+from cohortlab.sources.files import load_train_test, read_patients
 from cohortlab.sources.fixtures import patients, scored_patients, train_flag, train_patients
 from cohortlab.sources.sink import export_projection, write_predictions
 
@@ -87,6 +88,41 @@ def q_csv_sink_single_file(spark, d):
         F.sum(F.col(PREDICTION).cast("long")).alias("n_positive"), F.sum(F.col(ID).cast("long")).alias("id_sum"))
 
 
+def q_csv_joint_schema(spark, d):
+    """Two files whose inferred types differ (int and bigint ids, int and double values, a column that
+    is empty in one), read with one type per column: every row of both, and the types."""
+    paths = [scratch_path(spark, f"drift-{k}") for k in ("train", "scored")]
+    whole, other = train_patients(spark, d), scored_patients(spark, d)
+    whole.select(ID, F.col("totChol").cast("int").alias("value"), F.lit(None).cast("string").alias("gap"),
+                 "sex").write.option("header", True).csv(paths[0])
+    other.select((F.col(ID).cast("long") + F.lit(5_000_000_000)).alias(ID), (F.col("totChol") + 0.25).alias("value"),
+                 F.col("sysBP").cast("int").alias("gap"), F.col("age").alias("sex")).write.option("header", True).csv(paths[1])
+    frames = load_train_test(spark, *paths, joint=True)
+    types = [", ".join(f"{n} {t}" for n, t in df.dtypes) for df in frames]
+    tagged = [df.withColumns({"file": F.lit(name), "types": F.lit(t)})
+              for df, name, t in zip(frames, ("train", "scored"), types)]
+    return tagged[0].unionByName(tagged[1])
+
+
+def q_job_export(spark, d):
+    """The whole job on written files: rows of the export, its columns and types as read back,
+    rows in the prediction histogram, tables of the report, and the missing counts that were
+    gathered while the scored rows were written."""
+    paths = [scratch_path(spark, f"job-{k}") for k in ("train", "scored", "out")]
+    train_patients(spark, d).write.option("header", True).csv(paths[0])
+    scored_patients(spark, d).write.option("header", True).csv(paths[1])
+    job = run_job(spark, *paths)
+    try:
+        back = read_patients(spark, paths[2])
+        types = ", ".join(f"{n} {t}" for n, t in back.dtypes)
+        missing = job.test.missing().agg(F.sum("n_missing")).first()[0]
+        total = job.prediction_counts().agg(F.sum("prediction_count")).first()[0]
+        return back.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(types).alias("types"), F.lit(total).cast("long").alias("histogram_total"),
+                        F.lit(len(job.report_tables)).alias("report_tables"), F.lit(missing).cast("long").alias("n_missing_before"))
+    finally:
+        job.release()
+
+
 # ---------------------------------------------------------------- prepare ---
 def q_encode_categoricals(spark, d):
     return encode_categoricals(train_patients(spark, d))
@@ -132,11 +168,13 @@ def q_schema_rows(spark, d):
 
 
 def q_describe_text(spark, d):
-    """count, min and max of every raw column, as ``describe`` prints them, by column."""
+    """count, min and max of every raw column, as ``describe`` prints them, by column; mean and
+    stddev read back from their text and rounded."""
     raw = train_patients(spark, d)
-    wide = describe(raw, raw.columns).where("summary in ('count', 'min', 'max')")
+    wide = describe(raw, raw.columns)
     long = wide.unpivot(["summary"], raw.columns, "column", "value")
-    return long.groupBy("column").pivot("summary", ["count", "min", "max"]).agg(F.first("value"))
+    by = long.groupBy("column").pivot("summary", ["count", "mean", "stddev", "min", "max"]).agg(F.first("value"))
+    return by.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in ("mean", "stddev")})
 
 
 def q_prepare_rows(spark, d):
@@ -266,12 +304,50 @@ def q_cv_grid_accuracy_in_range(spark, d):
     return grid.select("regParam", "elasticNetParam", F.col("mean_accuracy").between(0, 1).alias("in_range"))
 
 
+def q_cv_fold_accuracy(spark, d):
+    """Per fold and grid point the fold's rows, and whether the accuracy, which one aggregate counts for
+    all of a fold's models on scaled vectors, equals a recount with that model's weights on the raw columns."""
+    frame = prepared_train(spark, d)
+    model = fit_cv(frame, sub_models=True)
+    rows, again = with_folds(frame), []
+    for k, fitted in enumerate(model.subModels):
+        hits = [F.avg((F.when(linear_model(m).margin() > 0, 1).otherwise(0) == F.col("TenYearCHD")).cast("double"))
+                .alias(f"a{i}") for i, m in enumerate(fitted)]
+        again += [(k, i, v) for i, v in enumerate(rows.where(F.col("fold") == k).agg(*hits).first())]
+    recount = spark.createDataFrame(
+        [(k, *best, v) for (k, i, v) in again for best in [_grid_point(model, i)]],
+        "fold int, regParam double, elasticNetParam double, recount double")
+    return (cv_fold_metrics(spark, model).join(recount, ["fold", "regParam", "elasticNetParam"])
+            .select("fold", "regParam", "elasticNetParam", "n", (F.abs(F.col("accuracy") - F.col("recount")) < 1e-12).alias("recounted")))
+
+
+def _grid_point(model, i: int) -> tuple[float, float]:
+    named = {p.name: v for p, v in model.getEstimatorParamMaps()[i].items()}
+    return float(named["regParam"]), float(named["elasticNetParam"])
+
+
+def q_lr_refit_optimal(spark, d):
+    """The model that cross-validation refits on all rows is optimal for the parameters it chose."""
+    frame = prepared_train(spark, d)
+    model = fit_cv(frame)
+    return optimality(spark, model.bestModel, frame, *best_params(model)).select("term", "optimal")
+
+
+def q_exact_split(spark, d):
+    """Every row's part in the reproducible 70/30 split, on a layout of its own."""
+    parts = exact_holdout(train_patients(spark, d).repartition(7))
+    return parts[0].select(ID, F.lit("train").alias("split")).unionByName(parts[1].select(ID, F.lit("holdout").alias("split")))
+
+
 def q_holdout_confusion_adds_up(spark, d):
     """Hold-out metrics on the hash split: the part's size, positives and negatives
-    (so every row was scored once), and accuracy = (tp + tn) / n."""
+    (so every row was scored once), accuracy = (tp + tn) / n, and that it beats the
+    larger class by a tenth."""
     m, _ = holdout_metrics(prepared_train(spark, d), split="hash")
     return m.select("n", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("tn") + F.col("fp")).alias("negatives"),
-                    (F.abs(F.col("accuracy") - (F.col("tp") + F.col("tn")) / F.col("n")) < 1e-12).alias("accuracy_fits"))
+                    (F.abs(F.col("accuracy") - (F.col("tp") + F.col("tn")) / F.col("n")) < 1e-12).alias("accuracy_fits"),
+                    (F.col("accuracy") >= F.greatest(F.col("tp") + F.col("fn"), F.col("tn") + F.col("fp")) / F.col("n") + 0.1)
+                    .alias("beats_majority"))
 
 
 def q_scored_rows_agree(spark, d):
@@ -292,6 +368,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_scan": q_csv_scan,
         "csv_sink_roundtrip": q_csv_sink_roundtrip,
         "csv_sink_single_file": q_csv_sink_single_file,
+        "csv_joint_schema": q_csv_joint_schema,
         "encode_categoricals": q_encode_categoricals,
         "missing_count": q_missing_count,
         "missing_count_after": q_missing_count_after,
@@ -329,7 +406,11 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lr_optimal_l1": _optimality(0.01, 1.0),
         "lr_optimal_elastic": _optimality(0.1, 0.5),
         "cv_grid_accuracy_in_range": q_cv_grid_accuracy_in_range,
+        "cv_fold_accuracy": q_cv_fold_accuracy,
+        "lr_refit_optimal": q_lr_refit_optimal,
+        "exact_split": q_exact_split,
         "holdout_confusion_adds_up": q_holdout_confusion_adds_up,
+        "job_export": q_job_export,
         "scored_rows_agree": q_scored_rows_agree,
     })
     return q
