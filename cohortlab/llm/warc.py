@@ -65,15 +65,15 @@ def gzip_member(data: bytes, level: int = 6) -> bytes:
     return head + extra + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
 
-def _skip_length(data: memoryview) -> int | None:
-    """The length of the gzip member that begins here, if an `sl` field tells it."""
+def _member_lengths(data: memoryview) -> tuple[int, int] | None:
+    """(compressed, inflated) length of the gzip member that begins here, if an `sl` field tells them."""
     if len(data) < 24 or not data[3] & 4:
         return None
     at, end = 12, 12 + struct.unpack_from("<H", data, 10)[0]
     while at + 4 <= min(end, len(data)):
         size = struct.unpack_from("<H", data, at + 2)[0]
-        if bytes(data[at:at + 2]) == b"sl" and size == 8 and at + 8 <= len(data):
-            return struct.unpack_from("<I", data, at + 4)[0] or None
+        if bytes(data[at:at + 2]) == b"sl" and size == 8 and at + 12 <= len(data):
+            return struct.unpack_from("<II", data, at + 4)
         at += 4 + size
     return None
 
@@ -94,8 +94,8 @@ class _Stream:
         return memoryview(self.buffer)[offset - self.start:]
 
 
-class _Record:
-    """The bytes of one record, inflated as far as they are asked for."""
+class _Member:
+    """The bytes of a gzip member, inflated as far as they are asked for, or those of a plain file."""
 
     def __init__(self, stream: _Stream, offset: int):
         self.stream, self.offset, self.next, self.data = stream, offset, offset, b""
@@ -103,7 +103,7 @@ class _Record:
         self.inflate = zlib.decompressobj(31) if self.zipped else None
 
     def more(self, want: int = 1 << 14) -> bool:
-        """Some more bytes of the record; False at its (or, unzipped, the file's) end."""
+        """Some more bytes; False at the member's or the file's end."""
         if self.zipped and self.inflate.eof:
             return False
         chunk = bytes(self.stream.at(self.next, want)[:want])
@@ -118,6 +118,19 @@ class _Record:
                 self.next -= len(self.inflate.unused_data)
         return True
 
+    def begins(self) -> bool:
+        """Whether a record follows, blank lines aside."""
+        self.data = self.data.lstrip(b"\r\n")
+        while not self.data:
+            if not self.more():
+                return False
+            self.data = self.data.lstrip(b"\r\n")
+        return True
+
+    def place(self) -> int:
+        """Where the bytes at hand are in the file; those of a gzip member are where it begins."""
+        return self.offset if self.zipped else self.next - len(self.data)
+
     def until(self, mark: bytes, start: int = 0) -> int:
         while (at := self.data.find(mark, start)) < 0:
             if not self.more():
@@ -129,16 +142,27 @@ class _Record:
             pass
         return self.data[:end]
 
-    def end(self, body_end: int) -> int:
-        """The offset of the record after this one."""
+    def skip(self, count: int) -> bool:
+        """Leave `count` bytes out; False if there are fewer. A plain file's are not read, nor are
+        a gzip member's that hold nothing else and whose length is known."""
         if not self.zipped:
-            return self.offset + body_end + 4
-        known = _skip_length(self.stream.at(self.offset, 32))
-        if known:
-            return self.offset + known
-        while not self.inflate.eof and self.more(1 << 16):
-            self.data = self.data[-16:]  # nothing of it is needed
-        return self.next
+            beyond = max(0, count - len(self.data))
+            self.data, self.next = self.data[count:], self.next + beyond
+            return self.next <= self.stream.size
+        lengths = _member_lengths(self.stream.at(self.offset, 32))
+        if lengths and lengths[0] and lengths[1] == (count + 4) & 0xFFFFFFFF and not self.inflate.eof:
+            self.data, self.next, self.inflate = b"", self.offset + lengths[0], _Ended
+            return self.next <= self.stream.size
+        while count > len(self.data):
+            count, self.data = count - len(self.data), b""
+            if not self.more(1 << 16):
+                return False
+        self.data = self.data[count:]
+        return True
+
+
+class _Ended:
+    eof, unused_data = True, b""
 
 
 def _headers(block: bytes) -> dict[str, str]:
@@ -154,34 +178,50 @@ def _headers(block: bytes) -> dict[str, str]:
     return found
 
 
-def read_records(stream: _Stream, wants=lambda headers: True, with_payload=lambda headers: True):
+def read_records(stream: _Stream, wants=lambda headers: True, with_payload=lambda headers: True, name: str = "archive"):
     """(offset, headers, HTTP content length, payload) of the records whose headers
     `wants` accepts; the payload is None, and not decoded, where `with_payload` says no.
-    A file that ends inside a record ends the reading before that record."""
+
+    Records follow each other in a plain file, in one gzip member or in a member each; the offset of
+    one inside a member is the member's. What is no record, a file that ends inside one and a damaged
+    member are errors that name the file and the offset: nothing is passed over in silence.
+    """
     offset = 0
     while offset < stream.size:
-        record = _Record(stream, offset)
-        head_end = record.until(b"\r\n\r\n")
-        if head_end < 0 or not record.data.startswith(b"WARC/"):
-            return
-        headers = _headers(record.data[:head_end])
-        body, length = head_end + 4, int(headers.get("content-length") or 0)
-        if wants(headers):
-            http_length, payload = None, None
-            if headers.get("content-type", "").startswith("application/http"):
-                http_end = record.until(b"\r\n\r\n", body)
-                http = _headers(record.data[body:http_end]) if 0 <= http_end < body + length else {}
-                http_length = int(http["content-length"]) if http.get("content-length", "").isdigit() else None
-                start = http_end + 4 if 0 <= http_end < body + length else body
-            else:
-                start = body
-            if with_payload(headers) and headers.get("warc-type") != "revisit":
-                data = record.upto(body + length)
-                if len(data) < body + length:
-                    return
-                payload = data[start:]
-            yield offset, headers, http_length, payload
-        offset = record.end(body + length)
+        member = _Member(stream, offset)
+        try:
+            while member.begins():
+                place = member.place()
+                head_end = member.until(b"\r\n\r\n")
+                if not member.data.startswith(b"WARC/"):
+                    raise ValueError(f"{name}: no WARC record at offset {place}")
+                if head_end < 0:
+                    raise ValueError(f"{name}: the file ends inside the record at offset {place}")
+                headers = _headers(member.data[:head_end])
+                said = headers.get("content-length", "0")
+                if not said.isdigit():
+                    raise ValueError(f"{name}: no content length in the record at offset {place}")
+                body, length = head_end + 4, int(said)
+                found = None
+                if wants(headers):
+                    http_length, payload, start = None, None, body
+                    if headers.get("content-type", "").startswith("application/http"):
+                        http_end = member.until(b"\r\n\r\n", body)
+                        if 0 <= http_end < body + length:
+                            http, start = _headers(member.data[body:http_end]), http_end + 4
+                            http_length = int(http["content-length"]) if http.get("content-length", "").isdigit() else None
+                    if with_payload(headers) and headers.get("warc-type") != "revisit":
+                        payload = member.upto(body + length)[start:]
+                    found = place, headers, http_length, payload
+                if not member.skip(body + length):
+                    raise ValueError(f"{name}: the file ends inside the record at offset {place}")
+                if found:
+                    yield found
+        except zlib.error as e:
+            raise ValueError(f"{name}: damaged gzip member at offset {offset}") from e
+        if member.zipped and not member.inflate.eof:
+            raise ValueError(f"{name}: the file ends inside the gzip member at offset {offset}")
+        offset = member.next
 
 
 @dataclass
@@ -254,7 +294,7 @@ class WarcReader(DataSourceReader):
             stream = _Stream(file, file.size())
             rows, held = [], 0
             for offset, headers, http_length, payload in read_records(
-                    stream, self._wants, lambda h: types is None or h.get("warc-type") in types):
+                    stream, self._wants, lambda h: types is None or h.get("warc-type") in types, path):
                 rows.append([path, offset, *(headers.get(h) for h in _HEADER_OF.values()),
                              int(headers.get("content-length") or 0), list(headers.items()), http_length, payload])
                 held += len(payload or b"") + 1000

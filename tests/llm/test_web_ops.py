@@ -268,8 +268,43 @@ def test_predicates_skip_payloads():
         records = list(warc.read_records(warc._Stream(_Bytes(plain), len(plain))))
         assert [r[3] for r in records] == [body] * 3 + [b"note"]
         assert records[0][2] == len(body)
-    cut = data[:len(data) // 2]
-    assert len(list(warc.read_records(warc._Stream(_Bytes(cut), len(cut))))) == 1
+    whole = zlib.compress(b"".join((*one, small)), wbits=31)   # one gzip member for all records
+    for data in (whole, whole + whole, whole + small):
+        file = _Bytes(data)
+        found = list(warc.read_records(warc._Stream(file, len(data)), lambda h: h["warc-type"] == "metadata"))
+        assert [r[3] for r in found] == [b"note"] * (1 if data is whole else 2) and found[0][0] == 0
+
+
+def test_broken_archives_are_errors():
+    body = random.Random(1).randbytes(3000)
+    records = [warc.record_bytes("response", f"<urn:x:{i}>", "http://h/", "1970-01-01T00:00:00Z", None, "d", body, len(body))
+               for i in range(6)]
+
+    def read(data, wants=lambda h: True):
+        return list(warc.read_records(warc._Stream(_Bytes(data), len(data)), wants, name="a.warc"))
+
+    bad = records[:1] + [b"XARC" + records[1][4:]] + records[2:]
+    members = list(map(warc.gzip_member, bad))
+    for data, at in ((b"".join(bad), len(records[0])), (b"".join(members), len(members[0])),
+                     (zlib.compress(b"".join(bad), wbits=31), 0)):
+        for wants in (lambda h: True, lambda h: False):
+            with pytest.raises(ValueError, match=f"a.warc: no WARC record at offset {at}$"):
+                read(data, wants)
+    good = list(map(warc.gzip_member, records))
+    for pieces in (records, good, [zlib.compress(b"".join(records), wbits=31)]):
+        data = b"".join(pieces)
+        assert len(read(data)) == 6 and len(read(data + b"\r\n")) == 6
+        for wants in (lambda h: True, lambda h: False):
+            with pytest.raises(ValueError, match=r"a.warc: .* at offset \d+"):
+                read(data[:len(data) - 900], wants)     # the last record is short
+    torn = bytearray(b"".join(good))
+    torn[len(good[0]) + 100] ^= 0xFF
+    with pytest.raises(ValueError, match=f"a.warc: .* at offset {len(good[0])}"):
+        read(bytes(torn))
+    without = records[0].replace(b"Content-Length: ", b"Content-Length: x", 1)
+    with pytest.raises(ValueError, match="no content length"):
+        read(without)
+    assert read(b"") == [] and read(b"\r\n\r\n") == []
 
 
 def test_filters_are_pushed(spark):
