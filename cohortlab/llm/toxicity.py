@@ -69,21 +69,23 @@ def sample_features(docs: DataFrame, labels: DataFrame, learnable, max_positive:
     plain = _bounded(docs.select("doc_id").where("doc_id is not null").where(learnable(F.col("doc_id"))).distinct(),
                      max_unlabelled)
     wanted = toxic.withColumn("positive", F.lit(True)).unionByName(plain.withColumn("positive", F.lit(False)))
-    # bounded by the two limits, whatever the tables' size; a repeated id gives one row, of the least text hash
-    texts = (docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "positive")
-             .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
+    # bounded by the two limits, whatever the tables' size
+    texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select(
+        "doc_id", "positive", F.xxhash64("text").alias("hash"), "text")
 
     def run(batches):
         for b in row_slices(batches, "text"):
             rows, feats = word_features(b.column("text"), bits)
             parts = np.split(feats, np.searchsorted(rows, np.arange(1, b.num_rows)))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), b.column("positive"),
+                [b.column("doc_id").cast(pa.int64()), b.column("positive"), b.column("hash"),
                  pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32()))],
-                names=["doc_id", "positive", "features"])
+                names=["doc_id", "positive", "hash", "features"])
 
-    rows = texts.mapInArrow(run, "doc_id bigint, positive boolean, features array<int>")
-    return written(rows, "toxicity-sample"), prior
+    rows = texts.mapInArrow(run, "doc_id bigint, positive boolean, hash bigint, features array<int>")
+    # a repeated id gives one row, of the least text hash; texts themselves are neither sorted nor moved
+    once = rows.groupBy("doc_id", "positive").agg(F.min(F.struct("hash", "features")).alias("row"))
+    return written(once.select("doc_id", "positive", "row.features"), "toxicity-sample"), prior
 
 
 def train(docs: DataFrame, labels: DataFrame, learnable, default_prior: float = 0.1,
