@@ -46,17 +46,19 @@ def fold_events(events: DataFrame) -> DataFrame:
     A message's text is what its last start, edit or regenerate brought plus the deltas
     after it, by seq; its place is its first seq, its role the last one named.
     Null texts and roles count as empty; a replayed event (equal in every
-    column) counts once; events of one seq go by kind (resets first), then text. The group is one message, so no group holds
-    a whole conversation here.
+    column) counts once; events of one seq go in the order start, edit, regenerate, delta, then by
+    text, so that of several resets at one seq the last holds; a null seq stands before all others.
+    The group is one message, so no group holds a whole conversation here.
     """
-    kind = F.when(F.col("event").isin(*_RESETS), 0).otherwise(1)
-    piece = F.struct("seq", kind.alias("kind"), F.coalesce("text", F.lit("")).alias("text"))
+    order = F.array_position(F.array(*[F.lit(e) for e in _RESETS]), F.coalesce("event", F.lit("")))
+    piece = F.struct("seq", F.when(order > 0, order).otherwise(len(_RESETS) + 1).alias("order"),
+                     F.coalesce("text", F.lit("")).alias("text"))
     folded = events.select("conv_id", "seq", "msg_id", "event", "role", "text").groupBy("conv_id", "msg_id").agg(
         F.min("seq").alias("position"),
-        F.max(F.when(F.col("event").isin(*_RESETS), F.col("seq"))).alias("reset"),
+        F.max(F.when(order > 0, piece)).alias("reset"),
         F.max_by("role", F.when(F.col("role").isNotNull(), F.struct("seq", "role"))).alias("role"),
         F.array_sort(F.collect_set(piece)).alias("pieces"))
-    live = F.filter("pieces", lambda p: F.col("reset").isNull() | p["seq"].isNull() | (p["seq"] >= F.col("reset")))
+    live = F.filter("pieces", lambda p: F.col("reset").isNull() | (p >= F.col("reset")))
     text = F.array_join(F.transform(live, lambda p: p["text"]), "")
     return folded.select("conv_id", "position", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"))
 
@@ -103,20 +105,50 @@ def read_back(rendered: DataFrame) -> DataFrame:
                        F.array_join(under, "").alias("loss_text"))
 
 
+def _each_turn(conversations: DataFrame) -> DataFrame:
+    """Whole turns with a `msg_id` of their own. Equal rows are turns of their own, numbered after they are
+    counted (per task first), so that many equal rows are one row until then; a null differs from any value."""
+    columns = ["conv_id", "turn", "role", "text"]
+    counted = conversations.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"))
+    return rows.withColumn("msg_id", F.xxhash64(*columns[1:], *[F.col(c).isNull() for c in columns[1:]], "copy"))
+
+
+def _as_log(rows: DataFrame, events: list[tuple]) -> DataFrame:
+    """Events per turn: (kind, text, or None); their seqs follow each other."""
+    said = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(kind).alias("event"),
+                              (F.lit(None).cast("string") if text is None else text).alias("text"))
+                     for i, (kind, text) in enumerate(events)])
+    log = rows.select("conv_id", "turn", "msg_id", "role", F.explode(said).alias("said"))
+    seq = F.try_add(F.try_multiply(F.col("turn").cast("long"), F.lit(len(events))), F.col("said.i").cast("long"))
+    return log.select("conv_id", seq.alias("seq"), "msg_id", "said.event", "role", F.col("said.text").alias("text"))
+
+
 def turn_events(conversations: DataFrame) -> DataFrame:
     """A table of whole turns (`conv_id`, `turn`, `role`, `text`) as an event log: a start
-    that names the role and a delta with the text. Turns of one number stay
-    apart if role or text differ; equal rows are one turn."""
-    row = conversations.select("conv_id", F.col("turn").alias("seq"),
-                               F.xxhash64("turn", "role", "text").alias("msg_id"), "role", "text")
-    said = F.explode(F.array(F.struct(F.lit("start").alias("event"), F.lit("").alias("text")),
-                             F.struct(F.lit("delta").alias("event"), F.col("text").alias("text"))))
-    return (row.withColumn("said", said)
-            .select("conv_id", "seq", "msg_id", "said.event", "role", F.col("said.text").alias("text")))
-
-
-def format_conversations(conversations: DataFrame) -> DataFrame:
-    """`render` of a table of whole turns. Null texts are empty turns, a null
-    conv_id is a conversation of its own, an empty table gives no rows; other
-    columns are not read."""
-    return render(fold_events(turn_events(conversations)))
+    that names the role and a delta with the text."""
+    return _as_log(_each_turn(conversations), [("start", F.lit("")), ("delta", F.col("text"))])
+
+
+def streamed_events(conversations: DataFrame) -> DataFrame:
+    """The same turns as a log with everything in it, which folds to the given texts: a start, a streamed
+    draft that a regenerate throws away, a first half that an edit corrects, the second half in two deltas.
+    A turn without a number has no order of events and comes as one start."""
+    text = F.coalesce("text", F.lit(""))
+    n = F.length(text)
+    piece = lambda a, b: F.substr(text, a + 1, b - a)
+    half, late = F.floor(n / 2).cast("int"), F.floor(n * 3 / 4).cast("int")
+    events = [("start", F.lit("")), ("delta", F.concat(F.lit("draft "), piece(F.lit(0), half))), ("regenerate", None),
+              ("delta", F.lit("first try")), ("edit", piece(F.lit(0), half)), ("delta", piece(half, late)),
+              ("delta", piece(late, n))]
+    turns = _each_turn(conversations)
+    loose = turns.where("turn is null").select("conv_id", F.lit(None).cast("long").alias("seq"), "msg_id",
+                                               F.lit("start").alias("event"), "role", "text")
+    return _as_log(turns.where("turn is not null"), events).unionByName(loose)
+
+
+def format_conversations(conversations: DataFrame, as_log=turn_events) -> DataFrame:
+    """`render` of a table of whole turns, by way of an event log. Null texts are empty turns, a null
+    conv_id is a conversation of its own, equal rows are turns of their own, an empty table gives no
+    rows; other columns are not read."""
+    return render(fold_events(as_log(conversations)))

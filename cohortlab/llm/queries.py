@@ -42,7 +42,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     talk = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = spark.sql(f"SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, '{_ODD}' AS text "
                     "FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)")
-    back = chat.read_back(chat.format_conversations(talk.unionByName(odd)))
+    back = chat.read_back(chat.format_conversations(talk.unionByName(odd), chat.streamed_events))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
@@ -58,9 +58,9 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = lambda spans: F.array_join(F.transform(
         spans, lambda f: F.concat_ws(":", f["kind"], f["span_start"], f["span_end"])), ",")
     count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long")
-    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex", "guess")],
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
                         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
-                        listed("findings").alias("spans"))
+                        listed("findings").alias("spans"), count("guess").alias("n_guess"))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +131,7 @@ _ESC = r"replace(replace(replace({0}, '\', '\b'), '###', '\h'), '</turn>', '\t')
 
 CHAT_SQL = rf"""
 WITH t AS (
-  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 s AS (

@@ -170,7 +170,7 @@ def test_near_pairs_lose_no_link(spark):
             x = rng.choice((x, y))
     signed = [x - (1 << 64) if x >> 63 else x for x in prints]
     table = spark.createDataFrame([(x,) for x in signed], "fp bigint")
-    for segments, distance in ((8, 2), (4, 2), (16, 1), (8, 3)):
+    for segments, distance in ((8, 2), (4, 2), (16, 1), (16, 2), (8, 3), (None, 2)):
         got = sorted(tuple(sorted(r)) for r in simhash.near_pairs(table, distance, segments).collect())
         want = sorted((a, b) for a in signed for b in signed
                       if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= distance)
@@ -467,3 +467,17 @@ def test_toxicity_held_out(spark):
         "sum(predicted * toxic)", "sum(toxic)", "sum(predicted * (1 - toxic))", "sum(1 - toxic)").first()
     # a tenth of the toxic texts here are junk without any telling word
     assert hit >= 0.85 * toxic and false <= 0.01 * clean
+
+
+# ---- rows that differ by a null's place; segments by size ----------------------------
+
+def test_one_row_of_rows_that_differ_by_a_nulls_place(spark):
+    rows = [(1, "same words in each of them", None, "x", 1), (1, "same words in each of them", "x", None, 1),
+            (2, "same words in each of them", "x", None, 1)]
+    kept = simhash.keep_one_per_group(docs_of(spark, rows)).collect()
+    assert len(kept) == 1 and kept[0]["doc_id"] == 1
+
+
+def test_segments_follow_the_number_of_fingerprints():
+    assert simhash.segments_for(1000, 2) == 8 and simhash.segments_for(10 ** 9, 2) == 16
+    assert simhash.segments_for(10 ** 9, 8) == 8  # 16 would not fit 63 bits

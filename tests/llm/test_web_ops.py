@@ -47,7 +47,7 @@ def test_round_trip(spark):
     table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     out = chat.read_back(chat.format_conversations(table.withColumn("formatted", F.lit(1)).withColumn("seq", F.lit(1))))
     want = {}
-    for c, t, role, text in sorted(set((c, t, r or "", x or "") for c, t, r, x in rows),
+    for c, t, role, text in sorted(((c, t, r or "", x or "") for c, t, r, x in rows),
                                    key=lambda r: (str(r[0]), -1 if r[1] is None else r[1], r[2].encode(), r[3].encode())):
         want.setdefault(c, []).append((role, text))
     got = {r["conv_id"]: r for r in out.collect()}
@@ -59,6 +59,26 @@ def test_round_trip(spark):
     assert chat.format_conversations(table.limit(0)).count() == 0
 
 
+def test_the_last_of_tied_resets_holds(spark):
+    rows = [(1, 2, "m", "edit", "user", "A"), (1, 2, "m", "regenerate", "user", "B"), (1, 2, "m", "delta", None, "C"),
+            (1, 1, "m", "delta", None, "gone"), (2, None, "m", "start", "user", "gone"), (2, 1, "m", "edit", None, "kept")]
+    assert messages(spark, rows) == [(1, "user", "BC"), (2, "user", "kept")]
+
+
+def test_turns_that_differ_by_a_nulls_place_and_equal_turns(spark):
+    rows = [(1, 1, "user", None), (1, 1, None, "user"), (1, 2, "user", "x"), (1, 2, "user", "x"), (1, 2, "user", "x"),
+            (1, None, "user", "loose"), (None, 3, "assistant", "a ### b"), (2, 1, "assistant", "odd"), (2, 2, "assistant", "")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("seq", F.lit(1))
+    for as_log in (chat.turn_events, chat.streamed_events):
+        back = {r["conv_id"]: r for r in chat.read_back(chat.format_conversations(turns, as_log)).collect()}
+        said = {k: sorted((t["role"], t["text"]) for t in r["turns"]) for k, r in back.items()}
+        assert said == {1: sorted([("user", ""), ("", "user"), ("user", "loose")] + [("user", "x")] * 3),
+                        None: [("assistant", "a ### b")], 2: [("assistant", ""), ("assistant", "odd")]}
+        assert back[2]["loss_text"] == "odd"
+    log = chat.streamed_events(turns)
+    assert {r["event"] for r in log.select("event").distinct().collect()} == {"start", "delta", "edit", "regenerate"}
+
+
 def test_chat_query_is_native(spark):
     plan = entry.queries()["op2_chat_format"](spark, SF)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
