@@ -11,7 +11,6 @@ languages at once, one table look-up per letter and lane.
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -98,24 +97,26 @@ class Parser:
             if c.isalpha():
                 self.symbol[cp] = self.letters.get(unicodedata.normalize("NFC", c.lower()), self.other)
         roots, bits, parts, base = [], [], [], 0
+        codes = {lang: self._codes(samples[lang]) for lang in self.langs}
+        # an automaton has fewer than two states per symbol
+        kind = np.int32 if sum(2 * len(c) + 1 for c in codes.values()) * self.width < 1 << 28 else np.int64
         for lang in self.langs:
-            codes = self._codes(samples[lang])
-            moves = suffix_automaton(codes.tolist())
-            parts.append(self._table(moves, base))
+            moves = suffix_automaton(codes[lang].tolist())
+            parts.append(self._table(moves, base, kind))
             roots.append(base * self.width)
-            bits.append(np.log2(max(2, len(codes))))
+            bits.append(np.log2(max(2, len(codes[lang]))))
             base += len(moves)
-        kind = np.int32 if base * self.width < 1 << 28 else np.int64
-        self.table = np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+            del moves
+        self.table = np.concatenate(parts) if parts else np.zeros(0, kind)
         self.roots, self.bits = np.array(roots, kind), np.array(bits)
 
     def _codes(self, text: str) -> np.ndarray:
         codes = self.symbol[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
         return codes[(codes != 0) | np.append(True, codes[:-1] != 0)]
 
-    def _table(self, moves, base: int) -> np.ndarray:
+    def _table(self, moves, base: int, kind=np.int64) -> np.ndarray:
         w, root = self.width, base * self.width
-        t = np.empty((len(moves), w), np.int64)
+        t = np.empty((len(moves), w), kind)
         # No move: the phrase ends and the next begins with this symbol, or,
         # where the root has no such move either, that symbol is a phrase too.
         t[:] = root << 2 | 2
@@ -163,9 +164,9 @@ class Parser:
         return phrases, size, letters
 
 
-@lru_cache(maxsize=2)
-def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
-    return Parser(dict(samples))
+def _shared_parser(docs: DataFrame, samples: dict[str, str]):
+    """The parser, made once by the driver; tasks load its tables (their size is bounded as the samples' is)."""
+    return docs.sparkSession.sparkContext.broadcast(Parser(samples))
 
 
 def _judge(parser: Parser, texts: list[str | None]):
@@ -199,10 +200,10 @@ def identify(docs: DataFrame, samples: dict[str, str], text: str = "text",
     in blocks of `BLOCK` letters; a block's end ends a phrase in every language.
     Repeated rows give repeated results; other columns are not read.
     """
-    packed = tuple(sorted(samples.items()))
+    shared = _shared_parser(docs, samples)
 
     def run(batches):
-        parser = _parser(packed)
+        parser = shared.value
         for b in row_slices(batches, text):
             names, score, length = _judge(parser, b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -225,10 +226,10 @@ def keep_identified(docs: DataFrame, samples: dict[str, str], min_phrase: float
     """
     if not samples:
         return docs
-    packed = tuple(sorted(samples.items()))
+    shared = _shared_parser(docs, samples)
 
     def run(batches):
-        parser = _parser(packed)
+        parser = shared.value
         for b in row_slices(batches, text):
             names, _, length = _judge(parser, b.column(text).to_pylist())
             yield b.filter(pa.array([x != UNKNOWN and m >= min_phrase for x, m in zip(names, length)],
