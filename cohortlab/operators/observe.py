@@ -25,8 +25,8 @@ class Watch:
     promise. Observe in a session of its own (``observing_session``).
     """
 
-    def __init__(self, df: DataFrame):
-        self.spark: SparkSession = df.sparkSession
+    def __init__(self, df: DataFrame, spark: SparkSession | None = None):
+        self.spark = spark or df.sparkSession   # of the tables made from the numbers
         self.types = {f.name: f.dataType for f in df.schema.fields}
         self._observation = Observation(f"watch-{uuid.uuid4().hex}")
         self._values: dict | None = None

@@ -143,7 +143,8 @@ def run_job(spark: SparkSession, train_path: str, test_path: str, out_path: str,
     train = prepare(train_raw, persist=text)
     test = prepare(test_raw, medians=train.medians_for_other() if test_medians == "train" else None,
                    persist=text)
-    train, test = train.observed(), test.observed()
+    train, test = train.observed(spark), test.observed(spark)
+    spark.createDataFrame([], "nothing int")   # makes the caller's session the thread's active one again
     result = JobResult(train, test, {}, None, None)
     try:
         train.frame = _stored(train.frame, spark, "prepared-train")

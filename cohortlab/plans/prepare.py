@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from cohortlab.operators.encode import encode_categoricals
 from cohortlab.operators.impute import apply_medians, fit_medians
@@ -39,15 +39,16 @@ class Prepared:
         more = [c for c in cols if c in self.encoded.columns and c not in self.medians]
         return self.medians | (fit_medians(self.encoded, more) if more else {})
 
-    def observed(self) -> "Prepared":
+    def observed(self, spark: SparkSession | None = None) -> "Prepared":
         """The same step whose ``frame`` gathers the report's counts while it is computed.
 
         After one write of the frame (or of what is made of it row by row) the reports
-        below read them; before that they would wait. See ``Watch``.
+        below read them; before that they would wait. The reports are tables of the
+        session ``spark``, if given. See ``Watch``.
         """
-        raw = Watch(self.raw)
-        encoded = Watch(encode_categoricals(raw.frame))
-        frame = Watch(apply_medians(encoded.frame, self.medians))
+        raw = Watch(self.raw, spark)
+        encoded = Watch(encode_categoricals(raw.frame), spark)
+        frame = Watch(apply_medians(encoded.frame, self.medians), spark)
         return replace(self, frame=frame.frame, watches=(raw, encoded, frame))
 
     def missing(self) -> DataFrame:

@@ -5,7 +5,7 @@ import shutil
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession, functions as F
 from pyspark.sql import types as T
 
 from cohortlab.operators.missing import missing_counts
@@ -50,6 +50,7 @@ def test_report_needs_no_further_scan(spark, tmp_out):
     train_patients(spark, SF_SMALL).write.option("header", True).csv(train_csv)
     scored_patients(spark, SF_SMALL).write.option("header", True).csv(test_csv)
     res = run_job(spark, train_csv, test_csv, f"{tmp_out}/out", explicit_schema=True, report=False, holdout="exact")
+    assert SparkSession.getActiveSession()._jsparkSession.equals(spark._jsparkSession)
     want = {}
     for name, p in (("train", prepare(res.train.raw)), ("scored", prepare(res.test.raw))):
         want |= {f"{name}_profile_before": rows(p.profile_before()), f"{name}_profile_text": rows(p.profile_text()),
@@ -63,6 +64,7 @@ def test_report_needs_no_further_scan(spark, tmp_out):
     assert res.holdout["n"] == train_patients(spark, SF_SMALL).count() - train_patients(spark, SF_SMALL).count() * 7 // 10
     # the caller's session and the model are as without the report: MLlib can still transform
     assert score(res.model, prepare(scored_patients(spark, SF_SMALL)).frame).count() == res.predictions.count()
+    assert all(t.sparkSession is spark for k, t in report.items() if "profile" in k or "missing" in k)
     res.release()
 
 
