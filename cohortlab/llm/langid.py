@@ -21,7 +21,9 @@ from cohortlab.llm.text import row_slices
 UNKNOWN = "und"
 EXCERPTS = 96          #: sampled excerpts per language, at most
 EXCERPT_CHARS = 320    #: characters per excerpt
-BLOCK = 256            #: letters parsed on end; a longer text is parsed in blocks
+BLOCK = 256            #: letters of a lane; a longer text takes several lanes, joined exactly
+_STRIDE = 32           #: letters between the places where two parses of a lane are compared
+_ROUNDS = 4            #: joint corrections of all lanes; what is left is corrected lane by lane
 
 
 def learn_samples(labelled: DataFrame, excerpts: int = EXCERPTS,
@@ -152,17 +154,66 @@ class Parser:
         lane = np.repeat(np.arange(len(lane_row)), length)
         lanes[np.arange(len(codes)) - np.repeat(start, length), lane] = codes
         phrases = np.zeros((n, len(self.langs)))
+        last = np.append(within[1:] == 0, True) if len(within) else np.zeros(0, bool)
         for k, root in enumerate(self.roots):
-            state = np.full(len(lane_row), root)
-            count = np.zeros(len(lane_row), np.int64)
-            for symbols in lanes:
-                step = self.table.take(state + symbols)
-                count += step & 3
-                state = step >> 2
-            count += state != root
-            phrases[:, k] = np.bincount(lane_row, weights=count, minlength=n)
+            count, exits = self._lanes(root, lanes, within > 0)
+            phrases[:, k] = np.bincount(lane_row, weights=count + (last & (exits != root)), minlength=n)
         return phrases, size, letters
 
+    def _lanes(self, root, lanes: np.ndarray, follows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(phrases that end in each lane, state after it) of the parse of whole texts.
+
+        All lanes are parsed at once as if a phrase began with each. A lane that
+        `follows` another is then parsed again from that one's last state, until
+        both parses are in one state, as they soon are: from there on they agree.
+        Lanes that never agree (as in a text of one letter) correct the next lane too;
+        after some rounds those are walked one by one in order, each once.
+        """
+        n, stops = lanes.shape[1], BLOCK // _STRIDE
+        states = np.empty((stops, n), self.table.dtype)
+        counts = np.empty((stops, n), np.int64)
+        at, state = np.arange(n), np.full(n, root, self.table.dtype)
+        for turn in range(_ROUNDS):
+            count = np.zeros(len(at), np.int64)
+            for j in range(stops):
+                for symbols in lanes[j * _STRIDE:(j + 1) * _STRIDE, at] if turn else lanes[j * _STRIDE:(j + 1) * _STRIDE]:
+                    step = self.table.take(state + symbols)
+                    count += step & 3
+                    state = step >> 2
+                if turn:
+                    same = state == states[j, at]
+                    counts[j:, at[same]] += (count - counts[j, at])[same]
+                    at, state, count = at[~same], state[~same], count[~same]
+                states[j, at], counts[j, at] = state, count
+                if not len(at):
+                    break
+            at = at[at + 1 < n] + 1  # whose entry is new
+            at = at[follows[at]]
+            state = states[-1, at - 1]
+            if not turn:
+                at, state = at[state != root], state[state != root]
+            if not len(at):
+                return counts[-1], states[-1]
+        pending, k = set(at.tolist()), -1
+        for k in sorted(pending):
+            while k in pending:
+                pending.discard(k)
+                state, count = states[-1, k - 1].item(), 0
+                for j in range(stops):
+                    for symbol in lanes[j * _STRIDE:(j + 1) * _STRIDE, k].tolist():
+                        step = self.table.item(state + symbol)
+                        count += step & 3
+                        state = step >> 2
+                    if state == states[j, k]:
+                        counts[j:, k] += count - counts[j, k]
+                        break
+                    states[j, k], counts[j, k] = state, count
+                else:
+                    if k + 1 < n and follows[k + 1]:
+                        k += 1
+                        pending.add(k)
+        return counts[-1], states[-1]
+
 
 def _shared_parser(docs: DataFrame, samples: dict[str, str]):
     """The parser, made once by the driver; tasks load its tables (their size is bounded as the samples' is)."""
@@ -196,8 +247,8 @@ def identify(docs: DataFrame, samples: dict[str, str], text: str = "text",
     `lang_pred` is a language of `samples`, or `und` with score 0 where the text
     is null, empty or has no letter, or no language was learned. `score` is the
     margin 1 - cost/second cost (0 to 1; 1 where only one language is known);
-    ties go to the first language in code-point order. A text is parsed whole,
-    in blocks of `BLOCK` letters; a block's end ends a phrase in every language.
+    ties go to the first language in code-point order. A text is parsed whole;
+    its lanes of `BLOCK` letters are joined to the parse of the whole text.
     Repeated rows give repeated results; other columns are not read.
     """
     shared = _shared_parser(docs, samples)
