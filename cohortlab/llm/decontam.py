@@ -16,16 +16,18 @@ from __future__ import annotations
 
 import math
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cohortlab.llm.text import normal_words, row_slices, shingle_hashes, utf8, word_hashes
+from cohortlab.session import scratch_path
 
 WIDTH = 5
 THRESHOLD = 0.8
-BLOCK_WORDS = 2_000_000   #: benchmark words that one pass over the documents holds
+BLOCK_WORDS = 400_000     #: benchmark words that one pass over the documents holds, at some 460 bytes each
 _BITS = 20
 
 
@@ -97,7 +99,7 @@ class ContainmentIndex:
         return found
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _index(items: tuple, width: int, threshold: float) -> ContainmentIndex:
     return ContainmentIndex(items, width, threshold)
 
@@ -158,16 +160,32 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
                       threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS,
                       text: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, that contain no item as above."""
-    def keep(items):
+    """The rows of `docs`, all columns, that contain no item as above.
+
+    A benchmark of one block is one pass. A larger one is searched block after
+    block, a job each, whose worker holds one block; what they find (doc_id, hash and length
+    of the text, so that a row is known where ids repeat) is written and taken off at the end.
+    """
+    def search(items, hits_only):
         def run(batches):
             index = _index(items, width, threshold)
             for b in row_slices(batches, text):
-                mask = np.ones(b.num_rows, bool)
-                mask[[f[0] for f in index.search(b.column(text))]] = False
+                mask = np.full(b.num_rows, not hits_only)
+                mask[[f[0] for f in index.search(b.column(text))]] = hits_only
                 yield b.filter(pa.array(mask))
         return run
 
-    for items in item_blocks(benchmark, block_words):
-        docs = docs.mapInArrow(keep(items), docs.schema)
-    return docs
+    blocks = item_blocks(benchmark, block_words)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return docs.mapInArrow(search(first, False), docs.schema)
+    path = scratch_path(docs.sparkSession, "contaminated")
+    narrow = docs.select(F.col("doc_id"), F.col(text))
+    for items in chain((first, second), blocks):
+        (narrow.mapInArrow(search(items, True), narrow.schema)
+         .select(F.col("doc_id").alias("__id"), F.xxhash64(text).alias("__hash"), F.length(text).alias("__length"))
+         .distinct().write.mode("append").parquet(path))
+    hits = docs.sparkSession.read.parquet(path)
+    same = (F.col("d.doc_id").eqNullSafe(F.col("h.__id")) & (F.xxhash64(F.col(f"d.`{text}`")) == F.col("h.__hash"))
+            & (F.length(F.col(f"d.`{text}`")) == F.col("h.__length")))
+    return docs.alias("d").join(hits.alias("h"), same, "left_anti")
