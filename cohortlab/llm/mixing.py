@@ -4,7 +4,8 @@ Sources share a budget of words in proportion to their weights; none may take
 more than `max_epochs` times its size. The level is found in closed form: in
 the order of size per weight, the sources below the level are full, the others
 share the rest by weight. Each source then repeats its documents whole, and
-the remaining fraction takes the documents with the least seeded hash.
+the remaining fraction takes the documents with the least seeded hash; of rows
+that repeat one document as many as fit.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _order_key(seed: int) -> Column:
-    """A seeded order of documents as 32 hex digits: the same in every run."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+def _order_key(seed: int, text: str) -> Column:
+    """A seeded order of documents as 32 hex digits: the same in every run. Rows with one key have one id and text."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), part("doc_id"), F.lit(":"), F.md5(part(text))))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET,
@@ -59,12 +61,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget:
 def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET,
              max_epochs: float = MAX_EPOCHS, seed: int = SEED, text: str = "text") -> DataFrame:
     """One row per source: `source`, `source_size`, `target`, `whole` (full
-    repetitions) and `cut`: documents whose seeded hash is up to `cut` are taken once more.
+    repetitions) and `cut`: documents whose seeded hash is below `cut` are taken once more,
+    and of the `n` equal rows whose hash is `cut` any `take`.
 
     The cut comes from sums per source and hash prefix (4,096 of them), then
     from the documents of one prefix: no task orders a whole source.
     """
-    narrow = docs.select("source", word_count(text).alias("size"), _order_key(seed).alias("key")).checkpoint()
+    narrow = docs.select("source", word_count(text).alias("size"), _order_key(seed, text).alias("key")).checkpoint()
     by_prefix = narrow.groupBy("source", F.substring("key", 1, 3).alias("prefix")).agg(F.sum("size").alias("size"))
     sizes = by_prefix.groupBy("source").agg(F.sum("size").alias("source_size"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -81,14 +84,36 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
     edge = written(edge, "mix-edge")  # a row per source; joined with every document's row below
     there = (narrow.alias("n").join(edge.alias("e"), F.col("n.source").eqNullSafe(F.col("e.source"))
                                     & F.col("n.key").startswith(F.col("e.prefix")))
-             .groupBy("e.source", "e.prefix", "e.room", "n.key").agg(F.sum("n.size").alias("size")))
-    upto = F.sum("size").over(Window.partitionBy("source").orderBy("key"))
-    cuts = (there.withColumn("upto", upto).groupBy("source", "prefix")
-            .agg(F.max(F.when(F.col("upto") - F.col("size") / 2 <= F.col("room"), F.col("key"))).alias("key"))
-            .select("source", F.coalesce("key", "prefix").alias("cut")))
+             .groupBy("e.source", "e.prefix", "e.room", "n.key")
+             .agg(F.sum("n.size").alias("size"), F.max("n.size").alias("each"), F.count("*").alias("n")))
+    before = F.sum("size").over(Window.partitionBy("source").orderBy("key")) - F.col("size")
+    take = F.when(F.col("each") > 0, F.floor((F.col("room") - F.col("before")) / F.col("each") + 0.5)).when(
+        F.col("before") <= F.col("room"), F.col("n")).otherwise(F.lit(0))
+    cuts = (there.withColumn("before", before).withColumn("take", F.least(take, F.col("n")).cast("long"))
+            .groupBy("source", "prefix")
+            .agg(F.max(F.when(F.col("take") > 0, F.struct("key", "take", "n"))).alias("x"))
+            .select("source", F.coalesce("x.key", "prefix").alias("cut"), "x.take", "x.n"))
     # Rest 0 has no edge where every prefix lies above it: nothing more is taken.
     return (plan.alias("p").join(cuts.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left")
-            .select("p.source", "p.source_size", "p.target", "p.whole", F.coalesce("c.cut", F.lit("")).alias("cut")))
+            .select("p.source", "p.source_size", "p.target", "p.whole", F.coalesce("c.cut", F.lit("")).alias("cut"),
+                    F.coalesce("c.take", F.lit(0)).alias("take"), F.coalesce("c.n", F.lit(0)).alias("n")))
+
+
+def _take_some(tied: DataFrame) -> DataFrame:
+    """`tied` (equal rows of a source, with `__source`, `__take`) and `__rank` from 1 in each source.
+
+    Rows are numbered inside the partition they come from, behind the rows of the
+    partitions before it: a source's rows are never gathered.
+    """
+    tied = written(tied.withColumn("__at", F.spark_partition_id()), "mix-tied")
+    counts = tied.groupBy("__source", "__at").agg(F.count("*").alias("__n_at"))
+    so_far = F.sum("__n_at").over(Window.partitionBy("__source").orderBy("__at")) - F.col("__n_at")
+    starts = written(counts.select(F.col("__source").alias("__s"), F.col("__at").alias("__a"),
+                                   so_far.alias("__start")), "mix-starts")  # a row per source and partition
+    inside = F.row_number().over(Window.partitionBy("__source", "__at").orderBy(F.lit(1)))
+    return (tied.withColumn("__inside", inside)
+            .join(starts, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__at") == F.col("__a")))
+            .withColumn("__rank", F.col("__start") + F.col("__inside")))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET,
@@ -96,16 +121,30 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
     """All rows and columns of `docs`, with `mix_size` (words), `mix_source_size`,
     `mix_target` (its source's) and `mix_repeats`, how often the mix takes the row.
 
-    A null text has no words; null sources are one source, the last. Rows that
-    repeat a doc_id (or have none) go in or out of the fractional repetition
-    together. Rerunning gives the same rows; empty table: no rows.
+    A null text has no words; null sources are one source, the last. Rows of a source
+    that agree in doc_id (or have none) and text are taken by count, any of them.
+    Rerunning gives the same rows; empty table: no rows.
     """
     plan = written(mix_plan(docs, weights, budget, max_epochs, seed, text).select(
-        F.col("source").alias("__source"), F.col("source_size").alias("__size"),
-        F.col("target").alias("__target"), F.col("whole").alias("__whole"), F.col("cut").alias("__cut")), "mix-cuts")
-    repeats = F.col("__whole") + (_order_key(seed) <= F.col("__cut")).cast("long")
+        F.col("source").alias("__source"), F.col("source_size").alias("__size"), F.col("target").alias("__target"),
+        F.col("whole").alias("__whole"), F.col("cut").alias("__cut"), F.col("take").alias("__take"),
+        F.col("n").alias("__n")), "mix-cuts")
+    key = _order_key(seed, text)
     # a row per source; Spark broadcasts it below its size threshold
     joined = docs.join(plan, F.col("source").eqNullSafe(F.col("__source")))
-    return joined.select(*[docs[f"`{c}`"] for c in docs.columns], word_count(text).alias("mix_size"),
-                         F.col("__size").alias("mix_source_size"), F.col("__target").alias("mix_target"),
-                         F.least(repeats, F.lit(math.ceil(max_epochs)).cast("long")).alias("mix_repeats"))
+    most = F.lit(math.ceil(max_epochs)).cast("long")
+    names = [*docs.columns, "mix_size", "mix_source_size", "mix_target", "mix_repeats"]
+
+    def result(rows, own, size, once_more):
+        return rows.select(*own, size, F.col("__size"), F.col("__target"),
+                           F.least(F.col("__whole") + once_more.cast("long"), most)).toDF(*names)
+
+    own = [docs[f"`{c}`"] for c in docs.columns]
+    if plan.where("__take < __n").isEmpty():
+        return result(joined, own, word_count(text), key <= F.col("__cut"))
+    split = (key == F.col("__cut")) & (F.col("__take") < F.col("__n"))
+    tied = _take_some(joined.where(split).select(*[c.alias(f"__c{i}") for i, c in enumerate(own)],
+                                                 word_count(text).alias("__words"), *plan.columns))
+    return result(joined.where(~split), own, word_count(text), key <= F.col("__cut")).union(
+        result(tied, [F.col(f"__c{i}") for i in range(len(own))], F.col("__words"),
+               F.col("__rank") <= F.col("__take")))

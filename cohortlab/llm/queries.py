@@ -162,7 +162,8 @@ FROM m JOIN n USING (item_id) WHERE m >= 0.8 * n - 1e-9"""
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-    md5('20:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+    md5('20:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
+n AS (SELECT *, row_number() OVER (PARTITION BY source, key) AS nth FROM d),
 z AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS weight,
         source_size * 2.0::DOUBLE AS cap, sum(source_size) OVER () * 1.5::DOUBLE AS total FROM z),
@@ -174,12 +175,11 @@ p AS (SELECT source, source_size,
       FROM l),
 q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM p),
 k AS (SELECT source, key, sum(size) AS size FROM d GROUP BY source, key),
-c AS (SELECT source, key, size, sum(size) OVER (PARTITION BY source ORDER BY key) AS upto FROM k),
-x AS (SELECT c.source, max(c.key) AS cut FROM c JOIN q ON c.source IS NOT DISTINCT FROM q.source
-      WHERE c.upto - c.size / 2 <= q.target - q.whole * q.source_size GROUP BY c.source)
-SELECT d.doc_id, d.size, q.source_size, q.target,
-  CAST(d.size * least(2, q.whole + CASE WHEN d.key <= coalesce(x.cut, '') THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source LEFT JOIN x ON d.source IS NOT DISTINCT FROM x.source"""
+c AS (SELECT source, key, sum(size) OVER (PARTITION BY source ORDER BY key) - size AS before FROM k)
+SELECT n.doc_id, n.size, q.source_size, q.target, CAST(n.size * least(2, q.whole
+    + CASE WHEN c.before + (n.nth - 0.5) * n.size <= q.target - q.whole * q.source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM n JOIN q ON n.source IS NOT DISTINCT FROM q.source
+JOIN c ON n.source IS NOT DISTINCT FROM c.source AND n.key = c.key"""
 
 _DOT = "list_reduce([0.0::DOUBLE] || list_transform(list_zip({0}, {1}), lambda z: z[1] * z[2]), lambda a, b: a + b)"
 
