@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import math
 import re
+from base64 import b64decode
 from bisect import bisect_left
+from functools import lru_cache
 from itertools import accumulate
 from typing import NamedTuple
 
@@ -46,6 +48,8 @@ UNQUOTED = re.compile(r"""(?:(?![,;&][\x20\t]*["']?[A-Za-z_][\w.-]*["']?[\x20\t]
                       re.ASCII)
 MIN_BITS = 40.0           #: guessing work from which a value in context is a secret
 
+#: Ranked vocabularies whose whole words extend the list below: a line per token, its base64 form and its rank.
+VOCABULARIES = ("/opt/tokenizers/byte_bpe_50k.tiktoken", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 #: Words that people build passwords of, the commonest first (own list, fixed values).
 WORDS = """password admin login welcome letmein master dragon monkey shadow sunshine princess football baseball
 superman batman qwerty iloveyou trustno michael jordan hunter ranger buster soccer hockey killer george charlie
@@ -56,8 +60,7 @@ service system database oracle mysql postgres redis spring winter autumn january
 august september october november december monday tuesday wednesday thursday friday saturday sunday london paris
 berlin madrid america canada company office manager account network internet security backup please here your
 none null true false empty unknown placeholder insert value string key token the and for you with this that""".split()
-_RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
-_LONGEST = max(map(len, WORDS))
+_LONGEST = 20             #: letters of the longest dictionary word
 _LEET = str.maketrans("@4301$57!", "aaeoissti")
 _KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?"
@@ -65,6 +68,27 @@ _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[
 _SEGMENT_BITS = 1.0       #: what joining one more segment adds
 
 
+@lru_cache(maxsize=2)
+def dictionary(vocabularies: tuple[str, ...] = VOCABULARIES) -> dict[str, int]:
+    """Word -> rank: `WORDS`, then the words of the vocabularies by their least rank.
+
+    A word is a token that begins with a blank and is else letters only, four at
+    least. Read by the driver, which sends it to the tasks: its size is that of
+    the files (some 30,000 words), whatever the documents'.
+    """
+    ranks: dict[str, int] = {}
+    for path in vocabularies:
+        with open(path, "rb") as lines:
+            for line in lines:
+                token, rank = line.split()
+                word = b64decode(token).decode("utf-8", "replace")
+                if word[0] == " " and word[1:].isalpha() and 4 <= len(word) - 1 <= _LONGEST:
+                    word = word[1:].lower()
+                    ranks[word] = min(int(rank), ranks.get(word, int(rank)))
+    ordered = dict.fromkeys([*WORDS, *sorted(ranks, key=lambda w: (ranks[w], w))])
+    return {w: i for i, w in enumerate(ordered, 1)}
+
+
 def _near_keys() -> set[str]:
     """Pairs of keys beside each other on the rows, or next in the alphabet."""
     pairs = set()
@@ -101,19 +125,20 @@ def _brute_bits(piece: str) -> float:
     return len(piece) * _ALPHABET[classes]
 
 
-def _word_bits(piece: str) -> float | None:
+def _word_bits(piece: str, ranks: dict[str, int]) -> float | None:
     """Cost of a piece as a dictionary word: its rank, capitals, substitutions, reversal."""
     lower = piece.lower()
     for extra, form in ((0, lower), (2, lower.translate(_LEET)), (1, lower[::-1])):
-        if form in _RANK:
+        if form in ranks:
             capitals = sum(c.isupper() for c in piece)
             how = 0 if not capitals else 1 if capitals in (1, len(piece)) and not piece[0].islower() else 3
-            return math.log2(_RANK[form]) + 1 + extra + how
+            return math.log2(ranks[form]) + 1 + extra + how
     return None
 
 
-def guess_bits(value: str, walk: int = 3) -> float:
-    """log2 of the guesses of the cheapest segmentation of `value` (0 if empty).
+def guess_bits(value: str, ranks: dict[str, int] | None = None, walk: int = 3) -> float:
+    """log2 of the guesses of the cheapest segmentation of `value` (0 if empty), with the
+    words of `ranks` (`dictionary()` if none is given).
 
     best[i] is the least cost of the first i characters; every segment that
     ends at i is a step. Words and dates are short and repeats and walks are
@@ -121,6 +146,7 @@ def guess_bits(value: str, walk: int = 3) -> float:
     segment costs the alphabet of all classes in it, or, where only its first
     letter is a capital, that of lower case and a bit; two of them are never side by side.
     """
+    ranks = dictionary() if ranks is None else ranks
     n = len(value)
     best = [0.0] + [math.inf] * n
     brute = [math.inf] * 16   # by classes allowed: least cost of what ends in brute force
@@ -140,7 +166,7 @@ def guess_bits(value: str, walk: int = 3) -> float:
         titled = (into + _ALPHABET[2] + 1 if of == 4 else titled + _ALPHABET[2] if of == 2 else math.inf)
         options = [math.inf]
         for start in range(max(0, end - _LONGEST), end - 2):
-            if (bits := _word_bits(value[start:end])) is not None:
+            if (bits := _word_bits(value[start:end], ranks)) is not None:
                 options.append(best[start] + bits + _SEGMENT_BITS)
         for start in dates.get(end, ()):
             options.append(best[start] + math.log2(365 * 60 if end - start > 4 else 60) + _SEGMENT_BITS)
@@ -171,7 +197,7 @@ class Finding(NamedTuple):
     bits: float         #: guess cost of the value
 
 
-def _guesses(text: str, min_bits: float) -> list[Finding]:
+def _guesses(text: str, min_bits: float, ranks: dict[str, int] | None) -> list[Finding]:
     """Values in context that are costly to guess, each read to its own end, from where
     the search goes on."""
     found, closings, at = [], None, 0
@@ -190,23 +216,24 @@ def _guesses(text: str, min_bits: float) -> list[Finding]:
         at = max(end, m.end())
         if m["bare"] and not quote and PLAIN_WORD.fullmatch(text, start, end):
             continue
-        if end - start >= 8 and (bits := guess_bits(text[start:end])) >= min_bits:
+        if end - start >= 8 and (bits := guess_bits(text[start:end], ranks)) >= min_bits:
             found.append(Finding("guess", m.start(), end, start, bits))
     return found
 
 
-def find_secrets(text: str | None, min_bits: float = MIN_BITS) -> list[Finding]:
+def find_secrets(text: str | None, min_bits: float = MIN_BITS,
+                 ranks: dict[str, int] | None = None) -> list[Finding]:
     """All spans of one text, by start, then kind as in `KINDS`. A `guess` span
     is left out only where a base span's value holds all of its value; base spans stay
     whatever their cost."""
     if not text:
         return []
-    found = [Finding("assign", m.start(), m.end(), m.start(2), guess_bits(m[2]))
+    found = [Finding("assign", m.start(), m.end(), m.start(2), guess_bits(m[2], ranks))
              for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
-    found += [Finding("access", m.start(), m.end(), m.start(), guess_bits(m[0]))
+    found += [Finding("access", m.start(), m.end(), m.start(), guess_bits(m[0], ranks))
               for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
-    found += [Finding("hex", m.start(), m.end(), m.start(), guess_bits(m[0])) for m in HEX.finditer(text)]
-    if guesses := _guesses(text, min_bits):
+    found += [Finding("hex", m.start(), m.end(), m.start(), guess_bits(m[0], ranks)) for m in HEX.finditer(text)]
+    if guesses := _guesses(text, min_bits, ranks):
         base = sorted((f.value_start, f.end) for f in found)
         reach = list(accumulate((end for _, end in base), max))
         for f in guesses:
@@ -221,40 +248,50 @@ _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("span_start", pa.int64()),
                              ("value_start", pa.int64()), ("guess_bits", pa.float64())]))
 
 
-def secret_spans(docs: DataFrame, min_bits: float = MIN_BITS) -> DataFrame:
+def _shared_words(docs: DataFrame, ranks: dict[str, int] | None):
+    return docs.sparkSession.sparkContext.broadcast(dictionary() if ranks is None else ranks)
+
+
+def secret_spans(docs: DataFrame, min_bits: float = MIN_BITS, ranks: dict[str, int] | None = None) -> DataFrame:
     """(`doc_id`, `findings`) per row: every span of the whole text, in code points.
 
     Null and empty texts have an empty array, repeated rows repeat, an empty
     table gives no rows; other columns are not read. No shuffle.
     """
+    words = _shared_words(docs, ranks)
+
     def run(batches):
         for b in row_slices(batches, "text"):
             found = [[dict(zip(("kind", "span_start", "span_end", "value_start", "guess_bits"), f))
-                      for f in find_secrets(t, min_bits)] for t in b.column(1).to_pylist()]
+                      for f in find_secrets(t, min_bits, words.value)] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, _ARROW)], names=["doc_id", "findings"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, findings {FINDINGS}")
 
 
-def redact_text(text: str | None, mark: str = "[SECRET]", min_bits: float = MIN_BITS) -> str | None:
+def redact_text(text: str | None, mark: str = "[SECRET]", min_bits: float = MIN_BITS,
+                ranks: dict[str, int] | None = None) -> str | None:
     """The text with every found value replaced by `mark`; touching values give one mark."""
     out, at = [], 0
-    for start, end in sorted((f.value_start, f.end) for f in find_secrets(text, min_bits)):
+    for start, end in sorted((f.value_start, f.end) for f in find_secrets(text, min_bits, ranks)):
         if start > at or not out:
             out += [text[at:start], mark]
         at = max(at, end)
     return text if not out else "".join(out) + text[at:]
 
 
-def redact_secrets(docs: DataFrame, mark: str = "[SECRET]", min_bits: float = MIN_BITS) -> DataFrame:
+def redact_secrets(docs: DataFrame, mark: str = "[SECRET]", min_bits: float = MIN_BITS,
+                   ranks: dict[str, int] | None = None) -> DataFrame:
     """All rows and columns of `docs`, secrets in `text` replaced by `mark`, and
     `n_chars`, where it is the text's length, brought up to date. Rows without a finding
     pass unchanged."""
+    words = _shared_words(docs, ranks)
+
     def run(batches):
         for b in row_slices(batches, "text"):
             old = b.column("text").to_pylist()
-            new = [redact_text(t, mark, min_bits) for t in old]
+            new = [redact_text(t, mark, min_bits, words.value) for t in old]
             if old != new:
                 at = b.schema.get_field_index("text")
                 b = b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
