@@ -1,6 +1,8 @@
 """Operators on documents: small cases, edge cases and brute-force comparisons."""
 
 import hashlib
+import json
+import math
 import random
 import re
 import string
@@ -71,13 +73,21 @@ def test_phrases_equal_greedy_substring_search():
     assert letters.tolist() == [17, 6, 4, 0, 0, 5, 1]
 
 
-def test_long_texts_are_parsed_whole_in_blocks():
-    samples = {"x": "abcabc", "y": "xyzxyz"}
-    text = "xyz" * 100 + "abc" * 200
-    phrases, size, _ = langid.Parser(samples).parse([text])
+def test_long_texts_are_parsed_whole():
+    rng = random.Random(4)
+    part = lambda n: " ".join(rng.choice(("the", "and", "tion", "zu", "ver", "a", "aa")) + rng.choice(
+        ("", "ered", "schen", "an")) for _ in range(n))
+    samples = {"w": part(300), "x": "abcabc", "y": "xyzxyz", "z": "aaa bbb aaaa abab"}
+    parser = langid.Parser(samples)
+    texts = ["xyz" * 100 + "abc" * 200, "", None, "a", "q" * 1000, *[part(rng.randrange(900)) for _ in range(30)],
+             *["a" * (langid.BLOCK * k + d) for k in (1, 2, 20) for d in (-1, 0, 1)], "ab" * 3000, "abc " * 700]
+    phrases, size, _ = parser.parse(texts)
     assert size[0] == 900
-    blocks = [text[i:i + langid.BLOCK] for i in range(0, 900, langid.BLOCK)]
-    assert phrases[0].tolist() == [sum(brute_phrases(b, samples[k]) for b in blocks) for k in "xy"]
+    for row, t in zip(phrases, texts):
+        assert row.tolist() == [brute_phrases(t or "", samples[k]) for k in parser.langs], t
+    begun = time.time()
+    parser.parse(["a" * 1_000_000])  # two parses of it never meet
+    assert time.time() - begun < 20
 
 
 def test_language_edges(spark, odd, none):
@@ -236,6 +246,9 @@ def test_containment_equals_brute_force(spark, odd, none):
         assert sorted(((r["doc_id"], r["item_id"], r["containment"]) for r in got.collect()), key=repr) == want
     dirty = {d for d, _, _ in want}
     clean = decontam.drop_contaminated(docs, bench, block_words=60)
+    plan = clean._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "LeftAnti" in plan  # several blocks: a job each, then one join
+    assert decontam.drop_contaminated(docs, bench)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     assert clean.columns == docs.columns
     assert sorted((r["doc_id"] for r in clean.collect()), key=str) == sorted((d for d, _ in rows if d not in dirty), key=str)
     assert decontam.contained_items(none, bench).count() == 0
@@ -285,7 +298,7 @@ def test_guess_cost():
     assert bits("password") < 5 and bits("drowssap") < 6 and bits("P@ssw0rd") < 12
     assert bits("aaaaaaaaaaaa") < 12 and bits("abcabcabcabc") < 22
     assert bits("qwertyuiop") < 22 and bits("1987-04-12") < 20
-    assert bits("q7#Vz-0pLw!x") > 45 and bits("correcthorse") > 40
+    assert bits("q7#Vz-0pLw!x") > 45 and bits("correcthorse") < 40
     assert bits("summer2024monkey") < bits("sxmmqr2924mznkey")
     # adding characters never makes a value much cheaper
     value = "x9Kq2zLm7Rt4"
@@ -293,6 +306,61 @@ def test_guess_cost():
     assert costs == sorted(costs)
 
 
+def exhaustive_bits(value, ranks):
+    """Least cost over all segmentations; a walk or repeat begins where its run does."""
+    n, lower, one = len(value), value.lower(), secrets._SEGMENT_BITS
+    near = lambda j: lower[j - 1] + lower[j] in secrets._NEAR
+
+    def clever(s, e):
+        piece, out = value[s:e], []
+        if e - s >= 3 and (word := secrets._word_bits(piece, ranks)) is not None:
+            out.append(word)
+        if (m := secrets._DATE.match(value, s)) and m.end() == e:
+            out.append(math.log2(365 * 60 if e - s > 4 else 60))
+        if e - s >= 3 and all(near(j) for j in range(s + 1, e)) and (s == 0 or not near(s)):
+            out.append(math.log2(47) + 2 * math.sqrt(e - s) + math.log2(e - s))
+        for p in range(1, 17):
+            again = all(value[j] == value[j - p] for j in range(s + p, e))
+            if e - s >= max(3, 2 * p) and again and (s == 0 or value[s - 1] != value[s + p - 1]):
+                out.append(secrets._brute_bits(value[s:s + p]) + math.log2((e - s) / p))
+        return min(out, default=math.inf)
+
+    def brute(s, e):
+        piece = value[s:e]
+        titled = re.fullmatch("[A-Z][a-z]*", piece)
+        return min(secrets._brute_bits(piece), len(piece) * math.log2(26) + 1 if titled else math.inf)
+
+    def least(s, after_brute):
+        if s == n:
+            return 0.0
+        return min(min(clever(s, e) + least(e, False), math.inf if after_brute else brute(s, e) + least(e, True)) + one
+                   for e in range(s + 1, n + 1))
+
+    return least(0, False)
+
+
+def test_guess_cost_equals_exhaustive_segmentation():
+    rng, ranks = random.Random(8), secrets.dictionary()
+    parts = ["pass", "P@ss", "19", "2004", "qwe", "zxc", "aa", "abab", "K", "m", "7", "#", "love", "evol", "12/04"]
+    values = ["".join(rng.choices(parts, k=rng.randrange(1, 4)))[:9] for _ in range(150)]
+    values += ["".join(rng.choices("aA1#qwe2", k=rng.randrange(1, 8))) for _ in range(100)]
+    for v in values:
+        assert secrets.guess_bits(v) == pytest.approx(exhaustive_bits(v, ranks)), v
+
+
+def test_ordinary_words_are_no_secrets():
+    """Words of a vocabulary that the dictionary was not made of."""
+    for text in ("password: information", "pwd: international", "auth: requirements.", "credentials: administrators"):
+        assert secrets.find_secrets(text) == [] or [f.kind for f in secrets.find_secrets(text)] == ["assign"]
+    with open("/opt/tokenizers/word_bpe_49k.json") as file:
+        tokens = json.load(file)["model"]["vocab"]
+    words = [t[:-4] for t in tokens if re.fullmatch("[a-z]{8,14}</w>", t)]
+    unknown = [w for w in words if w not in secrets.dictionary()]
+    costly = lambda values: sum(secrets.guess_bits(v) >= secrets.MIN_BITS for v in values) / len(values)
+    assert len(unknown) > 2000 and costly(words) < 0.03 and costly(unknown) < 0.08
+    assert len(secrets.dictionary()) < 65_000 and max(map(len, secrets.dictionary())) <= secrets._LONGEST
+
+
 def test_added_spans_need_cost_and_keep_base():
     kinds = lambda t: [f.kind for f in secrets.find_secrets(t)]
     assert kinds("passphrase: 'q7#Vz-0pLw!x'") == ["guess"]
@@ -417,6 +485,43 @@ def test_targets_and_takings(spark, none):
     assert {r["mix_repeats"] for r in mixing.mix(docs_of(spark, [(1, None, None, None, 0)])).collect()} == {0}
 
 
+@pytest.fixture()
+def splits(monkeypatch):
+    """How often equal rows were taken by count."""
+    seen, plain = [], mixing._take_some
+    monkeypatch.setattr(mixing, "_take_some", lambda tied: seen.append(1) or plain(tied))
+    return seen
+
+
+def test_repeated_and_missing_ids_meet_the_target(spark, splits):
+    rows = [(None, f"w{i} " * 10, None, "a", 0) for i in range(20)]           # no ids, different texts
+    rows += [(None, "same text here", None, "b", 0)] * 300 + [(4, "x y z", None, "b", 0)] * 7   # equal rows
+    rows += [(i, "w " * 1000, None, "c", 0) for i in range(5)] + [(9, "", None, "b", 0)] * 3
+    docs = docs_of(spark, rows).withColumn("mix", F.rand(3)).repartition(5)
+    out = mixing.mix(docs, weights=(3, 0.2, 2))
+    assert out.columns[:6] == docs.columns and out.count() == len(rows) and splits
+    got, target = {}, {}
+    for r in out.collect():
+        assert 0 <= r["mix_repeats"] <= 2
+        got[r["source"]] = got.get(r["source"], 0) + r["mix_size"] * r["mix_repeats"]
+        target[r["source"]] = r["mix_target"]
+    each = {"a": 10, "b": 3, "c": 1000}
+    for s, n in each.items():
+        assert abs(got[s] - target[s]) <= n / 2, (s, got, target)
+
+
+def test_mixing_sql_with_repeated_ids(spark, tmp_path, splits):
+    rows = [(None, "same text here", None, "c", 0)] * 500 + [(4, "x y z", None, "b", 0)] * 7 + [(8, "y", None, None, 0)]
+    rows += [(i // 3, "w " * (i % 9), None, "abc"[i % 3], 0) for i in range(200)] + [(1, None, None, "d", 0)]
+    docs_of(spark, rows).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(queries.MIX_SQL)
+    names = [c[0] for c in want.description]
+    got = queries.op6_mix_sources(spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall())) and splits
+
+
 # ---- toxicity ----------------------------------------------------------------------
 
 def test_toxicity_learns_and_scores_edges(spark, odd, none):
