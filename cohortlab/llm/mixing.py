@@ -14,7 +14,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortlab.llm.tables import written
+from cohortlab.llm.tables import column_places, free_names, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -27,10 +27,10 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _order_key(seed: int, text: str) -> Column:
+def _order_key(seed: int, text: str, doc_id: str = "doc_id") -> Column:
     """A seeded order of documents as 32 hex digits: the same in every run. Rows with one key have one id and text."""
     part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return F.md5(F.concat(F.lit(f"{seed}:"), part("doc_id"), F.lit(":"), F.md5(part(text))))
+    return F.md5(F.concat(F.lit(f"{seed}:"), part(doc_id), F.lit(":"), F.md5(part(text))))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET,
@@ -121,7 +121,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
     """All rows and columns of `docs`, with `mix_size` (words), `mix_source_size`,
     `mix_target` (its source's) and `mix_repeats`, how often the mix takes the row.
 
-    A null text has no words; null sources are one source, the last. Rows of a source
+    Where `docs` has a column of such a name, these four begin with underscores, as many as
+    it takes. A null text has no words; null sources are one source, the last. Rows of a source
     that agree in doc_id (or have none) and text are taken by count, any of them.
     Rerunning gives the same rows; empty table: no rows.
     """
@@ -129,22 +130,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
         F.col("source").alias("__source"), F.col("source_size").alias("__size"), F.col("target").alias("__target"),
         F.col("whole").alias("__whole"), F.col("cut").alias("__cut"), F.col("take").alias("__take"),
         F.col("n").alias("__n")), "mix-cuts")
-    key = _order_key(seed, text)
+    places = column_places(docs)
+    rows = docs.toDF(*places.values())
+    key, size = _order_key(seed, places[text], places["doc_id"]), word_count(places[text])
     # a row per source; Spark broadcasts it below its size threshold
-    joined = docs.join(plan, F.col("source").eqNullSafe(F.col("__source")))
+    joined = rows.join(plan, F.col(places["source"]).eqNullSafe(F.col("__source")))
     most = F.lit(math.ceil(max_epochs)).cast("long")
-    names = [*docs.columns, "mix_size", "mix_source_size", "mix_target", "mix_repeats"]
+    names = [*docs.columns, *free_names(docs, "mix_size", "mix_source_size", "mix_target", "mix_repeats")]
 
-    def result(rows, own, size, once_more):
-        return rows.select(*own, size, F.col("__size"), F.col("__target"),
+    def result(some, words, once_more):
+        return some.select(*rows.columns, words, F.col("__size"), F.col("__target"),
                            F.least(F.col("__whole") + once_more.cast("long"), most)).toDF(*names)
 
-    own = [docs[f"`{c}`"] for c in docs.columns]
     if plan.where("__take < __n").isEmpty():
-        return result(joined, own, word_count(text), key <= F.col("__cut"))
+        return result(joined, size, key <= F.col("__cut"))
     split = (key == F.col("__cut")) & (F.col("__take") < F.col("__n"))
-    tied = _take_some(joined.where(split).select(*[c.alias(f"__c{i}") for i, c in enumerate(own)],
-                                                 word_count(text).alias("__words"), *plan.columns))
-    return result(joined.where(~split), own, word_count(text), key <= F.col("__cut")).union(
-        result(tied, [F.col(f"__c{i}") for i in range(len(own))], F.col("__words"),
-               F.col("__rank") <= F.col("__take")))
+    tied = _take_some(joined.where(split).select(*rows.columns, size.alias("__words"), *plan.columns))
+    return result(joined.where(~split), size, key <= F.col("__cut")).union(
+        result(tied, F.col("__words"), F.col("__rank") <= F.col("__take")))

@@ -10,6 +10,8 @@ each meeting pair is verified by its exact bit distance inside the join.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
@@ -18,29 +20,50 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from cohortlab.llm.graph import connected_components
+from cohortlab.llm.tables import column_places
 
 SEED = 42
 GRID_STEP = 4_000_000   #: distinct fingerprints up to which the grid has 8 segments
+SLICE = 1 << 20         #: bytes of a text whose words are held at a time
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
 def fingerprint_of(text: bytes | None, width: int, seed: int = SEED) -> int:
     """Signed 64-bit SimHash of one UTF-8 text; no word gives 0."""
-    words = text.lower().split() if text else []  # on bytes: A-Z only, and ASCII spaces
-    if not words:
-        return 0
     digest = xxhash.xxh64_intdigest
-    if len(words) < width:
-        grams = [b" ".join(words)]
-    else:
+    ones, count, words = 0, 0, []
+    for more in _word_slices(text or b""):
+        words = words[len(words) - width + 1:] + more if len(words) >= width else words + more
+        if len(words) < width:
+            continue
         grams = map(b" ".join, zip(*(words[i:] for i in range(width))))
-    hashes = np.array([digest(g, seed) for g in grams], np.uint64)
-    parts = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
-    ones = np.concatenate([np.bincount(parts[:, i], minlength=256) @ _BYTE_BITS for i in range(8)])
-    packed = np.packbits(2 * ones > len(hashes))
+        hashes = np.array([digest(g, seed) for g in grams], np.uint64)
+        ones, count = ones + _ones(hashes), count + len(hashes)
+    if not count:
+        if not words:
+            return 0
+        ones, count = _ones(np.array([digest(b" ".join(words), seed)], np.uint64)), 1
+    packed = np.packbits(2 * ones > count)
     return int(packed.view(">i8")[0])
 
 
+def _word_slices(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, about `SLICE` bytes at a time: on bytes, so A-Z alone are lower-cased and ASCII spaces part."""
+    start = 0
+    while start < len(text):
+        space = _SPACE.search(text, start + SLICE)
+        end = space.start() if space else len(text)
+        yield text[start:end].lower().split()
+        start = end
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits set, the highest first."""
+    parts = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return np.concatenate([np.bincount(parts[:, i], minlength=256) @ _BYTE_BITS for i in range(8)])
+
+
 def with_fingerprint(docs: DataFrame, width: int, column: str = "fingerprint",
                      text: str = "text", keys: tuple[str, ...] = ("doc_id",),
                      seed: int = SEED) -> DataFrame:
@@ -147,18 +170,20 @@ def keep_one_per_group(docs: DataFrame, width: int = 3, max_distance: int = 2,
     it, the first by a hash of the whole row, and equal rows collapse. `docs`
     has one row of no words at most afterwards.
     """
-    names = docs.columns
-    cells = [F.col(f"`{c}`") for c in names]  # a hash passes over nulls, so their places go in as well
-    tagged = docs.withColumn("__row", F.xxhash64(*cells, *[c.isNull() for c in cells]))
-    prints = with_fingerprint(tagged, width, "fp", text, ("doc_id", "__row")).checkpoint()
+    places = column_places(docs)
+    names = list(places.values())
+    cells = [F.col(c) for c in names]  # a hash passes over nulls, so their places go in as well
+    tagged = docs.toDF(*names).withColumn("__row", F.xxhash64(*cells, *[c.isNull() for c in cells]))
+    prints = with_fingerprint(tagged, width, "fp", places[text], (places["doc_id"], "__row"))
+    prints = prints.toDF("doc_id", "__row", "fp").checkpoint()
     row = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "__row")
     first = prints.groupBy("fp").agg(F.min(row).alias("row"))
     kept = (_classes(prints, max_distance, segments).join(first, "fp")
             .groupBy("root").agg(F.min("row").alias("row"))
             .select(F.col("row.doc_id").alias("__keep_id"), F.col("row.__row").alias("__keep_row")))
-    same = [F.col("__keep_row") == F.col("__row"), F.col("__keep_id").eqNullSafe(F.col("doc_id"))]
-    copies = (prints.join(kept, same).groupBy("__keep_row", "__keep_id").agg(F.count("*").alias("__copies")))
-    chosen = tagged.join(copies.checkpoint(), same)
-    once = chosen.where("__copies = 1").select(*[F.col(f"`{c}`") for c in names])
-    equal = chosen.where("__copies > 1").select(*[F.col(f"`{c}`") for c in names]).dropDuplicates()
-    return once.unionByName(equal)
+    same = lambda i: [F.col("__keep_row") == F.col("__row"), F.col("__keep_id").eqNullSafe(F.col(i))]
+    copies = (prints.join(kept, same("doc_id")).groupBy("__keep_row", "__keep_id").agg(F.count("*").alias("__copies")))
+    chosen = tagged.join(copies.checkpoint(), same(places["doc_id"]))
+    once = chosen.where("__copies = 1").select(*names)
+    equal = chosen.where("__copies > 1").select(*names).dropDuplicates()
+    return once.union(equal).toDF(*docs.columns)

@@ -16,3 +16,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def column_places(df: DataFrame) -> dict[str, str]:
+    """`__c0`, `__c1`, ... by column name: under these names an operator's own columns clash with none of `df`."""
+    return {c: f"__c{i}" for i, c in enumerate(df.columns)}
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """`names`, all with as many underscores before them as it takes for none to be a column of `df`."""
+    taken, before = {c.lower() for c in df.columns}, ""
+    while any((before + n).lower() in taken for n in names):
+        before += "_"
+    return [before + n for n in names]

@@ -139,6 +139,24 @@ def brute_fingerprint(text, width=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def test_long_texts_are_fingerprinted_in_slices(monkeypatch):
+    import tracemalloc
+    long = (" ".join(f"w{i % 977}" for i in range(700)) + " " * 300 + "x" * 500 + "\n a B  c").encode()
+    whole = {w: simhash.fingerprint_of(long, w) for w in (1, 3, 2000)}
+    for size in (1, 7, 64, 1000):
+        monkeypatch.setattr(simhash, "SLICE", size)
+        assert whole == {w: simhash.fingerprint_of(long, w) for w in whole}
+        assert simhash.fingerprint_of(b" one  two ", 3) == simhash.fingerprint_of(b"one two", 3) != 0
+        assert simhash.fingerprint_of(b" \n" * 50, 3) == 0
+    monkeypatch.undo()
+    text = b"some words of one very long text that goes on " * 440_000  # 20 MB
+    tracemalloc.start()
+    simhash.fingerprint_of(text, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+
+
 def brute_components(rows, distance=2):
     prints = [(i, brute_fingerprint(t)) for i, t in rows]
     group = list(range(len(prints)))
