@@ -3,7 +3,8 @@
 Language ID drops rows in no learned language; SimHash keeps one row per group
 of near copies; decontamination drops rows that contain a benchmark item; the
 secret scan replaces secrets; mixing gives `repeats`, how often a row
-stands in the mix, and leaves out rows it takes no time. Clean rows pass every
+stands in the mix, and leaves out rows it takes no time (`_repeats` and so on where the
+documents have a column of that name). Clean rows pass every
 filtering stage. All but the last return the columns of their input.
 """
 
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cohortlab.llm import decontam, langid, mixing, secrets, simhash
 from cohortlab.llm.queries import language_samples
 from cohortlab.llm.ship import ship_package
+from cohortlab.llm.tables import free_names
 from cohortlab.session import ensure_checkpoint_dir, scratch_path
 
 
@@ -38,8 +40,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs).where("mix_repeats > 0")
-    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("mix_repeats").alias("repeats"))
+    mixed = mixing.mix(docs)
+    own, repeats = mixed.columns[:len(docs.columns)], mixed.columns[-1]
+    taken = mixed.where(F.col(repeats) > 0)
+    return taken.select(*[F.col(f"`{c}`") for c in own], F.col(repeats).alias(free_names(docs, "repeats")[0]))
 
 
 STAGES = [("language_id", identify_language), ("simhash_dedup", drop_near_copies),
