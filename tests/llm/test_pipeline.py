@@ -44,6 +44,20 @@ def test_odd_documents_pass_every_stage(spark):
             table.count()
 
 
+def test_columns_named_like_the_stages_own(spark):
+    clash = ["__row", "__keep_id", "__copies", "__source", "__cut", "__take", "__c0", "mix_repeats", "Mix_Size", "repeats",
+             "_repeats", "key", "cut", "take"]
+    docs = spark.createDataFrame(ODD, DOCS).withColumns({c: F.lit(c) for c in clash})
+    docs = docs.unionAll(docs)
+    names, before = docs.columns, docs
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, before, SF)
+        assert after.columns == (names if name != "mix_sources" else [*names, "__repeats"])
+        rows = after.collect()
+        assert rows and all(r[c] == c for r in rows for c in clash)
+        before = spark.createDataFrame(rows, after.schema)
+
+
 def test_registered_queries_have_their_numbers():
     names = entry.queries()
     assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
