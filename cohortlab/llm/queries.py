@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cohortlab.llm import (archive, audit, chat, decontam, langid, mixing, quality, rabitq, secrets, simhash, toxicity,
                            urlfilter, whitening)
 from cohortlab.llm.ship import ship_package
+from cohortlab.llm.tables import written
 from cohortlab.session import ensure_checkpoint_dir, scratch_path
 
 
@@ -78,7 +79,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = rabitq.build_index(_table(spark, sf_dir, "embeddings"))
+    index = written(rabitq.build_index(_table(spark, sf_dir, "embeddings")), "codes")
     return rabitq.search(index, index.where("vec_id % 50 = 0"))
 
 

@@ -238,6 +238,50 @@ def test_estimates_stay_within_their_bound():
     assert spread.mean() < 0.25
 
 
+def test_bit_planes_estimate_the_product():
+    """Counts of set bits equal the dot product with the quantised query; the bound holds; odd lengths are padded."""
+    import numpy as np
+    for d in (1, 64, 300):
+        x = np.random.default_rng(2).standard_normal((900, d))
+        x[5] = x[7] * 3
+        turn = rabitq.rotation(d)
+        code, correction = rabitq.encode(x, turn)
+        unit = x / np.linalg.norm(x, axis=1)[:, None]
+        queries = rabitq.QueryCodes(unit[:40] @ turn)
+        got = queries.estimate(slice(3, 40), np.ascontiguousarray(code.view(np.uint64).T), correction)
+        bits, levels = turn.shape[1], 1 << rabitq.PLANES
+        step = rabitq.STEP / bits ** 0.5
+        value = (np.clip(np.floor(unit[3:40] @ turn / step) + levels // 2, 0, levels - 1) - (levels - 1) / 2) * step
+        value /= (value * (unit[3:40] @ turn)).sum(axis=1)[:, None]
+        signs = np.unpackbits(code, axis=1).astype(float) * 2 - 1
+        assert bits % 64 == 0 and np.allclose(got, value @ signs.T / bits ** 0.5 / correction, atol=1e-5)
+        if d > 1:
+            off = np.abs(got - unit[3:40] @ unit.T) <= queries.spread(correction, rabitq.EPSILON)
+            assert off[~np.eye(40, 900, dtype=bool)[3:]].mean() > 0.9995
+
+
+def test_crowds_near_a_query_are_found():
+    """Thousands of vectors almost at the floor, and a query's copies in several batches."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal(64)
+    x = np.concatenate([base + 0.05 * rng.standard_normal((3000, 64)), rng.standard_normal((3000, 64)),
+                        np.repeat(base[None], 20, axis=0)])
+    ids = rng.permutation(len(x))
+    queries = np.concatenate([np.arange(10), np.arange(3000, 3010), [6019]])
+    code, correction = rabitq.encode(x, rabitq.rotation(64))
+    group = rabitq._Queries(ids[queries], x[queries], 5, rabitq.SEED)
+    for at in np.array_split(np.arange(len(x)), 7):
+        group.offer(ids[at], x[at], code[at], correction[at], rabitq.EPSILON)
+    got = {}
+    for q, v, _ in group.rows():
+        got.setdefault(q, []).append(v)
+    for q in queries:
+        score = rabitq.cosine(np.repeat(x[q][None], len(x), axis=0), x)
+        order = [v for v in ids[np.lexsort((ids, -score))] if v != ids[q]]
+        assert got[ids[q]] == order[:5]
+
+
 # ---- WARC --------------------------------------------------------------------------
 
 PAGES = "page_id bigint, url string, html string"
