@@ -1,9 +1,8 @@
 """Standardised logistic regression with a cross-validated grid, scoring and metrics.
 
-MLlib does the distributed work: every optimiser iteration is one tree
-aggregation over the cached training rows. What is added here is the wiring
+MLlib fits the scalers and the model that is kept. What is added here is the wiring
 and three scale points: the training rows are assembled and persisted once for
-all 31 fits, and a fold is scaled once for its six grid points; folds come from a key hash (so they are the
+all 31 fits, and the 30 fits of the cross-validation share their scans (``shared_fit``); folds come from a key hash (so they are the
 same on any cluster layout and re-running a lost task gives the same rows);
 and fitted models can be applied as one linear column expression that stays
 inside whole-stage codegen (no vector columns in the scoring path).
@@ -23,15 +22,18 @@ from fractions import Fraction
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlab.functions.keys import hash_mod
+from cohortlab.operators.shared_fit import Part, blocks, fit_all
 from cohortlab.schema import FEATURES, ID, LABEL, PREDICTION
 
 # ---------------------------------------------------------------------------
@@ -96,12 +98,10 @@ def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
     """5-fold CV over the 6-point grid, best mean accuracy, refit on all rows.
 
     The rows are assembled to (label, features, fold) and persisted (memory,
-    spilling to disk) once. A fold's scaler is fitted once, and its scaled
-    training and validation rows are persisted while its grid points fit, so
-    there are ``num_folds + 1`` scaler fits and one copy of the rows beside the
-    current fold's. ``parallelism`` grid points fit at once; each optimiser iteration
-    is a short job, so concurrent fits keep the executors busy. Every running fit
-    persists its own blocks (spilling to disk): lower it when memory is short.
+    spilling to disk) once; there are ``num_folds + 1`` scaler fits. All fits of all folds
+    advance together (``fold_models``): one scan of one blocked copy of the rows per optimiser step,
+    whatever the number of folds and grid points. The refit is MLlib's own.
+    ``parallelism`` fits run at once where MLlib must fit a fold (``fold_models``).
     A fold's fitted models are measured together, in one aggregate over its rows.
 
     The model has ``foldMetrics``: (rows of the fold, accuracy per grid point) by fold;
@@ -116,32 +116,72 @@ def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
     data = assembler(features).transform(rows).select(label, "features", FOLD).persist(level)
     metrics, fitted = [], []
     try:
-        for k in range(num_folds):
-            train, valid = data.where(F.col(FOLD) != k), data.where(F.col(FOLD) == k)
-            scaled = scaler().fit(train)
-            train = scaled.transform(train).select(label, "scaledFeatures").persist(level)
-            try:
-                with ThreadPoolExecutor(max_workers=min(parallelism, len(grid))) as pool:
-                    models = list(pool.map(lambda params, train=train: lr.fit(train, params), grid))
-            finally:
-                train.unpersist()
-            metrics.append(accuracies(scaled.transform(valid), models, label))
+        whole = scaler().fit(data)
+        scalers = [scaler().fit(data.where(F.col(FOLD) != k)) for k in range(num_folds)]
+        by_fold = fold_models(data, whole, scalers, lr, grid, label, parallelism)
+        for k, (scaled, models) in enumerate(zip(scalers, by_fold)):
+            metrics.append(accuracies(scaled.transform(data.where(F.col(FOLD) == k)), models, label))
             if not metrics[-1][0]:
                 raise ValueError(f"fold {k} has no rows to measure on")
             if sub_models:
                 fitted.append([PipelineModel([assembler(features), scaled, m]) for m in models])
         folds = [m for _, m in metrics]
         mean, std = np.mean(folds, axis=0), np.std(folds, axis=0)
-        scaled = scaler().fit(data)
-        best = lr.fit(scaled.transform(data), grid[int(np.argmax(mean))])
+        best = lr.fit(whole.transform(data), grid[int(np.argmax(mean))])
     finally:
         data.unpersist()
-    model = PipelineModel([assembler(features), scaled, best])
+    model = PipelineModel([assembler(features), whole, best])
     out = cv._copyValues(CrossValidatorModel(model, mean.tolist(), fitted or None, std.tolist()))
     out.foldMetrics = metrics
     return out
 
 
+def fold_models(data: DataFrame, whole, scalers: Sequence, lr: LogisticRegression, grid: Sequence, label: str = LABEL,
+                parallelism: int = 6) -> list[list[LogisticRegressionModel]]:
+    """Per fold, the logistic regression of each grid point on the rows of the other folds.
+
+    ``data`` has (label, features, fold), ``whole`` is the scaler of all rows, ``scalers`` are those of the
+    training parts. All parts with rows of both classes are fitted together (``shared_fit``), on blocks in the
+    units of ``whole``, in which a part's own scaling is a change of a few numbers; the models are
+    MLlib's, without its training summary. A part of one class alone, or with any other label, is left to MLlib.
+    """
+    counts = {(r[FOLD], r[label]): r["count"] for r in data.groupBy(FOLD, label).count().collect()}
+    mean, std = whole.mean.toArray(), whole.std.toArray()
+    unit = np.where(std > 0, std, 1.0)
+    parts = {}
+    for k, scaled in enumerate(scalers):
+        of = {y: sum(n for (f, v), n in counts.items() if f != k and v == y) for _, y in counts}
+        if {y for y, n in of.items() if n} == {0, 1}:
+            own = scaled.std.toArray()
+            inverse = np.divide(unit, own, out=np.zeros_like(own), where=own > 0)
+            parts[k] = Part(of[0], of[1], np.where(std > 0, (scaled.mean.toArray() - mean) / unit, 0.0), inverse)
+    found = {}
+    if parts:
+        level = StorageLevel.MEMORY_AND_DISK
+        blocked = blocks(whole.transform(data), label, FOLD, sum(counts.values())).persist(level)
+        try:
+            points = [tuple(lr.copy(params).getOrDefault(p) for p in ("regParam", "elasticNetParam")) for params in grid]
+            found = fit_all(blocked, parts, points, lr.getMaxIter(), lr.getTol())
+        finally:
+            blocked.unpersist()
+
+    def mllib(k: int) -> list[LogisticRegressionModel]:
+        train = scalers[k].transform(data.where(F.col(FOLD) != k)).select(label, "scaledFeatures").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            with ThreadPoolExecutor(max_workers=min(parallelism, len(grid))) as pool:
+                return list(pool.map(lambda params: lr.fit(train, params), grid))
+        finally:
+            train.unpersist()
+
+    def model(params, w: np.ndarray, b: float) -> LogisticRegressionModel:
+        own = lr.copy(params)
+        return own._copyValues(LogisticRegressionModel(JavaWrapper._new_java_obj(
+            "org.apache.spark.ml.classification.LogisticRegressionModel", own.uid, Vectors.dense(w), b)))
+
+    return [[model(params, w, b) for params, (w, b) in zip(grid, found[k])] if k in found else mllib(k)
+            for k in range(len(scalers))]
+
+
 def accuracies(scaled: DataFrame, models: Sequence, label: str = LABEL) -> tuple[int, list[float]]:
     """(rows, accuracy of each fitted logistic regression) on standardised rows, in one scan:
     the models become linear forms of the same vector, and one aggregate counts where each is right.
