@@ -42,6 +42,13 @@ def prediction_by(df: DataFrame, key: str, prediction: str = PREDICTION) -> Data
             .orderBy(key))
 
 
+def _grouped(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
+    """One grouping-sets aggregate, a set per key: keys, named ``aggs``, ``__n<i>`` (count of key i), ``__gid``."""
+    counts = [F.count(F.col(k)).alias(f"__n{i}") for i, k in enumerate(keys)]
+    named = [c.alias(name) for name, c in aggs.items()]
+    return df.groupingSets([[k] for k in keys], *keys).agg(*named, *counts, F.grouping_id().alias("__gid"))
+
+
 def _by_each_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
                  shape) -> tuple[dict[str, DataFrame], DataFrame]:
     """Per-key tables from one grouping-sets aggregate over all keys.
@@ -51,11 +58,7 @@ def _by_each_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
     Returns the tables and the cached aggregate (unpersist it when done).
     """
     n, full = len(keys), (1 << len(keys)) - 1
-    counts = [F.count(F.col(k)).alias(f"__n{i}") for i, k in enumerate(keys)]
-    named = [c.alias(name) for name, c in aggs.items()]
-    g = (df.groupingSets([[k] for k in keys], *keys)
-         .agg(*named, *counts, F.grouping_id().alias("__gid"))
-         .persist(StorageLevel.MEMORY_AND_DISK))
+    g = _grouped(df, keys, aggs).persist(StorageLevel.MEMORY_AND_DISK)
     out = {}
     for i, k in enumerate(keys):
         part = g.filter(F.col("__gid") == F.lit(full - (1 << (n - 1 - i))))
@@ -92,9 +95,8 @@ def _category(key: str, decode_smoking: bool) -> Column:
     return category_text(F.col(key))
 
 
-def _per_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
-             decode_smoking: bool) -> DataFrame:
-    """``chart, category, total`` + named ``aggs`` for every key, from one scan.
+def _per_key(g: DataFrame, keys: Sequence[str], names: Sequence[str], decode_smoking: bool) -> DataFrame:
+    """``chart, category, total`` + the aggregates ``names`` for every key, from ``_grouped``: one scan.
 
     A grouping-sets aggregate (one set per key) expands each row once per key
     inside the scan stage, pre-aggregates per task, and shuffles once, instead
@@ -102,9 +104,6 @@ def _per_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
     ``total`` is ``count(key)`` of the set's own key (0 for a null key group).
     """
     n, full = len(keys), (1 << len(keys)) - 1
-    counts = [F.count(F.col(k)).alias(f"__n{i}") for i, k in enumerate(keys)]
-    named = [c.alias(name) for name, c in aggs.items()]
-    g = df.groupingSets([[k] for k in keys], *keys).agg(*named, *counts, F.grouping_id().alias("__gid"))
 
     def pick(values: list[Column]) -> Column:
         out = None
@@ -116,26 +115,35 @@ def _per_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
     return g.select(pick([F.lit(k) for k in keys]).alias("chart"),
                     pick([_category(k, decode_smoking) for k in keys]).alias("category"),
                     pick([F.col(f"__n{i}") for i in range(n)]).alias("total"),
-                    *aggs.keys())
+                    *names)
 
 
 def chart_series_target(df: DataFrame, keys: Sequence[str] = EXPLORE_KEYS,
-                        label: str = LABEL) -> DataFrame:
-    """Label counts per key value in long form, series ``TenYearCHD`` / ``Non TenYearCHD``."""
+                        label: str = LABEL, grouped: DataFrame | None = None) -> DataFrame:
+    """Label counts per key value in long form, series ``TenYearCHD`` / ``Non TenYearCHD``.
+
+    ``grouped`` is the aggregate of ``target_by_keys`` of the same rows and keys, if the caller has it."""
     pos, neg = TARGET_SERIES
-    t = _per_key(df, keys, {"pos": F.sum(_is(label, 1))}, decode_smoking=True)
-    t = t.select("chart", "category", F.col("pos").alias(pos), (F.col("total") - F.col("pos")).alias(neg))
+    if grouped is None:
+        grouped = _grouped(df, keys, {label: F.sum(_is(label, 1))})
+    t = _per_key(grouped, keys, [label], decode_smoking=True)
+    t = t.select("chart", "category", F.col(label).alias(pos), (F.col("total") - F.col(label)).alias(neg))
     return t.unpivot(["chart", "category"], [pos, neg], "series", "n")
 
 
 def chart_series_prediction(df: DataFrame, keys: Sequence[str] = EXPLORE_KEYS,
-                            prediction: str = PREDICTION) -> DataFrame:
+                            prediction: str = PREDICTION, grouped: DataFrame | None = None) -> DataFrame:
     """Prediction counts per key value in long form, series ``Prediction_1`` / ``Prediction_0``.
 
-    Smoking categories are the encoded value, ``1`` / ``0`` (the label chart has ``YES`` / ``NO``)."""
+    Smoking categories are the encoded value, ``1`` / ``0`` (the label chart has ``YES`` / ``NO``).
+    ``grouped`` is the aggregate of ``prediction_by_keys`` of the same rows and keys, if the caller has it."""
     one, zero = PREDICTION_SERIES
-    t = _per_key(df, keys, {one: F.sum(_is(prediction, 1)), zero: F.sum(_is(prediction, 0))}, decode_smoking=False)
-    return t.select("chart", "category", one, zero).unpivot(["chart", "category"], [one, zero], "series", "n")
+    if grouped is None:
+        grouped = _grouped(df, keys, {PREDICTION_ONE: F.sum(_is(prediction, 1)),
+                                      PREDICTION_ZERO: F.sum(_is(prediction, 0))})
+    t = _per_key(grouped, keys, [PREDICTION_ONE, PREDICTION_ZERO], decode_smoking=False)
+    t = t.select("chart", "category", F.col(PREDICTION_ONE).alias(one), F.col(PREDICTION_ZERO).alias(zero))
+    return t.unpivot(["chart", "category"], [one, zero], "series", "n")
 
 
 def chart_series_missing(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Standardised logistic regression with a cross-validated grid, scoring and metrics.
 
-MLlib fits the scalers and the model that is kept. What is added here is the wiring
+MLlib summarises the rows for the scalers and fits the model that is kept. What is added here is the wiring
 and three scale points: the training rows are assembled and persisted once for
-all 31 fits, and the 30 fits of the cross-validation share their scans (``shared_fit``); folds come from a key hash (so they are the
+all 31 fits, their six scalers come from one summary by fold, and the 30 fits of the cross-validation share their scans (``shared_fit``); folds come from a key hash (so they are the
 same on any cluster layout and re-running a lost task gives the same rows);
 and fitted models can be applied as one linear column expression that stays
 inside whole-stage codegen (no vector columns in the scoring path).
@@ -24,9 +24,10 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,7 +99,7 @@ def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
     """5-fold CV over the 6-point grid, best mean accuracy, refit on all rows.
 
     The rows are assembled to (label, features, fold) and persisted (memory,
-    spilling to disk) once; there are ``num_folds + 1`` scaler fits. All fits of all folds
+    spilling to disk) once; the ``num_folds + 1`` scalers come from one scan (``fold_scalers``). All fits of all folds
     advance together (``fold_models``): one scan of one blocked copy of the rows per optimiser step,
     whatever the number of folds and grid points. The refit is MLlib's own.
     ``parallelism`` fits run at once where MLlib must fit a fold (``fold_models``).
@@ -116,8 +117,7 @@ def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
     data = assembler(features).transform(rows).select(label, "features", FOLD).persist(level)
     metrics, fitted = [], []
     try:
-        whole = scaler().fit(data)
-        scalers = [scaler().fit(data.where(F.col(FOLD) != k)) for k in range(num_folds)]
+        whole, scalers = fold_scalers(data, num_folds)
         by_fold = fold_models(data, whole, scalers, lr, grid, label, parallelism)
         for k, (scaled, models) in enumerate(zip(scalers, by_fold)):
             metrics.append(accuracies(scaled.transform(data.where(F.col(FOLD) == k)), models, label))
@@ -136,6 +136,36 @@ def fit_cv(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
     return out
 
 
+def fold_scalers(data: DataFrame, num_folds: int = NUM_FOLDS) -> tuple[StandardScalerModel, list[StandardScalerModel]]:
+    """The scaler of all rows and, per fold, that of the other folds' rows, from one scan of (features, fold).
+
+    MLlib's summaries of the single folds are merged, as it merges those of partitions: the
+    means by rows, the squared deviations with what the means differ. A part without rows is MLlib's error.
+    """
+    summary = Summarizer.metrics("count", "mean", "variance").summary(F.col("features"))
+    found = {}
+    for r in data.groupBy(FOLD).agg(summary.alias("s")).collect():
+        n = int(r["s"]["count"])
+        found[r[FOLD]] = n, r["s"]["mean"].toArray(), r["s"]["variance"].toArray() * (n - 1)
+
+    def merged(kept: list[int]) -> StandardScalerModel:
+        if not kept:
+            return scaler().fit(data.limit(0))
+        n, mean, square = found[kept[0]]
+        for k in kept[1:]:
+            more, other, its_square = found[k]
+            gap = other - mean
+            mean = mean + gap * (more / (n + more))
+            square = square + its_square + gap * gap * (n * (more / (n + more)))
+            n += more
+        own = scaler()
+        return own._copyValues(StandardScalerModel(JavaWrapper._new_java_obj(
+            "org.apache.spark.ml.feature.StandardScalerModel", own.uid,
+            Vectors.dense(np.sqrt(square / max(n - 1, 1))), Vectors.dense(mean))))
+
+    return merged(sorted(found)), [merged([j for j in sorted(found) if j != k]) for k in range(num_folds)]
+
+
 def fold_models(data: DataFrame, whole, scalers: Sequence, lr: LogisticRegression, grid: Sequence, label: str = LABEL,
                 parallelism: int = 6) -> list[list[LogisticRegressionModel]]:
     """Per fold, the logistic regression of each grid point on the rows of the other folds.

@@ -60,6 +60,28 @@ def blocks(scaled: DataFrame, label: str, fold: str, rows: int) -> DataFrame:
     return columns.mapInArrow(pack, "fold int, y binary, z binary").repartition(tasks)
 
 
+def block_sums(y: np.ndarray, z: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Rows of sums over a block, a column per fit: the log-loss, the residuals, the residuals times each feature.
+
+    With m = z w + b the loss is max(m, 0) - y m + log(1 + exp(-|m|)). The logarithms are taken of products of
+    up to 512 factors, each between 1 and 2; arrays are used again in place, as the passes over them are the cost.
+    """
+    m = z @ w
+    m += b
+    e = np.abs(m)
+    loss = 0.5 * (m.sum(axis=0) + e.sum(axis=0)) - y @ m
+    np.exp(np.negative(e, out=e), out=e)
+    factors = e + 1.0
+    for i in range(0, len(y), 512):
+        loss += np.log(np.multiply.reduce(factors[i:i + 512], axis=0))
+    r = np.subtract(1.0, e, out=e)
+    r /= factors
+    r = np.copysign(r, m, out=r)       # tanh(m / 2)
+    r *= 0.5
+    r += (0.5 - y)[:, None]
+    return np.vstack([loss, r.sum(axis=0), z.T @ r])
+
+
 def sums(blocked: DataFrame, points: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, np.ndarray]:
     """Per held-out fold, and per column of its weights: the log-loss, the residuals and the residuals
     times each feature, summed over the rows of the other folds, in one scan.
@@ -77,13 +99,9 @@ def sums(blocked: DataFrame, points: dict[int, tuple[np.ndarray, np.ndarray]]) -
                 fits = [k for k in order if k != f]
                 if not fits:
                     continue
-                y = np.frombuffer(yb.as_buffer())[:, None]
+                y = np.frombuffer(yb.as_buffer())
                 z = np.frombuffer(zb.as_buffer()).reshape(len(y), -1)
-                m = z @ np.hstack([points[k][0] for k in fits]) + np.hstack([points[k][1] for k in fits])
-                e = np.exp(-np.abs(m))
-                loss = np.log1p(e) + np.maximum(m, 0.0) - y * m
-                r = np.where(m >= 0, 1.0, e) / (1.0 + e) - y
-                found = np.vstack([loss.sum(axis=0), r.sum(axis=0), z.T @ r])
+                found = block_sums(y, z, np.hstack([points[k][0] for k in fits]), np.hstack([points[k][1] for k in fits]))
                 for k, part in zip(fits, np.split(found, np.cumsum([width[k] for k in fits])[:-1], axis=1)):
                     total[k] += part
         yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([total[k].ravel() for k in order]).tobytes()], pa.binary())], ["s"])

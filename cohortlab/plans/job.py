@@ -37,6 +37,7 @@ class JobResult:
     predictions: DataFrame           # the exported rows, read back as they are needed
     report_tables: list = field(default_factory=list)   # names of the tables written
     _cached: list = field(default_factory=list)
+    _grouped: dict = field(default_factory=dict)   # the aggregates of the two sets of tables
 
     def prediction_counts(self) -> DataFrame:
         return prediction_counts(self.predictions)
@@ -51,19 +52,23 @@ class JobResult:
         """The six label tables from one scan of the training rows."""
         tables, base = target_by_keys(self.train.frame, EXPLORE_KEYS)
         self._cached.append(base)
+        self._grouped["target"] = base
         return tables
 
     def prediction_tables(self) -> dict[str, DataFrame]:
         """The six prediction tables from one scan of the exported rows."""
         tables, base = prediction_by_keys(self.predictions, EXPLORE_KEYS)
         self._cached.append(base)
+        self._grouped["prediction"] = base
         return tables
 
     def target_charts(self) -> DataFrame:
-        return chart_series_target(self.train.frame, EXPLORE_KEYS)
+        """Its series, from the label tables' scan if they were made."""
+        return chart_series_target(self.train.frame, EXPLORE_KEYS, grouped=self._grouped.get("target"))
 
     def prediction_charts(self) -> DataFrame:
-        return chart_series_prediction(self.predictions, EXPLORE_KEYS)
+        """Its series, from the prediction tables' scan if they were made."""
+        return chart_series_prediction(self.predictions, EXPLORE_KEYS, grouped=self._grouped.get("prediction"))
 
     def report(self) -> dict[str, DataFrame]:
         """Every table of the analysis, whole, by name."""
@@ -82,6 +87,7 @@ class JobResult:
                       "holdout": self.predictions.sparkSession.createDataFrame([self.holdout])}
 
     def release(self) -> None:
+        self._grouped.clear()
         while self._cached:
             self._cached.pop().unpersist()
 

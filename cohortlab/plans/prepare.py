@@ -47,8 +47,8 @@ class Prepared:
         session ``spark``, if given. See ``Watch``.
         """
         raw = Watch(self.raw, spark)
-        encoded = Watch(encode_categoricals(raw.frame), spark)
-        frame = Watch(apply_medians(encoded.frame, self.medians), spark)
+        encoded = Watch(encode_categoricals(raw.frame), spark, raw)
+        frame = Watch(apply_medians(encoded.frame, self.medians), spark, encoded, self.medians)
         return replace(self, frame=frame.frame, watches=(raw, encoded, frame))
 
     def missing(self) -> DataFrame:

@@ -13,8 +13,8 @@ from cohortlab.operators.model import (accuracies, accuracy_evaluator, assembler
                                        fit_cv, holdout_metrics, logistic, pipeline, scaler, score, with_folds)
 from cohortlab.operators.observe import Watch
 from cohortlab.operators.profile import profile, profile_text
-from cohortlab.plans.job import main, observing_session, run_job
-from cohortlab.plans.prepare import prepare
+from cohortlab.plans.job import JobResult, main, observing_session, run_job
+from cohortlab.plans.prepare import Prepared, prepare
 from cohortlab.sources.files import joint_schemas, load_train_test, wider_type
 from cohortlab.sources.fixtures import scored_patients, train_patients
 from conftest import SF_SMALL
@@ -37,6 +37,40 @@ def test_watch_equals_the_scans(spark, tmp_out):
     assert repr(rows(watch.profile())) == repr(rows(profile(plain))) and rows(watch.profile_text()) == rows(profile_text(plain))
 
 
+def test_watch_above_is_not_watched_again(spark, tmp_out):
+    session = observing_session(spark)
+    df = session.createDataFrame([(1, 2.5, "b", None), (None, float("nan"), "a", None), (3, None, None, 4.0)],
+                                 "i int, x double, s string, gap double")
+    raw = Watch(df)
+    coded = Watch(raw.frame.withColumn("s", (F.col("s") == "a").cast("int")), None, raw)
+    full = Watch(coded.frame.na.fill({"gap": 7.0}), None, coded, ["gap"])
+    assert (list(raw._place), list(coded._place), list(full._place)) == (["i", "x", "s", "gap"], ["s"], ["gap"])
+    full.frame.write.parquet(f"{tmp_out}/w")
+    for watch, plain in ((raw, df), (coded, df.withColumn("s", (F.col("s") == "a").cast("int"))),
+                         (full, df.withColumn("s", (F.col("s") == "a").cast("int")).na.fill({"gap": 7.0}))):
+        assert rows(watch.missing()) == rows(missing_counts(plain))
+        assert repr(rows(watch.profile())) == repr(rows(profile(plain)))
+    assert rows(raw.profile_text()) == rows(profile_text(df)) and not rows(full.profile_text())
+
+
+def test_charts_share_the_tables_scan(spark):
+    frame = spark.range(200).selectExpr(
+        "cast(if(id = 7, null, 30 + id % 9) as int) age", "cast(id % 2 as int) sex", "cast(id % 3 = 0 as int) is_smoking", "70.0D + id % 5 heartRate",
+        "cast(id % 4 as double) cigsPerDay", "cast(id % 11 = 0 as double) BPMeds", "cast(id % 6 = 0 as int) TenYearCHD")
+    scored = frame.withColumn("prediction", (F.col("age") > 33).cast("double"))
+    none = Prepared(frame, frame, frame, frame, {})
+    res = JobResult(none, none, {}, None, scored)
+    alone = rows(res.target_charts()), rows(res.prediction_charts())
+    res.target_tables(), res.prediction_tables()
+    try:
+        for shared, want in zip((res.target_charts(), res.prediction_charts()), alone):
+            assert rows(shared) == want and want
+            assert "InMemoryTableScan" in shared._jdf.queryExecution().executedPlan().toString()
+    finally:
+        res.release()
+    assert rows(res.target_charts()) == alone[0]
+
+
 def test_watch_of_no_rows(spark, tmp_out):
     df = observing_session(spark).createDataFrame([], "i int, s string")
     watch = Watch(df)

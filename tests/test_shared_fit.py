@@ -6,7 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from cohortlab.operators import shared_fit
-from cohortlab.operators.model import FOLD, accuracies, fold_models, logistic, param_grid, scaler
+from cohortlab.operators.model import FOLD, accuracies, fold_models, fold_scalers, logistic, param_grid, scaler
 
 GRID = {"reg_params": (0.1, 0.0005), "elastic_net_params": (0.0, 0.5)}
 
@@ -85,3 +85,36 @@ def test_an_infinite_feature_is_an_error(spark):
     bad = data.unionByName(spark.createDataFrame([(1, Vectors.dense([math.inf, 0.0, 0.0, 0.0, 2.5]), 0)], data.schema))
     with pytest.raises(Exception, match="NaN or"):
         both(bad)
+
+
+def test_fold_scalers_are_mllibs_from_one_scan(spark):
+    data = rows(spark, far=1e6)
+    data.count()                                                    # cached
+    sc, group = spark.sparkContext, "fold-scalers"
+    sc.setJobGroup(group, group)
+    try:
+        whole, parts = fold_scalers(data, 4)                        # the fourth fold has no rows
+        assert len(sc.statusTracker().getJobIdsForGroup(group)) <= 2   # the map stage and the result
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    want = [scaler().fit(data), *(scaler().fit(data.where(F.col(FOLD) != k)) for k in range(4))]
+    for mine, mllib in zip([whole, *parts], want):
+        assert mine.mean.toArray().tolist() == pytest.approx(mllib.mean.toArray().tolist(), rel=1e-12)
+        assert mine.std.toArray().tolist() == pytest.approx(mllib.std.toArray().tolist(), rel=1e-9)
+        assert mine.std[4] == 0.0                                   # the constant column
+        assert mine.transform(data).first().scaledFeatures.toArray().tolist() == pytest.approx(
+            mllib.transform(data).first().scaledFeatures.toArray().tolist(), rel=1e-6)
+    with pytest.raises(Exception):                                  # nothing is left of one fold without itself
+        fold_scalers(data.where(F.col(FOLD) == 1), 3)
+
+
+def test_block_sums_are_the_plain_ones():
+    rng = np.random.default_rng(3)
+    y, z = (rng.random(1100) < 0.3).astype(float), rng.normal(size=(1100, 3))
+    z[:4] = [[900.0, 0, 0], [-900.0, 0, 0], [40.0, 0, 0], [-40.0, 0, 0]]   # margins that exp cannot take as they are
+    w, b = rng.normal(size=(3, 5)), rng.normal(size=5)
+    w[:, 0], b[0] = 0.0, 0.0                                        # all margins 0: products of 2
+    m = z @ w + b
+    loss = np.logaddexp(0.0, m) - y[:, None] * m
+    r = np.exp(-np.logaddexp(0.0, -m)) - y[:, None]
+    assert np.allclose(shared_fit.block_sums(y, z, w, b), np.vstack([loss.sum(axis=0), r.sum(axis=0), z.T @ r]), rtol=1e-11, atol=1e-9)
